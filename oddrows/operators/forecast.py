@@ -61,7 +61,7 @@ def seasonal_ar_table(
     seasonal: Sequence[int] = (0, 1, 2), period: int = 12, hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """AIC of every candidate on the differenced series (lag 1, then the period): one row per
-    series and candidate with `p, P, coef, rss, n, aic`. All candidates share one Gram matrix and
+    series and candidate with `ar_order, seasonal_order, coef, rss, n, aic`. All candidates share one Gram matrix and
     hence the same rows; AIC = n ln(rss / n) + 2 k with k coefficients."""
     chosen = seasonal_candidates(orders, seasonal, period)
     lags = sorted({lag for _, _, ls in chosen for lag in ls})
@@ -73,13 +73,13 @@ def seasonal_ar_table(
     n = F.col("n").cast("double")
     k = pick([len(ls) + 1 for _, _, ls in chosen])
     return fits.select(
-        *names(series), pick([p for p, _, _ in chosen]).alias("p"), pick([q for _, q, _ in chosen]).alias("P"),
+        *names(series), pick([p for p, _, _ in chosen]).alias("ar_order"), pick([q for _, q, _ in chosen]).alias("seasonal_order"),
         "coef", "rss", "n", (n * F.log(F.col("rss") / n) + 2 * k).alias("aic"))
 
 
 def seasonal_ar_select(table: DataFrame, series=None) -> DataFrame:
     """The candidate with the lowest AIC per series (smallest order on ties)."""
-    best = F.min_by(F.struct("p", "P", "coef", "rss", "n", "aic"), F.struct("aic", "p", "P"))
+    best = F.min_by(F.struct("ar_order", "seasonal_order", "coef", "rss", "n", "aic"), F.struct("aic", "ar_order", "seasonal_order"))
     return table.groupBy(*names(series)).agg(best.alias("b")).select(*names(series), "b.*")
 
 

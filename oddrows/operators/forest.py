@@ -74,7 +74,7 @@ def fit_isolation_forest(
         right = (F.get("x", F.col("s.feature")) >= F.col("s.cut")).cast("bigint")
         rows = rows.select(
             "tree", "x", F.when(F.col("s").isNull(), F.col("node")).otherwise(2 * F.col("node") + right).alias("node"),
-            F.when(F.col("s").isNull(), F.col("splits")).otherwise(F.array_append("splits", "s")).alias("splits"))
+            F.when(F.col("s").isNull(), F.col("splits")).otherwise(F.array_append("splits", F.col("s"))).alias("splits"))
     inner = rows.select("tree", F.inline("splits")).distinct().withColumn("size", F.lit(0).cast("bigint"))
     leaves = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")).select(
         "tree", "node", F.lit(-1).alias("feature"), F.lit(0.0).alias("cut"), "size")

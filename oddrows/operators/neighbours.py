@@ -148,15 +148,16 @@ def knn_distance(
 
     points = written(distinct(df))
     cells = _fit_cells(points, two, cell_points)
-    shared = df.sparkSession.sparkContext.broadcast(cells)
+    borders = df.sparkSession.sparkContext.broadcast((cells.slabs, cells.tiles))  # at most MAX_CELLS numbers
 
     @F.pandas_udf("bigint")
     def locate(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.locate(xs.to_numpy(float), ys.to_numpy(float)))
+        return pd.Series(_Cells(*borders.value).locate(xs.to_numpy(float), ys.to_numpy(float)))
 
     @F.pandas_udf("array<bigint>")
     def reached(xs: pd.Series, ys: pd.Series, rs: pd.Series, homes: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.reached(*row) for row in zip(xs, ys, rs.fillna(math.inf), homes)])
+        grid = _Cells(*borders.value)
+        return pd.Series([grid.reached(*row) for row in zip(xs, ys, rs.fillna(math.inf), homes)])
 
     placed = points.withColumn("cell", locate("x", "y"))
     own = queries is None
@@ -166,8 +167,9 @@ def knn_distance(
         """Look up `visits(x, y, cell)`; cells with many visitors are split over salts."""
         load = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_VISITS).cast("int").alias("salts"))
         load = F.broadcast(load)  # one row per cell, at most about MAX_CELLS
-        left = visits.join(load, "cell").withColumn(
-            "salt", F.pmod(F.xxhash64("x", "y"), F.col("salts")).cast("int")).drop("salts")
+        left = visits.join(load, "cell").select(
+            *[F.col(c).alias(c) for c in ("x", "y", "cell")],
+            F.pmod(F.xxhash64("x", "y"), F.col("salts")).cast("int").alias("salt"))
         right = placed.join(load, "cell").withColumn(
             "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
 

@@ -211,15 +211,12 @@ def autocorrelation(
     out = finish(out.withColumns({f"_l{k}": F.lag("_c", k).over(w) for k in range(1, lags + 1)}))
     sums = [F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, lags + 1)]
     total = out.groupBy(*by).agg(F.count("_c").alias("_n"), F.sum(F.col("_c") * F.col("_c")).alias("_s0"), *sums)
-    r = [F.coalesce(F.col(f"_s{k}"), F.lit(0.0)) / F.col("_s0") for k in range(lags + 1)]
-    rows = []
-    for k in range(lags + 1):
-        spread = F.lit(1.0)
-        for j in range(1, k):
-            spread = spread + 2 * r[j] * r[j]
-        width = F.lit(0.0) if k == 0 else 1.96 * F.sqrt(spread / F.col("_n"))
-        rows.append(F.struct(F.lit(k).alias("lag"), r[k].alias("acf"), width.alias("half_width")))
-    return total.select(*by, F.inline(F.array(*rows)))
+    acf = F.array(*[F.coalesce(F.col(f"_s{k}"), F.lit(0.0)) / F.col("_s0") for k in range(lags + 1)])
+    out = total.select(*by, "_n", acf.alias("_r")).select("*", F.posexplode("_r").alias("lag", "acf"))
+    before = F.slice("_r", F.lit(2), F.greatest(F.col("lag") - 1, F.lit(0)))
+    squares = F.aggregate(before, F.lit(0.0), lambda acc, r: acc + r * r)
+    width = F.when(F.col("lag") == 0, 0.0).otherwise(1.96 * F.sqrt((1 + 2 * squares) / F.col("_n")))
+    return out.select(*by, "lag", "acf", width.alias("half_width"))
 
 
 def outlier_regions(

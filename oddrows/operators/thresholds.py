@@ -92,7 +92,8 @@ def rolling_error_bands(
         impact = F.when(d.isNull() | flat, 0).otherwise(rank)
     else:
         impact = F.when(d.isNull(), None).when(flat, 3).otherwise(rank)
-    pick = lambda codes: F.element_at(F.array(*[F.lit(codes[i]) for i in range(8)]), F.col("impact") + 1)
+    pick = lambda codes: F.when(F.col("impact").isNotNull(), F.element_at(
+        F.array(*[F.lit(codes[i]) for i in range(8)]), F.col("impact") + 1))
     return out.withColumn("impact", impact).withColumns({
         "color": pick(SEVERITY_BY_RANK), "region": pick(REGION_BY_RANK),
     }).withColumn("anomaly_points", F.when(F.col("color") == 3, F.col("error")))
