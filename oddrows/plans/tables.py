@@ -262,7 +262,7 @@ FILTER_SQL = """translate(lower(text), '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~' || chr
 
 def words_sql(table: str, key: str) -> str:
     """SQL for one row per word of every text, with its place."""
-    return f"""SELECT {key}, word, row_number() OVER (PARTITION BY {key} ORDER BY i) AS at FROM (
+    return f"""SELECT {key}, word, row_number() OVER (PARTITION BY {key} ORDER BY i) AS place FROM (
         SELECT {key}, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM (
             SELECT {key}, string_split({FILTER_SQL}, ' ') AS w FROM {table})) WHERE word <> ''"""
 
