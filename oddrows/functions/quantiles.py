@@ -53,45 +53,40 @@ def quantiles(
     else:
         seen, b = base.withColumn("b", scalar(df.agg(*aggs))), F.col("b")
 
-    wanted = []
+    # One row per value: itself inside a bracket, else the nearest bracket end below it. Ordered by
+    # (key, after) the counts add up to exact ranks.
+    placed = []
     for i, c in enumerate(cols):
         x, n = F.col(c).cast("double"), b[f"n{i}"]
-        for j in range(len(probs)):
-            low = F.when(n < accuracy, b[f"min{i}"]).otherwise(b[f"b{i}"][j])
-            high = F.when(n < accuracy, b[f"max{i}"]).otherwise(b[f"b{i}"][len(probs) + j])
-            key = F.when(x < low, float("-inf")).when(x <= high, x)
-            wanted.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), n.alias("n"), key.alias("key")))
-    counted = (
-        seen.select(*groups, F.explode(F.array(*wanted)).alias("w"))
-        .filter(F.col("w.key").isNotNull())
-        .groupBy(*groups, F.col("w.i").alias("i"), F.col("w.j").alias("j"), F.col("w.key").alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("w.n").alias("n"))
-    )
-    upto = Window.partitionBy(*groups, "i", "j").orderBy("key").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    p = F.element_at(F.array(*[F.lit(float(v)) for v in probs]), F.col("j") + 1)
-    rank = p * (F.col("n") - 1) if position is None else position(F.col("n")).cast("double")
-    inside = lambda at: (F.col("cum") > at) & (F.col("cum") - F.col("rows") <= at)
-    picked = (
-        counted.withColumn("cum", F.sum("rows").over(upto))
-        .withColumn("rank", rank)
-        .groupBy(*groups, "i", "j")
-        .agg(
-            F.max("n").alias("n"),
-            F.max("rank").alias("rank"),
-            F.max(F.when(inside(F.floor("rank")), F.col("key"))).alias("lo"),
-            F.max(F.when(inside(F.ceil("rank")), F.col("key"))).alias("hi"),
-        )
-    )
+        whole = n < accuracy
+        ends = [(b[f"b{i}"][j], b[f"b{i}"][len(probs) + j]) for j in range(len(probs))]
+        inside = whole
+        for low, high in ends:
+            inside = inside | x.between(low, high)
+        floor = F.greatest(F.lit(float("-inf")), *[F.when(high < x, high) for _, high in ends])
+        placed.append(F.struct(F.lit(i).alias("i"), F.when(inside, x).when(x.isNotNull(), floor).alias("key"),
+                               (~inside).alias("after")))
+    rows = seen.select(*groups, placed[0].alias("w")).select(*groups, "w.*") if len(cols) == 1 else \
+        seen.select(*groups, F.inline(F.array(*placed)))
+    counted = rows.filter(F.col("key").isNotNull()).groupBy(*groups, "i", "key", "after").agg(
+        F.count(F.lit(1)).alias("rows"))
+    part = Window.partitionBy(*groups, "i")
+    upto = part.orderBy("key", "after").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumns({"cum": F.sum("rows").over(upto), "n": F.sum("rows").over(part)})
+    ranks = [F.lit(float(p)) * (F.col("n") - 1) if position is None else position(F.col("n")).cast("double")
+             for p in probs]
+    at = lambda r: F.max(F.when(~F.col("after") & (F.col("cum") > r) & (F.col("cum") - F.col("rows") <= r), F.col("key")))
+    picked = ranked.groupBy(*groups, "i", "n").agg(F.array(*[
+        F.struct(F.lit(float(p)).alias("prob"), F.max(r).alias("rank"), at(F.floor(r)).alias("lo"), at(F.ceil(r)).alias("hi"))
+        for p, r in zip(probs, ranks)]).alias("q"))
     value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rank") - F.floor("rank"))
-    checked = F.when(value.isNull() | (value == float("-inf")),
-                     F.raise_error(F.lit("quantile bracket missed its rank"))).otherwise(value)
-    return picked.select(
+    missed = F.raise_error(F.lit("quantile bracket missed its rank"))
+    return picked.select(*groups, "i", "n", F.inline("q")).select(
         *groups,
         F.element_at(F.array(*map(F.lit, cols)), F.col("i") + 1).alias("column"),
-        p.alias("prob"),
+        "prob",
         "n",
-        checked.alias("value"),
+        F.when(value.isNull(), missed).otherwise(value).alias("value"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -38,9 +39,9 @@ def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int = 10) -
     plan nor the driver grows with rows or iterations. Empty clusters keep their centre."""
     cols = list(columns)
     probs = [(i + 0.5) / k for i in range(k)]
-    start = {(r["column"], round(r["prob"], 9)): r["value"] for r in quantiles(df, cols, probs).collect()}
+    points = df.select(*cols).dropna().persist(StorageLevel.MEMORY_AND_DISK)  # read once per iteration
+    start = {(r["column"], round(r["prob"], 9)): r["value"] for r in quantiles(points, cols, probs).collect()}
     centres = [[start[(c, round(p, 9))] for c in cols] for p in probs]
-    points = df.select(*cols).dropna()
     history, sizes = [], [0] * k
     for step in range(iterations + 1):
         rows = assign_nearest(points, cols, centres).groupBy("cluster").agg(
@@ -53,6 +54,7 @@ def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int = 10) -
         if step < iterations:
             for r in rows:
                 centres[r["cluster"]] = [r[f"m{i}"] for i in range(len(cols))]
+    points.unpersist()
     return Centroids(cols, centres, sizes, history)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import hash32, uniform
+from oddrows.functions.lineage import written
 
 EULER_GAMMA = 0.5772156649
 
@@ -52,7 +53,9 @@ def fit_isolation_forest(
     d = len(cols)
     points = df.select(F.col(key).alias("_k"), *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     pool = _pool(points, "_k", trees * sample, seed)
-    each = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = pool.repartition(tasks, "_k")  # a limit leaves one partition
+    each = spread.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     pick = Window.partitionBy("tree").orderBy("_h", "_k")
     rows = (
         each.withColumn("_h", hash32(seed, "tree", "_k")).withColumn("_r", F.row_number().over(pick))
@@ -75,6 +78,7 @@ def fit_isolation_forest(
         rows = rows.select(
             "tree", "x", F.when(F.col("s").isNull(), F.col("node")).otherwise(2 * F.col("node") + right).alias("node"),
             F.when(F.col("s").isNull(), F.col("splits")).otherwise(F.array_append("splits", F.col("s"))).alias("splits"))
+    rows = written(rows.select("tree", "node", "splits"))  # read twice below
     inner = rows.select("tree", F.inline("splits")).distinct().withColumn("size", F.lit(0).cast("bigint"))
     leaves = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")).select(
         "tree", "node", F.lit(-1).alias("feature"), F.lit(0.0).alias("cut"), "size")

@@ -20,14 +20,17 @@ def fit_hbos(df: DataFrame, columns: Sequence[str], bins: int = 10, alpha: float
                              F.count(c).alias("n")).alias(f"e{i}") for i, c in enumerate(cols)])
     seen = df.select(*cols).withColumn("_e", scalar(ends))
     each = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(c).alias("feature"), F.col("_e")[f"e{i}"].alias("e"),
-                 bin_number(F.col(c).cast("double"), F.col("_e")[f"e{i}"]["lo"],
-                            F.col("_e")[f"e{i}"]["hi"], bins).alias("bin"))
+        F.struct(F.lit(i).alias("i"), bin_number(F.col(c).cast("double"), F.col("_e")[f"e{i}"]["lo"],
+                                                 F.col("_e")[f"e{i}"]["hi"], bins).alias("bin"))
         for i, c in enumerate(cols)])
-    counts = seen.select(F.inline(each)).filter("bin is not null").groupBy("i", "feature", "bin").agg(
-        F.count(F.lit(1)).alias("c"), F.first("e").alias("e"))
-    table = counts.groupBy("i", "feature").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("m"), F.first("e").alias("e"))
+    # only integers in the aggregate: a struct in its buffer would turn it into a sort
+    counts = seen.select(F.inline(each)).filter("bin is not null").groupBy("i", "bin").agg(F.count(F.lit(1)).alias("c"))
+    packed = counts.groupBy("i").agg(F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("m"))
+    one = F.col("_all")
+    spans = F.array(*[one[f"e{i}"] for i in range(len(cols))])
+    table = packed.withColumn("_all", scalar(ends)).select(
+        "i", "m", F.element_at(F.array(*map(F.lit, cols)), F.col("i") + 1).alias("feature"),
+        F.element_at(spans, F.col("i") + 1).alias("e"))
     width = (F.col("e.hi") - F.col("e.lo")) / bins
     density = lambda b: F.try_divide(
         F.coalesce(F.try_element_at("m", b), F.lit(0)).cast("double"), F.col("e.n") * width)
@@ -39,18 +42,16 @@ def fit_hbos(df: DataFrame, columns: Sequence[str], bins: int = 10, alpha: float
 def score_hbos(df: DataFrame, params: DataFrame, columns: Sequence[str], tol: float = 0.5) -> DataFrame:
     """Larger is more unusual. A value outside the fitted range takes the end bin's score when it
     lies within `tol` bin widths, else the lowest score of the feature."""
-    table = params.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("lo", "hi", "scores"))))).scalar()
-    out = df.withColumn("_h", table)
+    fitted = {r["feature"]: r for r in params.collect()}  # one row of `bins` scores per feature
     total = F.lit(0.0)
     for c in columns:
-        p, x = F.col("_h")[c], F.col(c).cast("double")
-        bins = F.size(p["scores"])
-        width = (p["hi"] - p["lo"]) / bins
-        at = F.least(F.coalesce(F.floor(F.try_divide((x - p["lo"]) * bins, p["hi"] - p["lo"])), F.lit(0)).cast("int"),
-                     bins - 1)
-        worst = F.array_min(p["scores"])
-        value = (F.when(x < p["lo"], F.when(p["lo"] - x <= tol * width, p["scores"][0]).otherwise(worst))
-                 .when(x > p["hi"], F.when(x - p["hi"] <= tol * width, F.element_at(p["scores"], -1)).otherwise(worst))
-                 .when(x.isNotNull(), F.get(p["scores"], at)))
+        low, high, scores = fitted[c]["lo"], fitted[c]["hi"], fitted[c]["scores"]
+        x, bins = F.col(c).cast("double"), len(scores)
+        reach, worst = tol * (high - low) / bins, min(scores)
+        at = bin_number(x, F.lit(low), F.lit(high), bins)
+        inside = F.get(F.array(*[F.lit(s) for s in scores]), at)
+        value = (F.when(x < low, F.when(low - x <= reach, scores[0]).otherwise(worst))
+                 .when(x > high, F.when(x - high <= reach, scores[-1]).otherwise(worst))
+                 .otherwise(inside))
         total = total - value
-    return out.withColumn("score", total).drop("_h")
+    return df.withColumn("score", total)

@@ -167,6 +167,8 @@ def knn_distance(
         """Look up `visits(x, y, cell)`; cells with many visitors are split over salts."""
         load = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_VISITS).cast("int").alias("salts"))
         load = F.broadcast(load)  # one row per cell, at most about MAX_CELLS
+        # as many tasks as the session shuffles with: few bytes here mean much arithmetic
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         left = visits.join(load, "cell").select(
             *[F.col(c).alias(c) for c in ("x", "y", "cell")],
             F.pmod(F.xxhash64("x", "y"), F.col("salts")).cast("int").alias("salt"))
@@ -177,6 +179,7 @@ def knn_distance(
             near = [[]] * len(ask) if pts.empty else _nearest(ask, pts, k, home, exclude_self and own)
             return pd.DataFrame({"x": ask["x"], "y": ask["y"], "cell": ask["cell"], "near": near})
 
+        left, right = (side.repartition(tasks, "cell", "salt") for side in (left, right))
         return left.groupBy("cell", "salt").cogroup(right.groupBy("cell", "salt")).applyInPandas(
             look, "x double, y double, cell bigint, near array<double>")
 

@@ -94,7 +94,7 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int = 102
                   F.stddev_samp(x).alias("std"))
     seen = df.filter(x.isNotNull()).select(x.alias("x")).withColumn("e", scalar(head))
     binned = seen.groupBy(bin_number(F.col("x"), F.col("e.lo"), F.col("e.hi"), bins).alias("bin")).agg(
-        F.count(F.lit(1)).alias("c"), F.first("e").alias("e"))
+        F.count(F.lit(1)).alias("c")).withColumn("e", scalar(head))
     width = (F.col("e.hi") - F.col("e.lo")) / bins
     centres = binned.select(F.struct((F.col("e.lo") + (F.col("bin") + 0.5) * width).alias("x"), "c").alias("b"))
     packed = centres.agg(F.array_sort(F.collect_list("b")).alias("bins"))  # at most `bins` entries
@@ -161,12 +161,21 @@ def box_stats(df: DataFrame, column: str, by: str | Sequence[str] | None = None,
         F.count_if(~inside).alias("outside"))
 
 
-def best_by(df: DataFrame, value: str, by: str | Sequence[str] | None = None, lowest: bool = True) -> DataFrame:
-    """The row with the lowest (highest) value per group, as columns."""
+def best_by(
+    df: DataFrame, value: str, by: str | Sequence[str] | None = None, lowest: bool = True, tie: str | None = None,
+) -> DataFrame:
+    """The row with the lowest (highest) value per group; of equal ones the first by `tie`.
+
+    The extreme is found with a numeric aggregate first, so only rows equal to it reach the
+    aggregate that carries whole rows."""
     groups = names(by)
-    pick = F.min_by if lowest else F.max_by
+    extreme = df.groupBy(*groups).agg((F.min if lowest else F.max)(value).alias("_best"))
+    if groups:
+        kept = df.join(extreme, groups).filter(F.col(value) == F.col("_best")).drop("_best")
+    else:
+        kept = df.filter(F.col(value) == extreme.scalar())
     rest = F.struct(*[c for c in df.columns if c not in groups])
-    return df.groupBy(*groups).agg(pick(rest, F.col(value)).alias("_r")).select(*groups, "_r.*")
+    return kept.groupBy(*groups).agg(F.min_by(rest, F.col(tie or value)).alias("_r")).select(*groups, "_r.*")
 
 
 def error_mean_cov(df: DataFrame, errors: Sequence[str], by: str | Sequence[str] | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,17 +19,22 @@ FILTERED = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 LOOKUP_WORDS = 100_000
 
 
+def spaced(text: str | Column) -> Column:
+    """Lower case, every filtered character a blank."""
+    col = F.col(text) if isinstance(text, str) else text
+    return F.regexp_replace(F.lower(col), "[" + re.escape(FILTERED) + "]", " ")
+
+
 def words(text: str | Column) -> Column:
     """Lower case, punctuation to blanks, split on blanks, empty pieces dropped."""
-    col = F.col(text) if isinstance(text, str) else text
-    blank = F.translate(F.lower(col), FILTERED, " " * len(FILTERED))
-    return F.filter(F.split(blank, " "), lambda w: w != "")
+    return F.filter(F.split(spaced(text), " "), lambda w: w != "")
 
 
 def build_vocabulary(df: DataFrame, text: str, num_words: int | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """`word, count, index`: index 1 is the most frequent word, ties in word order. `num_words`
     keeps the indexes below it. Counts combine before the shuffle, so hot words are no burden."""
-    counts = df.select(F.explode(words(text)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    pieces = df.select(F.explode(F.split(spaced(text), " ")).alias("word")).filter("word <> ''")
+    counts = pieces.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     if num_words is not None:
         top = counts.orderBy(F.desc("count"), "word").limit(max(num_words - 1, 0))
         order = Window.orderBy(F.desc("count"), "word")  # fewer than num_words rows
@@ -46,11 +53,11 @@ def texts_to_sequences(df: DataFrame, text: str, vocabulary: DataFrame, key: str
         table = df.sparkSession.sparkContext.broadcast({r["word"]: int(r["index"]) for r in found})
 
         @F.pandas_udf("array<int>")
-        def look(tokens: pd.Series) -> pd.Series:
+        def look(lines: pd.Series) -> pd.Series:
             index = table.value
-            return pd.Series([[index[w] for w in ws if w in index] if ws is not None else [] for ws in tokens])
+            return pd.Series([[index[w] for w in (s or "").split(" ") if w in index] for s in lines])
 
-        return df.withColumn(to, look(words(text)))
+        return df.withColumn(to, look(spaced(text)))
     spread = df.select(key, F.posexplode(words(text)).alias("at", "word"))
     hits = spread.join(vocabulary.select("word", "index"), "word").groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("at", F.col("index").cast("int").alias("i")))).alias("_s"))
@@ -96,15 +103,15 @@ def pooled_text_vector(
         shared = df.sparkSession.sparkContext.broadcast(({r["word"]: i for i, r in enumerate(found)}, matrix))
 
         @F.pandas_udf("array<double>")
-        def pool(tokens: pd.Series) -> pd.Series:
+        def pool(lines: pd.Series) -> pd.Series:
             index, table = shared.value
             out = []
-            for ws in tokens:
-                at = [index[w] for w in ws if w in index] if ws is not None else []
+            for s in lines:
+                at = [index[w] for w in (s or "").split(" ") if w in index]
                 out.append((table[at].mean(axis=0) if how == "mean" else table[at].max(axis=0)) if at else None)
             return pd.Series(out)
 
-        return df.withColumn(to, pool(words(text)))
+        return df.withColumn(to, pool(spaced(text)))
     spread = df.select(key, F.explode(words(text)).alias("word"))
     # one row per text and word first: repeated words weigh by their count
     counted = spread.groupBy(key, "word").agg(F.count(F.lit(1)).alias("c")).join(vectors, "word")

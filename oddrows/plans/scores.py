@@ -231,7 +231,7 @@ def _(t: Tables):
     return readers.read_sheet_export(t.spark, path, "c_custkey bigint, c_acctbal double")
 
 
-@query("read_arff", f"""SELECT {R('embedding[1]::VARCHAR', 5)} AS step1, {R('embedding[64]::VARCHAR', 5)} AS step64, label::VARCHAR AS target FROM embeddings""", digits=5)
+@query("read_arff", f"""SELECT {R('embedding[1]::VARCHAR', 12)} AS step1, {R('embedding[64]::VARCHAR', 12)} AS step64, label::VARCHAR AS target FROM embeddings""", digits=12)
 def _(t: Tables):
     from oddrows.operators.cleaning import rename_last_column
     path, width = t.scratch(), 64

@@ -167,9 +167,9 @@ def _(t: Tables):
         min(CASE WHEN x <> 0 THEN p END) OVER (PARTITION BY user_id ORDER BY p
             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np FROM z)
     SELECT n.event_id, {R('''CASE WHEN n.x <> 0 OR n.pp IS NULL OR n.np IS NULL THEN n.x
-        ELSE a.x / pow(2.0, n.p - n.pp) + CASE WHEN n.np = n.p + 1 THEN b.x / 2 ELSE 0 END END''', 10)} AS x
+        ELSE a.x / pow(2.0, n.p - n.pp) + CASE WHEN n.np = n.p + 1 THEN b.x / 2 ELSE 0 END END''', 12)} AS x
     FROM n LEFT JOIN z a ON a.user_id = n.user_id AND a.p = n.pp
-           LEFT JOIN z b ON b.user_id = n.user_id AND b.p = n.np""", digits=10)
+           LEFT JOIN z b ON b.user_id = n.user_id AND b.p = n.np""", digits=12)
 def _(t: Tables):
     x = F.when(F.col("event_type").isin("error", "click"), 0.0).otherwise(F.col("value"))
     raw = t.events.select("event_id", "user_id", "ts", x.alias("x"))
@@ -481,17 +481,17 @@ def resample_sql(unit: str, by: str) -> str:
     return f"""WITH a AS (SELECT {by}, date_trunc('{unit}', ts)::TIMESTAMP AS b, avg(value) AS m, stddev_samp(value) AS s
         FROM events GROUP BY 1, 2),
       f AS (SELECT {by}, unnest(generate_series(min(b), max(b), INTERVAL 1 {unit})) AS b FROM a GROUP BY 1)
-      SELECT {by}, strftime(f.b, '%Y-%m-%d %H') AS bucket, {R('m')} AS value_mean, {R('s')} AS value_std
+      SELECT {by}, strftime(f.b, '%Y-%m-%d %H') AS bucket, {R('m', 9)} AS value_mean, {R('s', 9)} AS value_std
       FROM f LEFT JOIN a USING ({by}, b)"""
 
 
-@query("calendar_resample", resample_sql("day", "event_type"))
+@query("calendar_resample", resample_sql("day", "event_type"), digits=9)
 def _(t: Tables):
     out = stats.calendar_resample(t.events, "ts", ["value"], "day", "event_type")
     return out.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH"))
 
 
-@query("calendar_resample_hourly", resample_sql("hour", "event_type"))
+@query("calendar_resample_hourly", resample_sql("hour", "event_type"), digits=9)
 def _(t: Tables):
     out = stats.calendar_resample(t.events, "ts", ["value"], "hour", "event_type")
     return out.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH"))
@@ -521,8 +521,7 @@ def _(t: Tables):
 @query("best_by", """SELECT event_type, event_id, value, user_id FROM (SELECT *, row_number() OVER (
     PARTITION BY event_type ORDER BY value, event_id) AS r FROM events) WHERE r = 1""")
 def _(t: Tables):
-    ranked = t.events.select("event_type", "event_id", "value", "user_id", F.struct("value", "event_id").alias("o"))
-    return stats.best_by(ranked, "o", "event_type").drop("o")
+    return stats.best_by(t.events.select("event_type", "event_id", "value", "user_id"), "value", "event_type", tie="event_id")
 
 
 @query("conditional_counts", """SELECT event_type, count(*) FILTER (value > 60)::BIGINT AS outliers,
