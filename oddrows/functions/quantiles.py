@@ -10,7 +10,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oddrows.functions.columns import names, scalar
+from oddrows.functions.columns import names
+from oddrows.functions.lineage import written
+from oddrows.functions.ordering import HOT_ROWS, largest_group, prefix_sums
 
 
 def quantiles(
@@ -20,6 +22,7 @@ def quantiles(
     by: str | Sequence[str] | None = None,
     accuracy: int = 20_000,
     position: Callable[[Column], Column] | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One row per group, column and probability: `(*by, column, prob, n, value)`.
 
@@ -28,51 +31,57 @@ def quantiles(
 
     `accuracy` sets the sketch's rank error (1/accuracy); groups with fewer rows than that
     are ranked whole. The answer is exact at any accuracy: it only moves work between the
-    sketch and the bracket, which holds about 6/accuracy of a group's rows."""
+    sketch and the bracket, which holds about 6/accuracy of a group's rows. Brackets expected to
+    exceed `hot_rows` are ranked over a range-partitioned table."""
     cols, groups = names(columns), names(by)
     wide = 3.0 / accuracy
     lows = [max(0.0, p - wide) for p in probs]
     highs = [min(1.0, p + wide) for p in probs]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
-            F.percentile_approx(x, F.array(*map(F.lit, lows + highs)), accuracy).alias(f"b{i}"),
-        ]
-    base = df.select(*groups, *cols)
+    xs = [F.col(c).cast("double") for c in cols]
+    # per column: rows, then the bracket ends of all probabilities; small groups are one bracket
+    ends = []
+    for x in xs:
+        n, sketch = F.count(x), F.percentile_approx(x, F.array(*map(F.lit, lows + highs)), accuracy)
+        whole = n < accuracy
+        ends.append(F.struct(
+            *[F.when(whole, F.min(x)).otherwise(sketch[j]).alias(f"low{j}") for j in range(len(probs))],
+            *[F.when(whole, F.max(x)).otherwise(sketch[len(probs) + j]).alias(f"high{j}") for j in range(len(probs))]))
+    brackets = df.groupBy(*groups).agg(F.array(*ends).alias("_b"))
+    values = F.array(*[F.struct(F.lit(i).alias("i"), x.alias("x")) for i, x in enumerate(xs)])
     if groups:
-        sketch = df.groupBy(*groups).agg(*aggs)
-        side = sketch.select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.struct(
-            *[c for c in sketch.columns if c not in groups]).alias("b"))
+        side = brackets.select("_b", *[F.col(g).alias(f"_g_{g}") for g in groups])
         match = F.lit(True)
         for g in groups:
             match = match & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        seen = base.join(side, match)
-        b = F.col("b")
+        seen = df.select(*groups, *cols).join(side, match).select(*groups, "_b", F.inline(values))
     else:
-        seen, b = base.withColumn("b", scalar(df.agg(*aggs))), F.col("b")
-
-    # One row per value: itself inside a bracket, else the nearest bracket end below it. Ordered by
-    # (key, after) the counts add up to exact ranks.
-    placed = []
-    for i, c in enumerate(cols):
-        x, n = F.col(c).cast("double"), b[f"n{i}"]
-        whole = n < accuracy
-        ends = [(b[f"b{i}"][j], b[f"b{i}"][len(probs) + j]) for j in range(len(probs))]
-        inside = whole
-        for low, high in ends:
-            inside = inside | x.between(low, high)
-        floor = F.greatest(F.lit(float("-inf")), *[F.when(high < x, high) for _, high in ends])
-        placed.append(F.struct(F.lit(i).alias("i"), F.when(inside, x).when(x.isNotNull(), floor).alias("key"),
-                               (~inside).alias("after")))
-    rows = seen.select(*groups, placed[0].alias("w")).select(*groups, "w.*") if len(cols) == 1 else \
-        seen.select(*groups, F.inline(F.array(*placed)))
-    counted = rows.filter(F.col("key").isNotNull()).groupBy(*groups, "i", "key", "after").agg(
+        seen = df.select(F.inline(values)).withColumn("_b", brackets.scalar())
+    # A value stands for itself inside a bracket, else for the nearest bracket end below it.
+    # Ordered by (key, after) the counts add up to exact ranks.
+    at_column = seen.filter(F.col("x").isNotNull()).withColumn("_e", F.element_at("_b", F.col("i") + 1))
+    x, inside, floors = F.col("x"), F.lit(False), [F.lit(float("-inf"))]
+    for j in range(len(probs)):
+        low, high = F.col("_e")[f"low{j}"], F.col("_e")[f"high{j}"]
+        inside = inside | x.between(low, high)
+        floors.append(F.when(high < x, high))
+    rows = at_column.select(*groups, "i", "x", (~inside).alias("after"), F.greatest(*floors).alias("floor")).select(
+        *groups, "i", "after", F.when(F.col("after"), F.col("floor")).otherwise(x).alias("key"))
+    counted = rows.groupBy(*groups, "i", "key", "after").agg(
         F.count(F.lit(1)).alias("rows"))
-    part = Window.partitionBy(*groups, "i")
-    upto = part.orderBy("key", "after").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumns({"cum": F.sum("rows").over(upto), "n": F.sum("rows").over(part)})
+    part = [*groups, "i"]
+    if hot_rows is None or largest_group(df, groups) * min(1.0, 2 * wide * len(probs)) <= hot_rows:
+        w = Window.partitionBy(*part)
+        upto = w.orderBy("key", "after").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counted.withColumns({"cum": F.sum("rows").over(upto), "n": F.sum("rows").over(w)})
+    else:  # brackets too long for one task: the same running counts over a range-partitioned table
+        table = written(counted)
+        ranked = prefix_sums(table, ["key", "after"], {"cum": F.col("rows")}, part, hot_rows=0)
+        totals = table.groupBy(*part).agg(F.sum("rows").alias("n"))
+        totals = totals.select("n", *[F.col(c).alias(f"_t_{c}") for c in part])
+        same = F.lit(True)
+        for c in part:
+            same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+        ranked = ranked.join(totals, same)
     ranks = [F.lit(float(p)) * (F.col("n") - 1) if position is None else position(F.col("n")).cast("double")
              for p in probs]
     at = lambda r: F.max(F.when(~F.col("after") & (F.col("cum") > r) & (F.col("cum") - F.col("rows") <= r), F.col("key")))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oddrows.functions.columns import hash32, names
+from oddrows.functions.columns import hash32, names, scalar
 from oddrows.functions.ordering import HOT_ROWS, row_frames
 from oddrows.operators.linear import (
     apply_linear, cross_validated_ridge, fit_linear, gram, linear_value, solve_subsets,
@@ -102,22 +102,28 @@ def seasonal_ar_predict(
 def gaussian_score(df: DataFrame, params: DataFrame, errors: Sequence[str], by=None, ridge: float = 1e-9) -> DataFrame:
     """Squared Mahalanobis distance of the error vector to the training errors.
 
-    `params` is the table of `error_mean_cov`, one row per channel: its few matrices are inverted
-    on the driver and packed into constants."""
+    `params` is the table of `error_mean_cov`, one row per channel; the small matrices are
+    inverted where that table lies and joined to the rows."""
     d, groups = len(errors), names(by)
-    fitted = params.collect()  # one row per channel
-    table = []
-    for r in fitted:
-        cov = np.array(r["cov"], dtype=float).reshape(d, d)
-        inverse = np.linalg.inv(cov + ridge * np.eye(d) * max(float(np.trace(cov)) / d, 1e-300))
-        table.append((*[r[g] for g in groups], r["mean"], inverse.ravel().tolist()))
-    spec = [*[params.schema[g] for g in groups]]
-    schema = "struct<" + "".join(f"{f.name}:{f.dataType.simpleString()}," for f in spec) + \
-        "_mean:array<double>,_inv:array<double>>"
-    model = df.sparkSession.createDataFrame(table, schema)
-    out = df.join(model, groups, "left") if groups else df.withColumn(
-        "_s", model.select(F.struct("_mean", "_inv")).scalar()).withColumns(
-        {"_mean": F.col("_s._mean"), "_inv": F.col("_s._inv")}).drop("_s")
+
+    @F.pandas_udf("array<double>")
+    def inverse(covs: pd.Series) -> pd.Series:
+        out = []
+        for flat in covs:
+            cov = np.asarray(flat, dtype=float).reshape(d, d)
+            if not np.isfinite(cov).all():
+                out.append(None)  # fewer than two training rows
+                continue
+            lift = ridge * max(float(np.trace(cov)) / d, 1e-300)
+            out.append(np.linalg.pinv(cov + lift * np.eye(d)).ravel())
+        return pd.Series(out)
+
+    model = params.select(*groups, F.col("mean").alias("_mean"), inverse("cov").alias("_inv"))
+    if groups:
+        out = df.join(model, groups, "left")
+    else:
+        out = df.withColumn("_s", scalar(model)).select(
+            *df.columns, F.col("_s._mean").alias("_mean"), F.col("_s._inv").alias("_inv"))
     total = F.lit(0.0)
     c = [F.col(e) - F.col("_mean")[i] for i, e in enumerate(errors)]
     for i in range(d):

@@ -79,9 +79,9 @@ def banded(t: Tables):
     return thresholds.rolling_error_bands(days, 7, hot_rows=None)  # one row per day
 
 
-@query("rolling_error_bands", f"""{BANDS_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('error', 3)} AS error, {R('pc', 3)} AS percentage_change,
-    {R('m', 3)} AS meanval, {R('d', 3)} AS deviation, {R('m - 2 * d', 3)} AS low_1, {R('m + 1.5 * d', 3)} AS high_3,
-    impact::INT AS impact, color::INT AS color, region, {R('CASE WHEN color = 3 THEN error END', 3)} AS anomaly_points FROM v""", digits=3)
+@query("rolling_error_bands", f"""{BANDS_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('error', 5)} AS error, {R('pc', 5)} AS percentage_change,
+    {R('m', 5)} AS meanval, {R('d', 5)} AS deviation, {R('m - 2 * d', 5)} AS low_1, {R('m + 1.5 * d', 5)} AS high_3,
+    impact::INT AS impact, color::INT AS color, region, {R('CASE WHEN color = 3 THEN error END', 5)} AS anomaly_points FROM v""", digits=5)
 def _(t: Tables):
     return day_text(banded(t)).select("date", "error", "percentage_change", "meanval", "deviation", "low_1", "high_3",
                                       "impact", "color", "region", "anomaly_points")
@@ -92,7 +92,7 @@ def _(t: Tables):
     return stats.class_counts(banded(t), ["color", "region"])
 
 
-@query("seasonal_forecast_residual", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('total - trend', 3)} AS residual FROM r""", digits=3)
+@query("seasonal_forecast_residual", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('total - trend', 5)} AS residual FROM r""", digits=5)
 def _(t: Tables):
     return day_text(forecast.seasonal_forecast_residual(recent_days(t), "date", "total", early())).select("date", "residual")
 

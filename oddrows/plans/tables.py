@@ -248,8 +248,8 @@ def _(t: Tables):
 
 @query("broadcast_group_stat", f"""WITH d AS (SELECT o_orderdate::DATE AS date, sum(o_totalprice) AS total FROM orders GROUP BY 1),
     m AS (SELECT isodow(date) - 1 AS dow, avg(total) AS mean FROM d WHERE date < DATE '1998-01-01' GROUP BY 1)
-    SELECT strftime(date, '%Y-%m-%d') AS date, {R('total', 2)} AS total, {R('mean', 3)} AS mean
-    FROM d JOIN m ON isodow(date) - 1 = dow""", digits=3)
+    SELECT strftime(date, '%Y-%m-%d') AS date, {R('total', 2)} AS total, {R('mean')} AS mean
+    FROM d JOIN m ON isodow(date) - 1 = dow""")
 def _(t: Tables):
     days = stats.daily_sum(t.orders, "o_orderdate", "o_totalprice").withColumn("dow", F.weekday("date"))
     means = stats.group_mean_filtered(days, "dow", "total", F.col("date") < F.lit("1998-01-01").cast("date"))
@@ -349,8 +349,8 @@ def _(t: Tables):
     return stats.daily_sum(t.orders, "o_orderdate", "o_totalprice").withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
-@query("group_mean_filtered", f"""SELECT (isodow(o_orderdate) - 1)::INT AS dow, {R('avg(o_totalprice)', 4)} AS mean
-    FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1""", digits=4)
+@query("group_mean_filtered", f"""SELECT (isodow(o_orderdate) - 1)::INT AS dow, {R('avg(o_totalprice)')} AS mean
+    FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1""")
 def _(t: Tables):
     keyed_orders = t.orders.select(F.weekday("o_orderdate").alias("dow"), "o_orderdate", "o_totalprice")
     return stats.group_mean_filtered(keyed_orders, "dow", "o_totalprice",
@@ -419,7 +419,7 @@ PROBS = (0.01, 0.25, 0.5, 0.75, 0.87, 0.99)
 
 @query("quantiles_linear", " UNION ALL ".join(
     f"SELECT l_returnflag, 'l_extendedprice' AS \"column\", {p}::DOUBLE AS prob, count(*)::BIGINT AS n, "
-    f"{R(f'quantile_cont(l_extendedprice, {p})', 4)} AS value FROM lineitem GROUP BY 1" for p in PROBS), digits=4)
+    f"{R(f'quantile_cont(l_extendedprice, {p})')} AS value FROM lineitem GROUP BY 1" for p in PROBS))
 def _(t: Tables):
     return quantiles(t.lineitem, "l_extendedprice", PROBS, "l_returnflag")
 
