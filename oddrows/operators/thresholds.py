@@ -66,7 +66,7 @@ def flag_above(df: DataFrame, threshold: DataFrame | float, score: str = "score"
 
 def rolling_error_bands(
     df: DataFrame, window: int = 7, date: str = "date", series=None,
-    multipliers: Sequence[float] = (2.0, 1.75, 1.5), reference_mode: bool = False,
+    multipliers: Sequence[float] = (2.0, 1.75, 1.5), missing_is_severe: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Error bands of a forecast: columns `actuals` and `predicted` per `date`.
@@ -74,7 +74,7 @@ def rolling_error_bands(
     Adds error, percentage_change, trailing mean and std of the error, six bands
     (`low_1..3`, `high_1..3`, widest first), `impact` (number of bands below the error),
     `color` (severity 0-3), `region` (sign) and `anomaly_points`. Missing inputs count as 0.
-    Until the window is full, severity is null; with no deviation it is 0. `reference_mode`
+    Until the window is full, severity is null; with no deviation it is 0. `missing_is_severe`
     gives severity 3 in both cases, as comparing against missing or equal bands would."""
     value = lambda c: F.coalesce(clean(F.col(c)), F.lit(0.0))
     out = df.withColumns({"actuals": value("actuals"), "predicted": value("predicted")})
@@ -88,7 +88,7 @@ def rolling_error_bands(
     bands = [F.col(c) for c in (*lows, "meanval", *highs)]
     rank = sum(((b < F.col("error")).cast("int") for b in bands), F.lit(0))
     flat = d == 0
-    if reference_mode:
+    if missing_is_severe:
         impact = F.when(d.isNull() | flat, 0).otherwise(rank)
     else:
         impact = F.when(d.isNull(), None).when(flat, 3).otherwise(rank)

@@ -28,8 +28,11 @@ def stream_resample(stream: DataFrame, ts: str, column: str, width: str = "1 day
     ).select(F.col("window.start").alias("bucket"), "mean", "std", "n")
 
 
-def stream_outlier_regions(flagged: DataFrame, ts: str, value: str, gap: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """Stretches of flagged rows no further apart than `gap`, as session windows."""
-    return flagged.filter(F.col("is_outlier") == 1).withWatermark(ts, delay).groupBy(F.session_window(ts, gap)).agg(
-        F.count(F.lit(1)).alias("points"), F.min(value).alias("lo"), F.max(value).alias("hi")
-    ).select(F.col("session_window.start").alias("start"), "points", "lo", "hi")
+def stream_outlier_regions(
+    flagged: DataFrame, ts: str, value: str, series: str, gap: str = "1 hour", delay: str = "1 hour",
+) -> DataFrame:
+    """Stretches of flagged rows of a series no further apart than `gap`, as session windows."""
+    return flagged.filter(F.col("is_outlier") == 1).withWatermark(ts, delay).groupBy(
+        series, F.session_window(ts, gap)
+    ).agg(F.count(F.lit(1)).alias("points"), F.min(value).alias("lo"), F.max(value).alias("hi")).select(
+        series, F.col("session_window.start").alias("start"), "points", "lo", "hi")
