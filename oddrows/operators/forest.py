@@ -91,32 +91,34 @@ def score_isolation_forest(df: DataFrame, forest: DataFrame, columns: Sequence[s
     The forest has at most 2 * trees * sample nodes; it goes to the tasks as dense arrays."""
     nodes = forest.toPandas()
     trees, top = int(nodes["tree"].max()) + 1, int(nodes["node"].max()) + 1
-    feature = np.full((trees, top), -1, dtype=np.int32)
-    cut, path = np.zeros((trees, top)), np.zeros((trees, top))
     t, v = nodes["tree"].to_numpy(), nodes["node"].to_numpy()
-    feature[t, v], cut[t, v] = nodes["feature"].to_numpy(), nodes["cut"].to_numpy()
-    depth = np.floor(np.log2(v))
     leaf = nodes["feature"].to_numpy() < 0
-    path[t[leaf], v[leaf]] = depth[leaf] + [average_path(s) for s in nodes["size"].to_numpy()[leaf]]
-    sizes = nodes[leaf].groupby("tree")["size"].sum()
-    expected = average_path(float(sizes.max()))
-    levels = int(depth.max())
+    sizes = nodes["size"].to_numpy()
+    # leaves lead back to themselves, so every row can take the same number of steps
+    child = np.tile(np.arange(top), (trees, 1))
+    child[t[~leaf], v[~leaf]] = 2 * v[~leaf]
+    feature = np.zeros((trees, top), dtype=np.int64)
+    feature[t, v] = np.maximum(nodes["feature"].to_numpy(), 0)
+    cut = np.full((trees, top), np.inf)
+    cut[t[~leaf], v[~leaf]] = nodes["cut"].to_numpy()[~leaf]
+    depth = np.floor(np.log2(v))
+    path = np.zeros((trees, top))
+    path[t[leaf], v[leaf]] = depth[leaf] + [average_path(n) for n in sizes[leaf]]
+    expected = average_path(float(nodes[leaf].groupby("tree")["size"].sum().max()))
+    levels, single = int(depth.max()), len(list(columns)) == 1
 
     @F.pandas_udf("double")
     def score(xs: pd.Series) -> pd.Series:
-        x = np.stack(xs.to_numpy()).astype(float)
-        total, rows = np.zeros(len(x)), np.arange(len(x))
+        x = np.stack(xs.to_numpy()).astype(float).T
+        n = x.shape[1]
+        flat, rows, total = np.ascontiguousarray(x).ravel(), np.arange(n), np.zeros(n)
         for tree in range(trees):
-            at = np.ones(len(x), dtype=np.int64)
+            to, cuts, at = child[tree], cut[tree], np.ones(n, dtype=np.int64)
             for _ in range(levels):
-                f = feature[tree, at]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                step = 2 * at + (x[rows, np.maximum(f, 0)] >= cut[tree, at])
-                at = np.where(inner, step, at)
-            total += path[tree, at]
-        return pd.Series(2.0 ** (-(total / trees) / expected))
+                value = flat if single else flat.take(feature[tree].take(at) * n + rows)
+                at = to.take(at) + (value >= cuts.take(at))
+            total += path[tree].take(at)
+        return pd.Series(2.0 ** (-(total / trees) / expected)) if expected else pd.Series(np.full(n, 0.5))
 
     vector = F.array(*[F.col(c).cast("double") for c in columns])
     whole = F.lit(True)
