@@ -31,10 +31,21 @@ def largest_group(df: DataFrame, series: list[str]) -> int:
     return top["top"] or 0
 
 
+class Split(int):
+    """A row limit already measured to be exceeded: the split path is taken without a count."""
+
+
 def fits_one_task(df: DataFrame, series: list[str], hot_rows: int | None) -> bool:
+    if isinstance(hot_rows, Split):
+        return False
     return hot_rows is None or largest_group(df, series) <= hot_rows
 
 
+def settle(df: DataFrame, series: str | list[str] | None, hot_rows: int | None) -> int | None:
+    """Measure the largest series once for an operator of several ordered steps."""
+    return None if fits_one_task(df, names(series), hot_rows) else Split(hot_rows)
+
+
 def sorted_run(df: DataFrame, order: list) -> DataFrame:
     """Range-partition and sort by `order`; `_run` is the partition, `_off` the place in it.
 
@@ -113,7 +124,7 @@ def row_frames(
     by, order = names(series), names(order_by)
     if fits_one_task(df, by, hot_rows):
         return df, Window.partitionBy(*by).orderBy(*order), lambda out: out
-    placed = with_position(df, order, by, "_pos", hot_rows)
+    placed = with_position(df, order, by, "_pos", Split(hot_rows))
     size = max(int(hot_rows), before + after + 1)
     chunk = F.floor(F.col("_pos") / size)
     lowest = F.greatest(F.floor((F.col("_pos") - after) / size), F.lit(0).cast("bigint"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oddrows.functions.columns import clean, names, scalar
-from oddrows.functions.ordering import HOT_ROWS, carried, with_position
+from oddrows.functions.ordering import HOT_ROWS, carried, settle, with_position
 from oddrows.functions.sizes import broadcast_if_small
 
 
@@ -114,6 +114,7 @@ def fill_gaps_with_neighbours(
 
     In a run of m zeros between p and q, place j gets p / 2^j, and the last one q / 2 more.
     Runs that touch an end of the series stay zero."""
+    hot_rows = settle(df, series, hot_rows)
     out = with_position(df, [order_by], series, "_p", hot_rows)
     here = {c: F.when(F.col(c) != 0, F.struct(F.col("_p").alias("p"), F.col(c).alias("x"))) for c in channels}
     out = carried(out, ["_p"], {f"_b_{c}": v for c, v in here.items()},

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import names, scalar
+from oddrows.functions.lineage import written
 from oddrows.functions.ordering import HOT_ROWS, prefix_sums, with_position
 from oddrows.functions.quantiles import quantiles
 from oddrows.operators.stats import describe, equal_width_histogram
@@ -33,10 +34,10 @@ def threshold_counts(df: DataFrame, score: str, label: str, hot_rows: int | None
     """Per distinct score, from the top: positives and negatives at it (`pos`, `neg`) and at or
     above it (`tp`, `fp`), and the totals. Rows are combined per score before any ordering."""
     y = F.col(label) == 1
-    per = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    per = written(df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
+        F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))  # the rows are scanned once
     cum = prefix_sums(per, [F.desc("threshold")], {"tp": F.col("pos"), "fp": F.col("neg")}, hot_rows=hot_rows)
-    totals = df.filter(F.col(score).isNotNull()).agg(F.count_if(y).alias("p"), F.count_if(~y).alias("n"))
+    totals = per.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return cum.withColumn("_t", scalar(totals)).select(
         "threshold", "pos", "neg", "tp", "fp", F.col("_t.p").alias("p"), F.col("_t.n").alias("n"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import hash32, names, scalar
-from oddrows.functions.ordering import HOT_ROWS, row_frames
+from oddrows.functions.ordering import HOT_ROWS, row_frames, settle
 from oddrows.operators.linear import (
     apply_linear, cross_validated_ridge, fit_linear, gram, linear_value, solve_subsets,
 )
@@ -65,6 +65,7 @@ def seasonal_ar_table(
     hence the same rows; AIC = n ln(rss / n) + 2 k with k coefficients."""
     chosen = seasonal_candidates(orders, seasonal, period)
     lags = sorted({lag for _, _, ls in chosen for lag in ls})
+    hot_rows = settle(df, series, hot_rows)
     diffs = difference(df, value, order_by, series, 1, period, "_d", hot_rows)
     feats = _lag_names("_d", lags)
     grams = gram(with_lags(diffs, "_d", lags, order_by, series, hot_rows), feats, "_d", series)
@@ -90,6 +91,7 @@ def seasonal_ar_predict(
     """One-step predictions on the original scale: forecast of the difference plus the values it
     is taken against; 0 where the history is too short."""
     lags = sorted({lag for _, _, ls in seasonal_candidates(orders, seasonal, period) for lag in ls})
+    hot_rows = settle(df, series, hot_rows)
     out = difference(df, value, order_by, series, 1, period, "_d", hot_rows)
     out = with_lags(out, "_d", lags, order_by, series, hot_rows)
     out = out.withColumn("_base", F.col(value) - F.col("_d"))

@@ -10,9 +10,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oddrows.functions.columns import clean, hash32, names, scalar, uniform
+from oddrows.functions.columns import hash32, names, uniform
 from oddrows.functions.ordering import (
-    HOT_ROWS, carried, prefix_sums, row_frames, with_position, with_series_size,
+    HOT_ROWS, prefix_sums, row_frames, settle, with_position, with_series_size,
 )
 from oddrows.functions.quantiles import quantiles
 
@@ -55,6 +55,7 @@ def sliding_windows(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Windows of size + 1 rows every `step` rows: array `inputs` and the last value `target`."""
+    hot_rows = settle(df, series, hot_rows)
     placed = with_position(df, names(order_by), series, "pos", hot_rows)
     out, w, finish = row_frames(placed, "pos", series, after=size, hot_rows=hot_rows)
     block = F.collect_list(F.struct(F.col(column).alias("v"))).over(w.rowsBetween(0, size))
@@ -94,6 +95,7 @@ def shifted_chunks(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Chunk number, input and next value as target; the last row has no target and is left out."""
+    hot_rows = settle(df, series, hot_rows)
     placed = with_position(df, names(order_by), series, "pos", hot_rows)
     out, w, finish = row_frames(placed, "pos", series, after=1, hot_rows=hot_rows)
     out = out.withColumns({"input": F.col(column), "target": F.lead(column, 1).over(w),
@@ -224,7 +226,7 @@ def outlier_regions(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Contiguous stretches of flagged rows: first value, last value and number of points."""
-    by = names(series)
+    by, hot_rows = names(series), settle(df, series, hot_rows)
     out, w, finish = row_frames(df, names(order_by), series, before=1, hot_rows=hot_rows)
     start = ((F.col(flag) == 1) & (F.coalesce(F.lag(flag, 1).over(w), F.lit(0)) != 1)).cast("int")
     marked = finish(out.withColumn("_start", start))

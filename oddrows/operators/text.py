@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oddrows.functions.columns import names
+from oddrows.functions.columns import uniform
+from oddrows.functions.lineage import written
 from oddrows.functions.ordering import HOT_ROWS, with_position
 
 # Characters that separate words.
@@ -39,7 +40,8 @@ def build_vocabulary(df: DataFrame, text: str, num_words: int | None = None, hot
         top = counts.orderBy(F.desc("count"), "word").limit(max(num_words - 1, 0))
         order = Window.orderBy(F.desc("count"), "word")  # fewer than num_words rows
         return top.withColumn("index", F.row_number().over(order).cast("bigint"))
-    placed = with_position(counts, [F.desc("count"), F.col("word")], name="index", hot_rows=hot_rows)
+    # texts are scanned once; ordering works on the written counts
+    placed = with_position(written(counts), [F.desc("count"), F.col("word")], name="index", hot_rows=hot_rows)
     return placed.withColumn("index", F.col("index") + 1)
 
 
@@ -76,7 +78,6 @@ def pad_sequences(df: DataFrame, sequence: str, length: int = 350, to: str | Non
 
 def hash_vectors(vocabulary: DataFrame, dim: int, seed: int = 0) -> DataFrame:
     """Stand-in word vectors in [-0.5, 0.5) from a hash of (seed, place, word)."""
-    from oddrows.functions.columns import uniform
     vec = F.array(*[(uniform(seed, i, "word") - 0.5).cast("double") for i in range(dim)])
     return vocabulary.select("word", vec.alias("vec"))
 

@@ -49,7 +49,9 @@ def score_iqr_fence(df: DataFrame, fences: DataFrame, columns: str | Sequence[st
 
 
 def fit_contamination(scores: DataFrame, score: str, contamination: float) -> DataFrame:
-    """Threshold at the (1 - contamination) quantile of the training scores."""
+    """Threshold at the (1 - contamination) quantile of the training scores.
+
+    The scores are read several times: pass a written table when they are costly."""
     return quantiles(scores, score, [1.0 - contamination]).select(F.col("value").alias("threshold"))
 
 

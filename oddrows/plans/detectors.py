@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, neighbours, sequence, stats, thresholds
 from oddrows.operators.scaling import zscore_apply, zscore_fit
 from oddrows.plans.registry import H, R, Tables, U, query
@@ -203,7 +204,7 @@ def _(t: Tables):
     SELECT p_partkey, {R('near[5]')} AS score, (near[5] > threshold)::INT AS is_outlier FROM d, q""")
 def _(t: Tables):
     rows = t.part.select("p_partkey", "p_retailprice", "p_size")
-    scored = neighbours.knn_distance(rows, ["p_retailprice", "p_size"], 5).select("p_partkey", "score")
+    scored = written(neighbours.knn_distance(rows, ["p_retailprice", "p_size"], 5).select("p_partkey", "score"))
     return thresholds.flag_above(scored, thresholds.fit_contamination(scored, "score", 0.01))
 
 
@@ -269,7 +270,7 @@ XYF = "SELECT event_id AS id, value AS x0, json_extract(props, '$.k')::DOUBLE AS
 def _(t: Tables):
     rows = keyed(t).select("event_id", "value", "k")
     trees = forest.fit_isolation_forest(rows, ["value", "k"], "event_id", trees=20, sample=64)
-    scored = forest.score_isolation_forest(rows, trees, ["value", "k"]).select("event_id", "score")
+    scored = written(forest.score_isolation_forest(rows, trees, ["value", "k"]).select("event_id", "score"))
     return thresholds.flag_above(scored, thresholds.fit_contamination(scored, "score", 0.13))
 
 
@@ -339,7 +340,7 @@ def _(t: Tables):
 def _(t: Tables):
     """64-step sequences: fit on label 0 as the normal class, L1 error, threshold from its own quantile."""
     params = linear.pca_fit(t.embeddings.filter("label = 0"), "embedding", k=8, width=64)
-    scored = linear.reconstruction_error(t.embeddings, params, "embedding", loss="l1").select("vec_id", "label", "score")
+    scored = written(linear.reconstruction_error(t.embeddings, params, "embedding", loss="l1").select("vec_id", "label", "score"))
     limit = thresholds.fit_contamination(scored.filter("label = 0"), "score", 0.02)
     return thresholds.flag_above(scored, limit)
 

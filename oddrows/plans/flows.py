@@ -34,7 +34,7 @@ def sensor_flow(wide: DataFrame, columns: list[str], key: str, share: float = 0.
     near = clustering.kmeans_distance_outliers(fenced, clustering.lloyd(scores, axes, 2, 10), share)
     near = near.drop("score", "cluster").withColumnRenamed("is_outlier", "by_centre")
     trees = forest.fit_isolation_forest(scores, axes, key)
-    wooded = forest.score_isolation_forest(near, trees, axes)
+    wooded = written(forest.score_isolation_forest(near, trees, axes))
     limit = thresholds.fit_contamination(wooded, "score", share)
     return thresholds.flag_above(wooded, limit, "score", "by_forest").drop("score")
 
@@ -64,8 +64,8 @@ def _(t: Tables):
 HORIZONS = 2
 
 
-def channel_errors(rows: DataFrame, channel: str, series: str, order_by: str, value: str, steps: int = HORIZONS) -> DataFrame:
-    """Errors of naive forecasts 1..steps rows ahead, standardised per channel."""
+def channel_errors(rows: DataFrame, series: str, order_by: str, value: str, steps: int = HORIZONS) -> DataFrame:
+    """Errors of naive forecasts 1..steps rows ahead."""
     lagged = sequence.lag_matrix(rows, value, list(range(1, steps + 1)), order_by, series)
     return lagged.withColumns({f"e{h}": F.col(value) - F.col(f"{value}_lag_{h}") for h in range(1, steps + 1)})
 
@@ -87,7 +87,7 @@ def _(t: Tables):
                            (F.col("value") > 60).cast("int").alias("label"))
     scaled = scaling.zscore_apply(rows, scaling.zscore_fit(rows.filter("split = 'train'"), "value", "event_type", ddof=1),
                                   "value", "event_type")
-    errors = channel_errors(scaled, "event_type", "user_id", "ts", "value").dropna(subset=["e1", "e2"])
+    errors = channel_errors(scaled, "user_id", "ts", "value").dropna(subset=["e1", "e2"])
     params = stats.error_mean_cov(errors.filter("split = 'train'"), ["e1", "e2"], "event_type")
     scored = forecast.gaussian_score(errors.filter("split = 'test'"), params, ["e1", "e2"], "event_type", ridge=0.0)
     return evaluation.confusion_matrix(thresholds.flag_above(scored, 6.0), "is_outlier", "label", "event_type")
@@ -97,7 +97,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Best F-beta over 1,000 log-spaced thresholds of the Gaussian score of one-channel errors."""
     rows = t.events.select("event_id", "user_id", "ts", "value", (F.col("value") > 60).cast("int").alias("label"))
-    errors = channel_errors(rows, "event_type", "user_id", "ts", "value").dropna(subset=["e1", "e2"])
+    errors = channel_errors(rows, "user_id", "ts", "value").dropna(subset=["e1", "e2"])
     scored = forecast.gaussian_score(errors, stats.error_mean_cov(errors, ["e1", "e2"]), ["e1", "e2"])
     swept = evaluation.fbeta_sweep(written(scored.select("score", "label")), "score", "label", 1000, spacing="log")
     return stats.best_by(swept.filter("fbeta is not null"), "fbeta", lowest=False, tie="step").select("threshold", "precision", "recall", "fbeta")
