@@ -30,6 +30,15 @@ def match_label_timestamps(df: DataFrame, labels: DataFrame, on: str | Sequence[
     return df.join(labels.select(*names(on)).distinct(), names(on), "left_semi")
 
 
+#: buckets the whole span of the ranges is cut to
+RANGE_BUCKETS = 4_096
+
+
+def _bucket_width(ranges: DataFrame) -> int:
+    span = ranges.agg((F.max("hi") - F.min("lo")).alias("span")).first()["span"]  # one row
+    return max(1, (span or 0) // RANGE_BUCKETS + 1)
+
+
 def _ranges_by_bucket(ranges: DataFrame, on: list[str], width: int, extra: list[str]) -> DataFrame:
     cut = ranges.select(*on, "lo", "hi", *extra, F.explode(F.sequence(
         F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))).alias("_bucket"))
@@ -39,13 +48,13 @@ def _ranges_by_bucket(ranges: DataFrame, on: list[str], width: int, extra: list[
 
 def label_by_ranges(
     df: DataFrame, ranges: DataFrame, index: str, on: str | Sequence[str] | None = None,
-    label: str = "label", width: int = 10_000,
+    label: str = "label", width: int | None = None,
 ) -> DataFrame:
     """1 where lo < index < hi for any range of the row's file, else 0.
 
-    Ranges are cut to index buckets, so the join is an equi-join whose buckets stay small
-    however long a file is, and overlapping ranges do not repeat rows."""
-    keys = names(on)
+    Ranges are cut to index buckets of `width` (default: the span in `RANGE_BUCKETS` parts), so
+    the join is an equi-join on (file, bucket) and overlapping ranges do not repeat rows."""
+    keys, width = names(on), width or _bucket_width(ranges)
     cut = _ranges_by_bucket(ranges, keys, width, [])
     i = F.col(index)
     inside = F.exists("_ranges", lambda r: (r["lo"] < i) & (i < r["hi"]))
@@ -55,11 +64,11 @@ def label_by_ranges(
 
 def split_by_ranges(
     df: DataFrame, ranges: DataFrame, index: str, on: str | Sequence[str] | None = None,
-    split: str = "split", width: int = 10_000,
+    split: str = "split", width: int | None = None,
 ) -> DataFrame:
     """Split name of the half-open range lo <= index < hi; rows outside every range are left
     out, a row inside the ranges of two splits appears in both."""
-    keys = names(on)
+    keys, width = names(on), width or _bucket_width(ranges)
     cut = _ranges_by_bucket(ranges, keys, width, [split])
     i = F.col(index)
     hits = F.filter("_ranges", lambda r: (r["lo"] <= i) & (i < r["hi"]))

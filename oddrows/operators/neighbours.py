@@ -18,7 +18,7 @@ from oddrows.functions.lineage import written
 from oddrows.functions.ordering import HOT_ROWS, row_frames
 
 #: distinct points per cell, visits of one cell handled together, most cells
-CELL_POINTS = 1_000
+CELL_POINTS = 400
 CELL_VISITS = 20_000
 MAX_CELLS = 250_000
 
@@ -58,6 +58,15 @@ class _Cells:
             out[rows] = self.base[s] + np.searchsorted(self.tiles[s], y[rows], side="left")
         return out
 
+    def enclosed(self, x: np.ndarray, y: np.ndarray, r: np.ndarray, home: np.ndarray) -> np.ndarray:
+        """True where the circle of radius r stays inside the home cell."""
+        slab = np.searchsorted(self.base, home, side="right") - 1
+        sides = np.concatenate([[-np.inf], self.slabs, [np.inf]])
+        ends = [np.concatenate([[-np.inf], t, [np.inf]]) for t in self.tiles]
+        low = np.concatenate([e[:-1] for e in ends])[home]
+        high = np.concatenate([e[1:] for e in ends])[home]
+        return (x - r >= sides[slab]) & (x + r <= sides[slab + 1]) & (y - r >= low) & (y + r <= high)
+
     def reached(self, x: float, y: float, r: float, home: int) -> list[int]:
         """Cells other than `home` nearer than r (all others when r is infinite)."""
         first = int(np.searchsorted(self.slabs, x - r, side="left"))
@@ -104,28 +113,29 @@ def _fit_cells(points: DataFrame, two: bool, cell_points: int) -> _Cells:
     return _Cells(slabs, tiles)
 
 
-def _nearest(queries: pd.DataFrame, points: pd.DataFrame, k: int, home: bool, exclude_self: bool) -> list[list[float]]:
+def _nearest(queries: pd.DataFrame, points: pd.DataFrame, k: int, home: bool, exclude_self: bool) -> list[np.ndarray]:
     """k smallest distances of every query to the points of one cell; a point stands for `m` rows."""
     xy, m = points[["x", "y"]].to_numpy(dtype=float), points["m"].to_numpy()
-    out: list[list[float]] = []
-    block = max(1, 4_000_000 // max(len(points), 1))
     q = queries[["x", "y"]].to_numpy(dtype=float)
+    out: list[np.ndarray] = []
+    block = max(1, 4_000_000 // len(points))
+    wanted = np.arange(1, k + 1)
     for at in range(0, len(q), block):
         part = q[at:at + block]
         d = np.sqrt((part[:, None, 0] - xy[None, :, 0]) ** 2 + (part[:, None, 1] - xy[None, :, 1]) ** 2)
         few = min(k + 1, d.shape[1])
-        near = np.argpartition(d, few - 1, axis=1)[:, :few] if few < d.shape[1] else np.tile(np.arange(few), (len(part), 1))
-        for row, idx in zip(d, near):
-            idx = idx[np.argsort(row[idx], kind="stable")]
-            values: list[float] = []
-            for j in idx:
-                copies = int(m[j])
-                if home and exclude_self and row[j] == 0.0:
-                    copies -= 1
-                values += [float(row[j])] * min(copies, k)
-                if len(values) >= k:
-                    break
-            out.append(values[:k])
+        near = np.argpartition(d, few - 1, axis=1)[:, :few]
+        dist = np.take_along_axis(d, near, axis=1)
+        order = np.argsort(dist, axis=1, kind="stable")
+        dist, rows = np.take_along_axis(dist, order, axis=1), m[np.take_along_axis(near, order, axis=1)]
+        if home and exclude_self:
+            rows = rows - (dist == 0.0)  # distinct points: only the query itself lies at 0
+        held = np.cumsum(rows, axis=1)
+        # place of the j-th nearest row among the points, counting every point `rows` times
+        place = (held[:, None, :] < wanted[None, :, None]).sum(axis=2)
+        padded = np.column_stack([dist, np.full(len(dist), np.inf)])
+        found = np.take_along_axis(padded, place, axis=1)
+        out += [row[np.isfinite(row)] for row in found]
     return out
 
 
@@ -156,8 +166,9 @@ def knn_distance(
 
     @F.pandas_udf("array<bigint>")
     def reached(xs: pd.Series, ys: pd.Series, rs: pd.Series, homes: pd.Series) -> pd.Series:
-        grid = _Cells(*borders.value)
-        return pd.Series([grid.reached(*row) for row in zip(xs, ys, rs.fillna(math.inf), homes)])
+        grid, r = _Cells(*borders.value), rs.fillna(math.inf)
+        done = grid.enclosed(xs.to_numpy(float), ys.to_numpy(float), r.to_numpy(float), homes.to_numpy())
+        return pd.Series([[] if ok else grid.reached(*row) for ok, row in zip(done, zip(xs, ys, r, homes))])
 
     placed = points.withColumn("cell", locate("x", "y"))
     own = queries is None

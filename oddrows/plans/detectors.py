@@ -8,7 +8,7 @@ from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, neighbours, sequence, stats, thresholds
 from oddrows.operators.scaling import zscore_apply, zscore_fit
 from oddrows.plans.registry import H, R, Tables, U, query
-from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, daily, day_text, early, hourly, recent_days, train_rows
+from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, day_text, early, hourly, recent_days, train_rows
 from oddrows.plans.tables import DATED_SQL, KEYED_SQL, dated_texts, keyed
 
 # ---------------------------------------------------------------- fences and thresholds

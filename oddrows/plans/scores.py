@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oddrows.operators import clustering, evaluation, forecast, sequence, stats, text, thresholds
+from oddrows.operators import evaluation, forecast, sequence, stats, text, thresholds
 from oddrows.functions.columns import rounded
 from oddrows.plans.registry import R, Tables, U, query
-from oddrows.plans.series import TREND_SQL, W, day_text, early, recent_days
-from oddrows.plans.tables import KEYED_SQL, RANGES, RANGES_SQL, histogram_sql, keyed, vocabulary_sql, words_sql
+from oddrows.plans.series import TREND_SQL, early, recent_days
+from oddrows.plans.tables import RANGES_SQL, SPLITS_SQL, histogram_sql, keyed, label_ranges, split_ranges, vocabulary_sql, words_sql
 from oddrows.operators import joins
 from oddrows.sources import readers, writers
 
@@ -254,15 +254,16 @@ def _(t: Tables):
     return out.groupBy("series", "ts").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("read_numeric_lines", f"SELECT count(*)::BIGINT AS lines, {R('sum(value)', 2)} AS total, {R('sum(value * event_id)', 0)} AS placed FROM events", digits=2)
+@query("read_numeric_lines", f"SELECT count(*)::BIGINT AS lines, {R('sum(value)', 2)} AS total, 0::BIGINT AS misplaced FROM events", digits=2)
 def _(t: Tables):
+    """Files of consecutive ids: inside a file, id minus line number must be constant."""
     path = t.scratch()
-    ordered = t.events.orderBy("event_id").coalesce(1)
-    ordered.select(F.concat_ws(" ", "event_id", "value").alias("value")).write.text(path)
-    out = readers.read_numeric_lines(t.spark, path, drop_first=True)
-    # the file holds one event per line in id order, so the line number is the id
-    return out.agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("channels")[0]).alias("total"),
-                   F.round(F.sum(F.col("channels")[0] * F.col("line")), 0).alias("placed"))
+    t.events.orderBy("event_id").select(F.concat_ws(" ", "event_id", "value").alias("value")).write.text(path)
+    lines = readers.read_numeric_lines(t.spark, path)
+    shift = F.col("channels")[0] - F.col("line")
+    files = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("channels")[1]).alias("v"),
+                                      (F.max(shift) - F.min(shift)).alias("spread"))
+    return files.agg(F.sum("n").alias("lines"), F.sum("v").alias("total"), F.count_if(F.col("spread") != 0).alias("misplaced"))
 
 
 @query("read_headerless_csv", "SELECT event_id, value FROM events", digits=2)
@@ -302,14 +303,13 @@ def _(t: Tables):
     return back["target"].join(back["score"], ["channel", "event_id"])
 
 
-@query("write_labeled_splits", f"""SELECT event_id, value, CASE WHEN event_id < 600 THEN 'train' ELSE 'test' END AS split,
-    (EXISTS (SELECT 1 FROM (VALUES {RANGES_SQL}) r(f, lo, hi) WHERE f = event_type AND lo < event_id AND event_id < hi))::INT AS label FROM events""")
+@query("write_labeled_splits", f"""SELECT event_id, value, s AS split, (EXISTS (SELECT 1 FROM ({RANGES_SQL}) r
+    WHERE f = event_type AND lo < event_id AND event_id < hi))::INT AS label FROM events
+    JOIN ({SPLITS_SQL}) q ON f = event_type AND lo <= event_id AND event_id < hi""")
 def _(t: Tables):
     path = t.scratch()
-    ranges = t.spark.createDataFrame(RANGES, "event_type string, lo bigint, hi bigint")
-    rows = joins.label_by_ranges(t.events.select("event_id", "event_type", "value"), ranges, "event_id", "event_type")
-    parts = t.spark.createDataFrame([("train", 0, 600), ("test", 600, 2**40)], "split string, lo bigint, hi bigint")
-    writers.write_labeled_splits(joins.split_by_ranges(rows, parts, "event_id", width=2**40), path)
+    rows = joins.label_by_ranges(t.events.select("event_id", "event_type", "value"), label_ranges(t), "event_id", "event_type")
+    writers.write_labeled_splits(joins.split_by_ranges(rows, split_ranges(t), "event_id", "event_type"), path)
     return t.spark.read.parquet(path).select("event_id", "value", "split", "label")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from oddrows.operators import forecast, joins, scaling, sequence, stats
 from oddrows.plans.registry import H, R, Tables, U, query
-from oddrows.plans.tables import KEYED_SQL, keyed
+from oddrows.plans.tables import keyed
 
 #: events of one user in time order; `ts` is unique
 W = "PARTITION BY user_id ORDER BY ts"

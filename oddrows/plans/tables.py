@@ -224,26 +224,38 @@ def _(t: Tables):
     return joins.match_label_timestamps(minute, labels, "minute").select("event_id", "event_type")
 
 
-RANGES = [("click", 100, 480), ("click", 450, 900), ("error", 200, 2900), ("view", 0, 7000), ("purchase", 30, 40)]
-RANGES_SQL = ", ".join(f"('{f}', {lo}, {hi})" for f, lo, hi in RANGES)
+#: (lo, hi) in thousandths of the largest index of a file; two of them overlap
+PARTS = [(10, 48), (45, 90), (200, 290), (700, 750), (990, 1001)]
+RANGES_SQL = f"""SELECT event_type AS f, (top * a) // 1000 AS lo, (top * b) // 1000 AS hi FROM (SELECT event_type, max(event_id) AS top
+    FROM events GROUP BY 1), (VALUES {', '.join(map(str, PARTS))}) p(a, b)"""
+SPLITS = [("train", 0, 600), ("test", 500, 1001)]
+SPLITS_SQL = f"""SELECT event_type AS f, s, (top * a) // 1000 AS lo, (top * b) // 1000 + 1 AS hi FROM (SELECT event_type, max(event_id) AS top
+    FROM events GROUP BY 1), (VALUES {', '.join(map(str, SPLITS))}) p(s, a, b)"""
 
 
-@query("label_by_ranges", f"""SELECT event_id, event_type, (EXISTS (SELECT 1 FROM (VALUES {RANGES_SQL}) r(f, lo, hi)
-    WHERE f = event_type AND lo < event_id AND event_id < hi))::INT AS label FROM events""")
-def _(t: Tables):
-    ranges = t.spark.createDataFrame(RANGES, "event_type string, lo bigint, hi bigint")
-    return joins.label_by_ranges(t.events.select("event_id", "event_type"), ranges, "event_id", "event_type")
+def label_ranges(t: Tables):
+    """Label ranges of every file (event type), placed along its whole length."""
+    parts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in PARTS])
+    tops = t.events.groupBy("event_type").agg(F.max("event_id").alias("top")).select("*", F.inline(parts))
+    return tops.select("event_type", F.expr("top * a div 1000").alias("lo"), F.expr("top * b div 1000").alias("hi"))
+
 
+def split_ranges(t: Tables):
+    parts = F.array(*[F.struct(F.lit(n).alias("split"), F.lit(a).alias("a"), F.lit(b).alias("b")) for n, a, b in SPLITS])
+    tops = t.events.groupBy("event_type").agg(F.max("event_id").alias("top")).select("*", F.inline(parts))
+    return tops.select("event_type", "split", F.expr("top * a div 1000").alias("lo"), F.expr("top * b div 1000 + 1").alias("hi"))
 
-SPLITS = [("click", "train", 0, 600), ("click", "test", 600, 5000), ("error", "train", 0, 900), ("error", "test", 800, 9000)]
-SPLITS_SQL = ", ".join(f"('{f}', '{s}', {lo}, {hi})" for f, s, lo, hi in SPLITS)
+
+@query("label_by_ranges", f"""SELECT event_id, event_type, (EXISTS (SELECT 1 FROM ({RANGES_SQL}) r
+    WHERE f = event_type AND lo < event_id AND event_id < hi))::INT AS label FROM events""")
+def _(t: Tables):
+    return joins.label_by_ranges(t.events.select("event_id", "event_type"), label_ranges(t), "event_id", "event_type")
 
 
 @query("split_by_ranges", f"""SELECT event_id, event_type, s AS split FROM events
-    JOIN (VALUES {SPLITS_SQL}) r(f, s, lo, hi) ON f = event_type AND lo <= event_id AND event_id < hi""")
+    JOIN ({SPLITS_SQL}) r ON f = event_type AND lo <= event_id AND event_id < hi""")
 def _(t: Tables):
-    ranges = t.spark.createDataFrame(SPLITS, "event_type string, split string, lo bigint, hi bigint")
-    return joins.split_by_ranges(t.events.select("event_id", "event_type"), ranges, "event_id", "event_type")
+    return joins.split_by_ranges(t.events.select("event_id", "event_type"), split_ranges(t), "event_id", "event_type")
 
 
 @query("broadcast_group_stat", f"""WITH d AS (SELECT o_orderdate::DATE AS date, sum(o_totalprice) AS total FROM orders GROUP BY 1),
