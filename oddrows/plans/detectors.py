@@ -451,10 +451,17 @@ def _(t: Tables):
     return out.select("event_id", "predicted_score", "relative_score")
 
 
-@query("adaptive_threshold_cv")
+CV_RIDGES = (0.0, 0.001, 0.1)
+
+
+@query("adaptive_threshold_cv", f"""{ERRORS_SQL}, s AS (SELECT abs(e1) AS y, abs(e2) AS x, {H("'0:' || event_id")} % 5 AS fold FROM o
+        WHERE e1 IS NOT NULL AND e2 IS NOT NULL),
+    m AS (SELECT f, ridge, regr_sxy(y, x) / (regr_sxx(y, x) + ridge * count(*)) AS b, avg(x) AS mx, avg(y) AS my
+        FROM s, range(5) g(f), (VALUES {', '.join(f'({r}::DOUBLE)' for r in CV_RIDGES)}) v(ridge) WHERE fold <> f GROUP BY f, ridge)
+    SELECT ridge, {R('sum(pow(y - my - b * (x - mx), 2)) / (SELECT count(*) FROM s)')} AS mse FROM s JOIN m ON fold = f GROUP BY ridge""")
 def _(t: Tables):
     errors = horizon_errors(t).dropna(subset=["e1", "e2"]).withColumns({"score": F.abs("e1"), "f": F.abs("e2")})
-    return forecast.adaptive_threshold(errors, errors, "score", ["f"], "event_id")[0]
+    return forecast.adaptive_threshold(errors, errors, "score", ["f"], "event_id", ridges=CV_RIDGES)[0]
 
 
 TEXT_SQL = f"""WITH d AS (SELECT ts::DATE AS date, sum(value) AS total FROM events GROUP BY 1),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from oddrows.functions.lineage import written
 from oddrows.operators import cleaning, clustering, evaluation, forecast, forest, joins, linear, scaling, sequence, stats, thresholds
 from oddrows.plans.registry import R, Tables, query
+from oddrows.plans.scores import best_sweep, best_sweep_sql
 from oddrows.plans.series import W
 
 # ---------------------------------------------------------------- wide sensor table
@@ -93,14 +94,16 @@ def _(t: Tables):
     return evaluation.confusion_matrix(thresholds.flag_above(scored, 6.0), "is_outlier", "label", "event_type")
 
 
-@query("channel_fbeta_best")
+@query("channel_fbeta_best", f"""WITH e AS (SELECT (value > 60)::INT AS label, value - lag(value, 1) OVER ({W}) AS e1, value - lag(value, 2) OVER ({W}) AS e2 FROM events),
+    u AS (SELECT * FROM e WHERE e1 IS NOT NULL AND e2 IS NOT NULL),
+    m AS (SELECT avg(e1) AS m1, avg(e2) AS m2, var_samp(e1) AS a, covar_samp(e1, e2) AS b, var_samp(e2) AS c FROM u),
+    {best_sweep_sql("SELECT label, (c * pow(e1 - m1, 2) - 2 * b * (e1 - m1) * (e2 - m2) + a * pow(e2 - m2, 2)) / (a * c - b * b) AS score FROM u, m")}""")
 def _(t: Tables):
     """Best F-beta over 1,000 log-spaced thresholds of the Gaussian score of one-channel errors."""
     rows = t.events.select("event_id", "user_id", "ts", "value", (F.col("value") > 60).cast("int").alias("label"))
     errors = channel_errors(rows, "user_id", "ts", "value").dropna(subset=["e1", "e2"])
-    scored = forecast.gaussian_score(errors, stats.error_mean_cov(errors, ["e1", "e2"]), ["e1", "e2"])
-    swept = evaluation.fbeta_sweep(written(scored.select("score", "label")), "score", "label", 1000, spacing="log")
-    return stats.best_by(swept.filter("fbeta is not null"), "fbeta", lowest=False, tie="step").select("threshold", "precision", "recall", "fbeta")
+    scored = forecast.gaussian_score(errors, stats.error_mean_cov(errors, ["e1", "e2"]), ["e1", "e2"], ridge=0.0)
+    return best_sweep(written(scored.select("score", "label")))
 
 
 # ---------------------------------------------------------------- reconstruction error of labelled vectors

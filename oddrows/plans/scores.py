@@ -74,10 +74,26 @@ def _(t: Tables):
     return evaluation.fbeta_sweep(scores(t), "score", "label", 1000, beta=0.5)
 
 
-@query("fbeta_best")
+def best_sweep_sql(scored: str) -> str:
+    """SQL for the best F1 over 1,000 log-spaced thresholds of `scored(score, label)`."""
+    return f"""s AS ({scored}), g AS (SELECT j, exp(ln((SELECT max(score) FROM s)) * (j::DOUBLE / 999::DOUBLE)) AS threshold FROM range(1000) r(j)),
+        k AS (SELECT j, threshold, count(*) FILTER (score > threshold AND label = 1) AS tp, count(*) FILTER (score > threshold) AS flagged,
+            count(*) FILTER (label = 1) AS p FROM g, s GROUP BY 1, 2),
+        f AS (SELECT *, 2 * tp / nullif(p + flagged, 0) AS fbeta FROM k)
+        SELECT {R('threshold')} AS threshold, {R('tp / nullif(flagged, 0)')} AS precision, {R('tp / p')} AS recall, {R('fbeta')} AS fbeta
+        FROM f WHERE fbeta IS NOT NULL ORDER BY f.fbeta DESC, j LIMIT 1"""
+
+
+def best_sweep(scored):
+    """The threshold with the best F1 (the lowest one of several)."""
+    swept = evaluation.fbeta_sweep(scored, "score", "label", 1000, spacing="log")
+    best = stats.best_by(swept.filter("fbeta is not null"), "fbeta", lowest=False, tie="step")
+    return best.select("threshold", "precision", "recall", "fbeta")
+
+
+@query("fbeta_best", f"WITH {best_sweep_sql(SCORES_SQL)}")
 def _(t: Tables):
-    swept = evaluation.fbeta_sweep(scores(t), "score", "label", 1000, spacing="log")
-    return stats.best_by(swept.filter("fbeta is not null"), "fbeta", lowest=False)
+    return best_sweep(scores(t))
 
 
 @query("precision_at_n", f"""WITH s AS ({SCORES_SQL}), n AS (SELECT count(*) FILTER (label = 1) AS p, count(*) AS n FROM s),
