@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, neighbours, sequence, stats, thresholds
 from oddrows.operators.scaling import zscore_apply, zscore_fit
-from oddrows.plans.registry import H, R, Tables, U, query
+from oddrows.plans.registry import H, R, Tables, U, least_squares_sql, query
 from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, day_text, early, hourly, recent_days, train_rows
-from oddrows.plans.tables import DATED_SQL, KEYED_SQL, dated_texts, keyed
+from oddrows.operators.text import build_vocabulary, hash_vectors, pooled_text_vector
+from oddrows.plans.tables import DATED_SQL, KEYED_SQL, dated_texts, keyed, vocabulary_sql, words_sql
 
 # ---------------------------------------------------------------- fences and thresholds
 
@@ -320,6 +321,14 @@ def _(t: Tables):
     return linear.pca_project(keyed(t), params, ["value", "k"]).select("event_id", "pc1", "pc2")
 
 
+@query("pca_total_variance", f"""SELECT {R('sum(v)')} AS total, count(*)::BIGINT AS components FROM (SELECT i, var_samp(x) AS v FROM (
+    SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY i)""")
+def _(t: Tables):
+    """The variances of all components add up to the variance of the data."""
+    return linear.pca_fit(t.embeddings, "embedding", width=64).agg(
+        F.sum("variance").alias("total"), F.count(F.lit(1)).alias("components"))
+
+
 @query("pca_variance_wide")
 def _(t: Tables):
     return linear.pca_fit(t.embeddings, "embedding", width=64, standardize=True).select("component", "variance")
@@ -373,7 +382,13 @@ def _(t: Tables):
     return forecast.ar_forecast(t.events, params, "value", 1, "ts", "user_id").select("event_id", "predicted", "residual")
 
 
-@query("ar_forecast_ten_lags")
+TEN_LAGS = "SELECT event_id, value AS actual, value AS y, " + ", ".join(
+    f"lag(value, {k}) OVER (ORDER BY ts) AS x{k}" for k in range(1, 11)) + " FROM events"
+
+
+@query("ar_forecast_ten_lags", f"""WITH {least_squares_sql('l', f'SELECT * FROM ({TEN_LAGS}) WHERE x10 IS NOT NULL',
+    ['event_id', 'actual'], [f'x{k}' for k in range(1, 11)], 'y')}
+    SELECT e.event_id, {R('actual - rest')} AS predicted, {R('rest')} AS residual FROM events e LEFT JOIN l ON l.event_id = e.event_id""")
 def _(t: Tables):
     params = forecast.fit_ar(t.events, "value", 10, "ts")
     return forecast.ar_forecast(t.events, params, "value", 10, "ts").select("event_id", "predicted", "residual")
@@ -485,17 +500,29 @@ def _(t: Tables):
                        F.round(F.col("rss") / F.col("n"), 2).alias("mse"))
 
 
-@query("text_vector_forecast")
+VECTOR_SQL = f"""d AS (SELECT ts::DATE AS date, sum(value) AS total FROM events GROUP BY 1),
+    v AS (SELECT word FROM ({vocabulary_sql('benchmark', 'item_id')}) WHERE index < 600),
+    w AS (SELECT date, avg({U("'0:0:' || word")} - 0.5) AS w0, avg({U("'0:1:' || word")} - 0.5) AS w1 FROM ({words_sql('benchmark', 'item_id')})
+        JOIN v USING (word) JOIN ({DATED_SQL.replace(', text FROM', ' FROM')}) USING (item_id) GROUP BY 1),
+    f AS (SELECT d.date, total AS x0, lag(total, 1) OVER o AS x1, lag(total, 2) OVER o AS x2, (isodow(d.date) - 1)::DOUBLE AS dow,
+        lead(total) OVER o AS y, lead(coalesce(w0, 0)) OVER o AS n0, lead(coalesce(w1, 0)) OVER o AS n1
+        FROM d LEFT JOIN w ON w.date = d.date WINDOW o AS (ORDER BY d.date)),
+    u AS (SELECT * FROM f WHERE x2 IS NOT NULL AND y IS NOT NULL)"""
+VARIANTS = {"L": ["x0", "x1", "x2"], "L+W": ["x0", "x1", "x2", "dow"], "L+W+E": ["x0", "x1", "x2", "dow", "n0", "n1"]}
+
+
+@query("text_vector_forecast", f"WITH {VECTOR_SQL}, " + ", ".join(
+    least_squares_sql(f"m{i}", "SELECT * FROM u", ["date"], xs, "y") for i, xs in enumerate(VARIANTS.values())) + " " + " UNION ALL ".join(
+    f"SELECT '{name}' AS variant, count(*)::BIGINT AS n, {R('sqrt(avg(rest * rest))', 4)} AS rmse FROM m{i}" for i, name in enumerate(VARIANTS)), digits=4)
 def _(t: Tables):
     """Ablation: lags; lags and weekday; and the pooled word vectors of the next day's events."""
-    from oddrows.operators.text import build_vocabulary, hash_vectors, pooled_text_vector
     days = stats.daily_sum(t.events, "ts", "value")
     days = joins.attach_event_text(days, dated_texts(t), "date", "text", "item_id").withColumn("dow", F.weekday("date").cast("double"))
     vectors = hash_vectors(build_vocabulary(t.benchmark, "text", 600), 2)
     days = pooled_text_vector(days, "txt_desc", vectors, "date", 2)
     days = days.withColumns({f"w{i}": F.coalesce(F.col("vec")[i], F.lit(0.0)) for i in range(2)})
-    lagged = sequence.lag_matrix(days, "total", [0, 1, 2], "date", hot_rows=None)
+    lagged = sequence.lag_matrix(days, "total", [0, 1, 2], "date", prefix="x", hot_rows=None)
+    lagged = lagged.withColumnsRenamed({f"x_{k}": f"x{k}" for k in range(3)})
     rows = sequence.lead_target(lagged, {"y": "total", "n0": "w0", "n1": "w1"}, "date", hot_rows=None)
-    lags = ["total_lag_0", "total_lag_1", "total_lag_2"]
-    fits = linear.ablation(rows, "y", {"L": lags, "L+W": [*lags, "dow"], "L+W+E": [*lags, "dow", "n0", "n1"]}, F.lit(True), ridge=0.01)
+    fits = linear.ablation(rows, "y", VARIANTS, F.lit(True))
     return fits.select("variant", "n", F.sqrt(F.col("rss") / F.col("n")).alias("rmse"))

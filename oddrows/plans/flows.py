@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.lineage import written
 from oddrows.operators import cleaning, clustering, evaluation, forecast, forest, joins, linear, scaling, sequence, stats, thresholds
-from oddrows.plans.registry import R, Tables, query
+from oddrows.plans.registry import R, Tables, least_squares_sql, query
 from oddrows.plans.scores import best_sweep, best_sweep_sql
 from oddrows.plans.series import W
+from oddrows.plans.tables import DATED_SQL, dated_texts
 
 # ---------------------------------------------------------------- wide sensor table
 
@@ -119,11 +120,31 @@ def _(t: Tables):
     return evaluation.roc_auc(test, "score", "abnormal").withColumn("rows", test.agg(F.count(F.lit(1))).scalar())
 
 
-@query("event_text_flow")
+FLOW_SQL = f"""WITH d AS (SELECT ts::DATE AS date, sum(value) AS total FROM events GROUP BY 1),
+    k AS (SELECT date, total, (date IN (SELECT date FROM ({DATED_SQL})))::INT::DOUBLE AS txt, avg(total) OVER (PARTITION BY isodow(date)) AS trend,
+        stddev_samp(total) OVER () AS std FROM d),
+    z AS (SELECT *, (total - trend) / std AS z FROM k),
+    f AS (SELECT date, trend, std, z AS x0, lag(z, 1) OVER o AS x1, lag(z, 2) OVER o AS x2, lead(z) OVER o AS y, lead(txt) OVER o AS e,
+        row_number() OVER o - 1 AS p, count(*) OVER () AS n FROM z WINDOW o AS (ORDER BY date)),
+    c AS (SELECT * EXCLUDE (p, n), row_number() OVER (ORDER BY date) - 1 AS q, count(*) OVER () AS m FROM f WHERE p >= 3 AND p < n - 1),
+    u AS (SELECT *, y AS truth, CASE WHEN q < floor(m * 0.4::DOUBLE) THEN 'train' WHEN q < floor(m * 0.6::DOUBLE) THEN 'valid' ELSE 'test' END AS split
+        FROM c WHERE q < m - 1)"""
+FLOW_VARIANTS = {"L": ["x0", "x1", "x2"], "L+E": ["x0", "x1", "x2", "e"]}
+
+
+def flow_errors_sql(table: str, variant: str) -> str:
+    return f"""SELECT '{variant}' AS variant, {R('avg(abs(e))', 4)} AS mae, {R('sum(abs(e)) / sum(abs(t - m))', 4)} AS rae, {R('sqrt(avg(e * e))', 4)} AS rmse,
+        {R('sqrt(sum(e * e) / sum(pow(t - m, 2)))', 4)} AS rrse, {R('avg(abs(e / t)) * 100', 4)} AS mape FROM (SELECT rest * std AS e, truth * std + trend AS t,
+        avg(truth * std + trend) OVER () AS m FROM {table} WHERE split = 'test')"""
+
+
+@query("event_text_flow", FLOW_SQL + ", " + ", ".join(
+    least_squares_sql(f"l{i}", "SELECT * FROM u", ["split", "truth", "std", "trend"], xs, "y", "split = 'train'")
+    for i, xs in enumerate(FLOW_VARIANTS.values())) + " " + " UNION ALL ".join(
+    flow_errors_sql(f"l{i}", v) for i, v in enumerate(FLOW_VARIANTS)), digits=4)
 def _(t: Tables):
     """Daily totals with event text: detrend, lags, next-day target, 40/20/40 split, fit with and
     without the text flag of the next day, errors on the test days in original units."""
-    from oddrows.plans.tables import dated_texts
     days = stats.daily_sum(t.events, "ts", "value")
     days = joins.attach_event_text(days, dated_texts(t), "date", "text", "item_id").drop("txt_desc")
     days = scaling.seasonal_detrend(days, "date", "total", F.lit(True)).withColumn("txt", F.col("txt").cast("double"))

@@ -59,3 +59,21 @@ def H(text: str) -> str:
 def U(text: str) -> str:
     """SQL counterpart of `uniform`."""
     return f"(({H(text)} + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
+
+
+def least_squares_sql(name: str, source: str, keep: list[str], xs: list[str], y: str, fit: str = "TRUE") -> str:
+    """CTEs ending in `<name>`: the kept columns and `rest`, what is left of y after regressing it
+    on xs with an intercept. Columns are made orthogonal one after the other on the rows of `fit`."""
+    columns = [*xs, y]
+    kept = ", ".join(keep)
+    mean = ", ".join(f"avg({c}) AS m_{c}" for c in columns)
+    centred = ", ".join(f"{c} - m_{c} AS {c}" for c in columns)
+    parts = [f"{name}_s AS MATERIALIZED ({source})",
+             f"{name}_0 AS MATERIALIZED (SELECT {kept}, {centred} FROM {name}_s, (SELECT {mean} FROM {name}_s WHERE {fit}))"]
+    for k, q in enumerate(xs):
+        left = columns[k + 1:]
+        slopes = ", ".join(f"sum({q} * {c}) / nullif(sum({q} * {q}), 0) AS b_{c}" for c in left)
+        taken = ", ".join(f"{c} - coalesce(b_{c}, 0) * {q} AS {c}" for c in left)
+        parts.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT {kept}, {taken} FROM {name}_{k}, (SELECT {slopes} FROM {name}_{k} WHERE {fit}))")
+    parts.append(f"{name} AS (SELECT {kept}, {y} AS rest FROM {name}_{len(xs)})")
+    return ", ".join(parts)
