@@ -432,6 +432,31 @@ def _(t: Tables):
     return out.select("event_type", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n", "predict")
 
 
+ORDERS = [(p, q) for p in range(3) for q in range(3)]
+
+
+def seasonal_sql() -> str:
+    """All nine candidates on the differenced hourly counts, the best one's forecasts."""
+    fits = ", ".join(least_squares_sql(f"c{p}{q}", "SELECT * FROM u", ["hour", "base", "y0"],
+                                       [*[f"x{i}" for i in range(1, p + 1)], *[f"x{12 * i}" for i in range(1, q + 1)]], "y") for p, q in ORDERS)
+    scores = " UNION ALL ".join(f"SELECT {p} AS p, {q} AS sp, count(*) * ln(sum(rest * rest) / count(*)) + {2 * (p + q + 1)} AS aic FROM c{p}{q}" for p, q in ORDERS)
+    rows = " UNION ALL ".join(f"SELECT {p} AS p, {q} AS sp, hour, base + y0 - rest AS predict FROM c{p}{q}" for p, q in ORDERS)
+    return f"""WITH h AS ({HOURLY_SQL}), d AS (SELECT hour, n, n - lag(n) OVER (ORDER BY hour) AS d FROM h),
+        s AS (SELECT hour, n, d - lag(d, 12) OVER (ORDER BY hour) AS y FROM d),
+        l AS (SELECT hour, n - y AS base, y, y AS y0, {', '.join(f'lag(y, {k}) OVER (ORDER BY hour) AS x{k}' for k in (1, 2, 12, 24))} FROM s),
+        u AS (SELECT * FROM l WHERE x24 IS NOT NULL), {fits}, best AS (SELECT p, sp FROM ({scores}) ORDER BY aic, p, sp LIMIT 1),
+        f AS (SELECT hour, predict FROM ({rows}) JOIN best USING (p, sp))
+        SELECT strftime(h.hour, '%Y-%m-%d %H') AS hour, n, {R('coalesce(predict, 0)', 5)} AS predict FROM h LEFT JOIN f ON f.hour = h.hour"""
+
+
+@query("seasonal_ar_predict_hourly", seasonal_sql(), digits=5)
+def _(t: Tables):
+    series = hourly(t)
+    best = forecast.seasonal_ar_select(forecast.seasonal_ar_table(series, "n", "hour", hot_rows=None))
+    out = forecast.seasonal_ar_predict(series, best, "n", "hour", hot_rows=None)
+    return out.select(F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n", "predict")
+
+
 ERRORS_SQL = f"""WITH o AS (SELECT event_id, user_id, event_type, ts, value - lag(value, 1) OVER ({W}) AS e1,
     value - lag(value, 2) OVER ({W}) AS e2 FROM events)"""
 
