@@ -101,6 +101,14 @@ def seasonal_ar_predict(
         "_d", "_base", "_step", *feats)
 
 
+def scaled_inverse(a: np.ndarray) -> np.ndarray:
+    """(Pseudo-)inverse of a symmetric matrix whose columns may differ much in size."""
+    size = np.sqrt(np.diag(a))
+    size = np.where(size > 0, size, 1.0)
+    outer = np.outer(size, size)
+    return np.linalg.pinv(a / outer) / outer
+
+
 def gaussian_score(df: DataFrame, params: DataFrame, errors: Sequence[str], by=None, ridge: float = 1e-9) -> DataFrame:
     """Squared Mahalanobis distance of the error vector to the training errors.
 
@@ -117,7 +125,7 @@ def gaussian_score(df: DataFrame, params: DataFrame, errors: Sequence[str], by=N
                 out.append(None)  # fewer than two training rows
                 continue
             lift = ridge * max(float(np.trace(cov)) / d, 1e-300)
-            out.append(np.linalg.pinv(cov + lift * np.eye(d)).ravel())
+            out.append(scaled_inverse(cov + lift * np.eye(d)).ravel())
         return pd.Series(out)
 
     model = params.select(*groups, F.col("mean").alias("_mean"), inverse("cov").alias("_inv"))
@@ -172,7 +180,7 @@ def unit_root_test(
         rows = []
         for flat in cells:
             g = np.asarray(flat, dtype=float).reshape(size, size)
-            inverse = np.linalg.pinv(g[:-1, :-1])
+            inverse = scaled_inverse(g[:-1, :-1])
             b = inverse @ g[:-1, -1]
             free = g[0, 0] - (size - 1)
             rss = max(g[-1, -1] - b @ g[:-1, -1], 0.0)

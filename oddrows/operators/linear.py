@@ -31,16 +31,22 @@ def gram(df: DataFrame, features: Sequence[str], target: str, by=None) -> DataFr
 
 
 def _solve(g: np.ndarray, keep: Sequence[int], ridge: float) -> tuple[np.ndarray, float]:
-    """Coefficients (zeros outside `keep`) and residual sum of squares from one Gram matrix."""
-    rows = [0, *[i + 1 for i in keep]]
-    a, b, yy = g[np.ix_(rows, rows)], g[rows, -1], g[-1, -1]
-    if ridge:
-        a = a + np.diag([0.0] + [ridge * g[0, 0]] * len(keep))
-    coef = np.linalg.lstsq(a, b, rcond=None)[0]
+    """Coefficients (zeros outside `keep`) and residual sum of squares from one Gram matrix.
+
+    Solved on centred columns scaled to length one, so features of very different size do not
+    look dependent."""
+    n, keep = g[0, 0], list(keep)
+    mean = g[0, 1:] / n
+    c = g[1:, 1:] - n * np.outer(mean, mean)
+    a, b = c[np.ix_(keep, keep)], c[keep, -1]
+    lifted = a + ridge * n * np.eye(len(keep))
+    size = np.sqrt(np.maximum(np.diag(lifted), 0.0))
+    size[size == 0] = 1.0
+    slopes = np.linalg.lstsq(lifted / np.outer(size, size), b / size, rcond=None)[0] / size if keep else np.zeros(0)
     full = np.zeros(len(g) - 1)
-    full[rows] = coef
-    x = g[:-1, :-1]
-    return full, float(max(yy - 2 * full @ g[:-1, -1] + full @ x @ full, 0.0))
+    full[[i + 1 for i in keep]] = slopes
+    full[0] = mean[-1] - mean[keep] @ slopes
+    return full, float(max(c[-1, -1] - 2 * slopes @ b + slopes @ a @ slopes, 0.0))
 
 
 def solve_subsets(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from oddrows.functions.columns import rounded
 from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, neighbours, sequence, stats, thresholds
 from oddrows.operators.scaling import zscore_apply, zscore_fit
@@ -81,12 +82,13 @@ def banded(t: Tables):
     return thresholds.rolling_error_bands(days, 7, hot_rows=None)  # one row per day
 
 
-@query("rolling_error_bands", f"""{BANDS_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('error', 5)} AS error, {R('pc', 5)} AS percentage_change,
-    {R('m', 5)} AS meanval, {R('d', 5)} AS deviation, {R('m - 2 * d', 5)} AS low_1, {R('m + 1.5 * d', 5)} AS high_3,
-    impact::INT AS impact, color::INT AS color, region, {R('CASE WHEN color = 3 THEN error END', 5)} AS anomaly_points FROM v""", digits=5)
+@query("rolling_error_bands", f"""{BANDS_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('error', 4)} AS error, {R('pc', 4)} AS percentage_change,
+    {R('m', 4)} AS meanval, {R('d', 2)} AS deviation, {R('m - 2 * d', 2)} AS low_1, {R('m + 1.5 * d', 2)} AS high_3,
+    impact::INT AS impact, color::INT AS color, region, {R('CASE WHEN color = 3 THEN error END', 4)} AS anomaly_points FROM v""", digits=4)
 def _(t: Tables):
-    return day_text(banded(t)).select("date", "error", "percentage_change", "meanval", "deviation", "low_1", "high_3",
-                                      "impact", "color", "region", "anomaly_points")
+    out = day_text(banded(t)).withColumns({c: rounded(c, 2) for c in ("deviation", "low_1", "high_3")})
+    return out.select("date", "error", "percentage_change", "meanval", "deviation", "low_1", "high_3",
+                      "impact", "color", "region", "anomaly_points")
 
 
 @query("severity_counts", f"{BANDS_SQL} SELECT color::INT AS color, region, count(*)::BIGINT AS n FROM v GROUP BY 1, 2")
@@ -94,7 +96,7 @@ def _(t: Tables):
     return stats.class_counts(banded(t), ["color", "region"])
 
 
-@query("seasonal_forecast_residual", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('total - trend', 5)} AS residual FROM r""", digits=5)
+@query("seasonal_forecast_residual", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('total - trend', 4)} AS residual FROM r""", digits=4)
 def _(t: Tables):
     return day_text(forecast.seasonal_forecast_residual(recent_days(t), "date", "total", early())).select("date", "residual")
 

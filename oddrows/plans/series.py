@@ -274,8 +274,8 @@ def early():
     return F.col("date") < F.lit("1999-01-01").cast("date")
 
 
-@query("seasonal_detrend", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, dow::INT AS dow, {R('total', 5)} AS total, {R('trend', 5)} AS trend,
-    {R('std', 5)} AS std, {R('(total - trend) / std', 5)} AS detrended FROM r""", digits=5)
+@query("seasonal_detrend", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, dow::INT AS dow, {R('total', 4)} AS total, {R('trend', 4)} AS trend,
+    {R('std', 4)} AS std, {R('(total - trend) / std', 4)} AS detrended FROM r""", digits=4)
 def _(t: Tables):
     return day_text(scaling.seasonal_detrend(recent_days(t), "date", "total", early()))
 

@@ -201,6 +201,15 @@ def test_ar_recovers_coefficients(spark):
     assert forecast.fit_ar(one, "x", 10, "t").first()["coef"] == pytest.approx(want.tolist(), abs=1e-6)
 
 
+def test_features_of_very_different_size(spark):
+    rng = np.random.default_rng(14)
+    big, small = rng.normal(3e6, 1e5, 200), rng.normal(0.01, 1e-4, 200)
+    y = 2 * big + 1e9 * small + rng.normal(size=200)
+    df = frame(spark, big=big, small=small, y=y)
+    coef = linear.fit_linear(df, ["big", "small"], "y").first()["coef"]
+    assert coef[1] == pytest.approx(2, rel=1e-4) and coef[2] == pytest.approx(1e9, rel=1e-4)
+
+
 def test_seasonal_select_finds_the_lag(spark):
     rng = np.random.default_rng(6)
     d = np.zeros(2000)
