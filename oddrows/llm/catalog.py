@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddrows.llm import licenses, lines, quality
+from oddrows.llm import licenses, lines, pieces, quality, urls
 
 
 def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -17,9 +17,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": _on("documents", licenses.op1),
     "op4_quality_rules": _on("documents", quality.op4),
     "op6_line_dedup": _on("documents", lines.op6),
+    "op7_url_filter": _on("pages", urls.op7),
+    "op9_sentencepiece": _on("documents", pieces.op9),
 }
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.OP1_SQL,
     "op4_quality_rules": quality.OP4_SQL,
     "op6_line_dedup": lines.OP6_SQL,
+    "op7_url_filter": urls.OP7_SQL,
 }
