@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddrows.llm import licenses, lines, pieces, quality, urls
+from oddrows.llm import decontaminate, licenses, lines, minhash, pieces, quality, urls
 
 
 def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: operator(spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet"))
 
 
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    read = lambda t: spark.read.parquet(f"{folder.rstrip('/')}/{t}.parquet")
+    return decontaminate.op2(read("documents"), read("benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": _on("documents", licenses.op1),
+    "op2_decontamination": _leaks,
+    "op3_minhash_near_dedup": _on("documents", minhash.op3),
     "op4_quality_rules": _on("documents", quality.op4),
     "op6_line_dedup": _on("documents", lines.op6),
     "op7_url_filter": _on("pages", urls.op7),
