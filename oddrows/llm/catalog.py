@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddrows.llm import decontaminate, licenses, lines, minhash, pieces, quality, urls
+from oddrows.llm import decontaminate, licenses, lines, minhash, pieces, quality, urls, warc
 
 
 def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": _leaks,
     "op3_minhash_near_dedup": _on("documents", minhash.op3),
     "op4_quality_rules": _on("documents", quality.op4),
+    "op5_warc": _on("pages", warc.op5),
     "op6_line_dedup": _on("documents", lines.op6),
     "op7_url_filter": _on("pages", urls.op7),
     "op9_sentencepiece": _on("documents", pieces.op9),
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.OP1_SQL,
     "op4_quality_rules": quality.OP4_SQL,
+    "op5_warc": warc.OP5_SQL,
     "op6_line_dedup": lines.OP6_SQL,
     "op7_url_filter": urls.OP7_SQL,
 }
