@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddrows.llm import decontaminate, licenses, lines, minhash, pieces, quality, urls, warc
+from oddrows.llm import decontaminate, language, licenses, lines, minhash, pieces, quality, urls, warc
 
 
 def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": _on("documents", lines.op6),
     "op7_url_filter": _on("pages", urls.op7),
     "op9_sentencepiece": _on("documents", pieces.op9),
+    "op10_language_id": _on("documents", language.op10),
 }
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.OP1_SQL,
