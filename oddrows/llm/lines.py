@@ -26,8 +26,8 @@ def _lines(text: Column) -> Column:
 
 
 def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """doc_id, text, n_lines, n_removed (lines with a word), kept_text."""
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    """doc_id, text, carried (the other columns), n_lines, n_removed (lines with a word), kept_text."""
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), texts.carried(docs, text))
     lines = base.select("doc_id", texts.row_key("text").alias("_row"), _lines(texts.text_or_empty("text")).alias("_lines"))
     hashes = texts.bound(F.col("_lines"), lambda x: F.when(F.size(x) >= window, F.transform(
         F.sequence(F.lit(0), F.size(x) - window), lambda i: F.unhex(F.md5(F.array_join(F.slice(x, i + 1, window), "\n"))))))
@@ -47,7 +47,7 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wind
     out = out.withColumn("_kept", F.when(F.col("_hits").isNull(), F.col("_lines")).otherwise(
         texts.without_ranges(F.col("_lines"), F.col("_hits"), window)))
     return out.select(
-        "doc_id", "text", F.size("_lines").cast("bigint").alias("n_lines"),
+        "doc_id", "text", "carried", F.size("_lines").cast("bigint").alias("n_lines"),
         (F.size("_lines") - F.size("_kept")).cast("bigint").alias("n_removed"),
         F.when(F.col("_hits").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias("kept_text"))
 

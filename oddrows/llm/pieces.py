@@ -206,9 +206,11 @@ def digests(coded: DataFrame) -> DataFrame:
                         F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def op9(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    if model_path is None:
-        import public_tokenizers
+def default_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
 
-        model_path = public_tokenizers.path("piece_bpe_32k.model")
-    return digests(encode_texts(docs, model_path))
+
+def op9(docs: DataFrame, model_path: str | None = None) -> DataFrame:
+    return digests(encode_texts(docs, model_path or default_model()))

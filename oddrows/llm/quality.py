@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oddrows.functions.lineage import written
 from oddrows.functions.sizes import broadcast_if_small
 from oddrows.llm import texts
 
@@ -81,9 +82,11 @@ def frequent_lines(docs: DataFrame, host: str, text: str, line_docs: int = LINE_
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text",
                   line_docs: int = LINE_DOCS, line_share: int = LINE_SHARE, left_share: int = LEFT_SHARE) -> DataFrame:
     """doc_id, host, text, the measures, base_failed, n_line_words (words in removed lines), kept,
-    and kept_text: the text without its removed lines (the text itself if none is removed)."""
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), F.col(text).alias("text"))
-    over = broadcast_if_small(frequent_lines(base, "host", "text", line_docs, line_share))
+    kept_text (the text without its removed lines, the text itself if none is removed), and
+    carried: the other columns of docs."""
+    base = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), F.col(text).alias("text"),
+                       texts.carried(docs, text))
+    over = broadcast_if_small(written(frequent_lines(base, "host", "text", line_docs, line_share)))
     body = texts.text_or_empty("text")
     per_line = F.transform(normalised_lines(body), lambda x: F.struct(
         F.xxhash64(x).alias("h"), F.when(x == "", 0).otherwise(F.size(F.split(x, " "))).alias("w")))
@@ -103,7 +106,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", host: str = "source",
     cleaned = F.array_join(texts.without_ranges(lines, F.transform("_hits", lambda x: x["at"]), 1), "\n")
     return judged.withColumns({"n_line_words": gone.cast("bigint"), "base_failed": failed}).select(
         "doc_id", "host", "text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "n_line_words", (~F.col("base_failed") & ~depleted).alias("kept"),
+        "carried", "base_failed", "n_line_words", (~F.col("base_failed") & ~depleted).alias("kept"),
         F.when(F.col("_hits").isNull(), F.col("text")).otherwise(cleaned).alias("kept_text"))
 
 

@@ -53,3 +53,13 @@ def same_row(a: DataFrame, b: DataFrame, *columns: str) -> Column:
     for c in columns:
         match = match & a[c].eqNullSafe(b[c])
     return match
+
+
+def carried(docs: DataFrame, text: str) -> Column:
+    """All columns but the text in one struct, so that their names cannot clash with an operator's own."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != text]).alias("carried")
+
+
+def restored(rows: DataFrame, columns: list[str], text: str, value: Column) -> DataFrame:
+    """The columns of a table again, from `carried` and a new text."""
+    return rows.select(*[value.alias(c) if c == text else F.col("carried").getField(c).alias(c) for c in columns])
