@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddrows.llm import decontaminate, language, licenses, lines, minhash, pieces, quality, urls, warc
+from oddrows.llm import decontaminate, language, licenses, lines, minhash, pieces, quality, suffixes, urls, warc
 
 
 def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": _on("pages", warc.op5),
     "op6_line_dedup": _on("documents", lines.op6),
     "op7_url_filter": _on("pages", urls.op7),
+    "op8_suffix_dedup": _on("documents", suffixes.op8),
     "op9_sentencepiece": _on("documents", pieces.op9),
     "op10_language_id": _on("documents", language.op10),
 }
