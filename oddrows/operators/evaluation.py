@@ -11,6 +11,7 @@ from oddrows.functions.columns import names, scalar
 from oddrows.functions.lineage import written
 from oddrows.functions.ordering import HOT_ROWS, prefix_sums, with_position
 from oddrows.functions.quantiles import quantiles
+from oddrows.functions.sizes import with_params
 from oddrows.operators.stats import describe, equal_width_histogram
 
 
@@ -80,10 +81,12 @@ def fbeta_sweep(
     top = df.agg(F.max(score).cast("double")).scalar()
 
     def at(j: Column, high: Column) -> Column:
-        part = j / F.lit(float(last))
+        part = j / F.lit(float(max(last, 1)))
         if spacing == "log":
-            return F.exp(F.log(F.lit(start)) + (F.log(high) - F.log(F.lit(start))) * part)
-        return F.lit(start) + (high - F.lit(start)) * part
+            inner = F.exp(F.log(F.lit(start)) + (F.log(high) - F.log(F.lit(start))) * part)
+        else:
+            inner = F.lit(start) + (high - F.lit(start)) * part
+        return F.when((j == last) & (j > 0), high).otherwise(inner)  # the last one is the largest score itself
 
     seen = df.filter(s.isNotNull()).select(s.cast("double").alias("s"), y.alias("y")).withColumn("hi", top)
     if spacing == "log":
@@ -97,6 +100,8 @@ def fbeta_sweep(
     # thresholds below s: the arithmetic slot, checked against its neighbours
     above = (F.when(below(F.col("j") + 1), F.col("j") + 2).when(below(F.col("j")), F.col("j") + 1)
              .when(below(F.col("j") - 1), F.col("j")).otherwise(F.greatest(F.col("j") - 1, F.lit(0))))
+    # a largest score below `start` makes the thresholds fall to it: no score exceeds any of them
+    above = F.when(F.col("hi") < F.lit(start), 0).otherwise(above)
     slots = seen.groupBy(above.alias("slot")).agg(F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     frame = df.sparkSession.range(thresholds).select(F.col("id").cast("int").alias("slot0"))
     joined = frame.join(slots, F.col("slot0") + 1 == F.col("slot"), "left").na.fill(0, ["pos", "neg"])
@@ -116,6 +121,8 @@ def precision_at_n(df: DataFrame, score: str, label: str) -> DataFrame:
     """Precision among the rows above the (1 - share of true outliers) quantile of the score."""
     y = F.col(label) == 1
     head = df.agg(F.count_if(y).alias("p"), F.count(F.lit(1)).alias("n")).first()  # one row
+    if not head["n"]:
+        return df.agg(F.count_if(y).alias("n"), F.lit(None).cast("double").alias("precision_at_n"))
     limit = quantiles(df, score, [1.0 - head["p"] / head["n"]]).select("value").scalar()
     hit = F.col(score) > limit
     return df.agg(F.lit(head["p"]).alias("n"), F.try_divide(F.count_if(hit & y), F.count_if(hit)).alias("precision_at_n"))
@@ -127,12 +134,12 @@ def regression_errors(df: DataFrame, truth: str, predicted: str, by=None) -> Dat
     t, p = F.col(truth).cast("double"), F.col(predicted).cast("double")
     used = df.filter(t.isNotNull() & p.isNotNull())
     if groups:
-        used = used.join(used.groupBy(*groups).agg(F.avg(t).alias("_m")), groups)
+        used = with_params(used, used.groupBy(*groups).agg(F.avg(t).alias("_m")), groups)
     else:
         used = used.withColumn("_m", used.agg(F.avg(t)).scalar())
     e, c = p - t, t - F.col("_m")
     sums = used.groupBy(*groups).agg(
-        F.corr(p, t).alias("corr"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
+        F.try_divide(F.covar_pop(p, t), F.stddev_pop(p) * F.stddev_pop(t)).alias("corr"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
         F.sum(F.abs(e)).alias("_ae"), F.sum(F.abs(c)).alias("_ac"), F.sum(e * e).alias("_ee"),
         F.sum(c * c).alias("_cc"), (F.avg(F.abs(F.try_divide(e, t))) * 100).alias("mape"))
     share = F.try_divide("_ee", "_cc")

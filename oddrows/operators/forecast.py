@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.columns import hash32, names, scalar
 from oddrows.functions.ordering import HOT_ROWS, row_frames, settle
+from oddrows.functions.sizes import with_params
 from oddrows.operators.linear import (
-    apply_linear, cross_validated_ridge, fit_linear, gram, linear_value, solve_subsets,
+    apply_linear, centred, cross_validated_ridge, fit_linear, gram, solve_subsets,
 )
 from oddrows.operators.scaling import seasonal_detrend
 from oddrows.operators.sequence import difference, lag_matrix
@@ -130,7 +131,7 @@ def gaussian_score(df: DataFrame, params: DataFrame, errors: Sequence[str], by=N
 
     model = params.select(*groups, F.col("mean").alias("_mean"), inverse("cov").alias("_inv"))
     if groups:
-        out = df.join(model, groups, "left")
+        out = with_params(df, model, groups)
     else:
         out = df.withColumn("_s", scalar(model)).select(
             *df.columns, F.col("_s._mean").alias("_mean"), F.col("_s._inv").alias("_inv"))
@@ -172,26 +173,22 @@ def unit_root_test(
     for k in range(1, lags + 1):
         terms[f"_d{k}"] = F.lag(value, k).over(w) - F.lag(value, k + 1).over(w)
     feats = ["_level", *[f"_d{k}" for k in range(1, lags + 1)]]
-    size = len(feats) + 2
+    size = len(feats) + 1
     grams = gram(finish(base.withColumns(terms)), feats, "_y", by)
 
     @F.pandas_udf("array<double>")
-    def solve(cells):
+    def solve(ns: pd.Series, cells: pd.Series) -> pd.Series:
         rows = []
-        for flat in cells:
-            g = np.asarray(flat, dtype=float).reshape(size, size)
-            inverse = scaled_inverse(g[:-1, :-1])
-            b = inverse @ g[:-1, -1]
-            free = g[0, 0] - (size - 1)
-            rss = max(g[-1, -1] - b @ g[:-1, -1], 0.0)
-            se = np.sqrt(rss / free * inverse[1, 1]) if free > 0 else np.nan
-            rows.append([float(b[1]), float(se), float(b[1] / se) if se > 0 else np.nan])
+        for n, flat in zip(ns, cells):
+            c = centred(flat, size)
+            inverse = scaled_inverse(c[:-1, :-1])
+            b = inverse @ c[:-1, -1]
+            free = n - size
+            rss = max(c[-1, -1] - b @ c[:-1, -1], 0.0)
+            se = np.sqrt(rss / free * inverse[0, 0]) if free > 0 else np.nan
+            rows.append([float(b[0]), float(se), float(b[0] / se) if se > 0 else np.nan])
         return pd.Series(rows)
 
-    out = grams.select(*by, "n", solve("cells").alias("r"))
+    out = grams.select(*by, "n", solve("n", "cells").alias("r"))
     return out.select(*by, F.col("r")[0].alias("gamma"), F.col("r")[1].alias("std_error"),
                       F.col("r")[2].alias("t_stat"), "n", *[F.lit(v).alias(k) for k, v in critical.items()])
-
-
-def predict_rows(df: DataFrame, coef: Column, features: Sequence[str], to: str = "predicted") -> DataFrame:
-    return df.withColumn(to, linear_value(coef, features))

@@ -12,7 +12,6 @@ from oddrows.functions.sizes import broadcast_if_small
 from oddrows.operators.stats import concat_text_by_key
 
 #: centroids written out as separate distance columns; more go through one array per row
-UNROLLED_CENTROIDS = 16
 
 
 def attach_event_text(days: DataFrame, events: DataFrame, key: str, text: str, order_by: str) -> DataFrame:
@@ -106,7 +105,7 @@ def value_grid(df: DataFrame, columns: str | Sequence[str], points: int) -> Data
     for axis, c in enumerate(cols):
         i = F.floor(F.col("id") / points**axis) % points
         low, high = F.col("_e")[f"lo_{c}"], F.col("_e")[f"hi_{c}"]
-        out[c] = low + (high - low) * i / (points - 1)
+        out[c] = low + (high - low) * i / max(points - 1, 1)
     return cells.select(*[v.alias(c) for c, v in out.items()])
 
 
@@ -125,18 +124,11 @@ def distance_to(columns: Sequence[str], centre: Sequence[float]) -> Column:
 
 def assign_nearest(df: DataFrame, columns: Sequence[str], centroids: Sequence[Sequence[float]]) -> DataFrame:
     """Nearest centroid (lowest number on ties) and the distance to it: projections only."""
-    k = len(centroids)
-    if k > UNROLLED_CENTROIDS:
-        options = F.array(*[F.struct(distance_to(columns, c).alias("distance"), F.lit(i).alias("cluster"))
-                            for i, c in enumerate(centroids)])
-        near = df.withColumn("_near", F.array_min(options))
-        return near.select(*df.columns, F.col("_near.cluster").alias("cluster"), F.col("_near.distance").alias("distance"))
-    out = df.withColumns({f"_d{i}": distance_to(columns, c) for i, c in enumerate(centroids)})
-    out = out.withColumn("distance", F.least(*[f"_d{i}" for i in range(k)]) if k > 1 else F.col("_d0"))
-    cluster = F.lit(k - 1)
-    for i in reversed(range(k - 1)):
-        cluster = F.when(F.col(f"_d{i}") == F.col("distance"), i).otherwise(cluster)
-    return out.select(*df.columns, F.when(F.col("distance").isNotNull(), cluster).alias("cluster"), "distance")
+    options = F.array(*[F.struct(distance_to(columns, c).alias("distance"), F.lit(i).alias("cluster"))
+                        for i, c in enumerate(centroids)])
+    near = df.withColumn("_near", F.array_min(options))
+    known = F.col("_near.distance").isNotNull()  # a row with a null coordinate has no cluster
+    return near.select(*df.columns, F.when(known, F.col("_near.cluster")).alias("cluster"), F.col("_near.distance").alias("distance"))
 
 
 def union_rows(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -13,37 +13,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import names
+from oddrows.functions.sizes import with_params
 
 #: widest feature set whose cross products are written as JVM aggregate expressions
 JVM_WIDTH = 16
 
 
 def gram(df: DataFrame, features: Sequence[str], target: str, by=None) -> DataFrame:
-    """Per group the flattened matrix Z'Z of Z = (1, features, target); rows with a null in
-    any of them are left out. `n` is the number of rows used."""
-    z = [F.lit(1.0), *[F.col(c).cast("double") for c in (*features, target)]]
+    """Per group `n`, the `mean` of (features, target) and `cells`, the flattened matrix of their
+    centred cross products; rows with a null in any of them are left out. The aggregate centres as it goes, so
+    values far from zero lose nothing."""
+    z = [F.col(c).cast("double") for c in (*features, target)]
     m = range(len(z))
-    sums = [F.sum(z[i] * z[j]).alias(f"g{i}_{j}") for i in m for j in m if i <= j]
-    cells = F.array(*[f"g{min(i, j)}_{max(i, j)}" for i in m for j in m])
+    sums = [F.covar_pop(z[i], z[j]).alias(f"c{i}_{j}") for i in m for j in m if i <= j]
     used = df.dropna(subset=[*features, target])
-    return used.groupBy(*names(by)).agg(F.count(F.lit(1)).alias("n"), *sums).select(
-        *names(by), "n", cells.alias("cells"))
+    cells = F.array(*[F.col(f"c{min(i, j)}_{max(i, j)}") * F.col("n") for i in m for j in m])
+    return used.groupBy(*names(by)).agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in z]).alias("mean"), *sums,
+    ).select(*names(by), "n", "mean", cells.alias("cells"))
 
 
-def _solve(g: np.ndarray, keep: Sequence[int], ridge: float) -> tuple[np.ndarray, float]:
-    """Coefficients (zeros outside `keep`) and residual sum of squares from one Gram matrix.
+def centred(flat: Sequence[float], size: int) -> np.ndarray:
+    return np.asarray(flat, dtype=float).reshape(size, size)
 
-    Solved on centred columns scaled to length one, so features of very different size do not
+
+def merged(parts: Sequence[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Count, mean and centred products of the union of disjoint parts."""
+    n = sum(k for k, _, _ in parts)
+    mean = sum(k * m for k, m, _ in parts) / n
+    return n, mean, sum(c + k * np.outer(m - mean, m - mean) for k, m, c in parts)
+
+
+def _solve(n: int, mean: np.ndarray, c: np.ndarray, keep: Sequence[int], ridge: float) -> tuple[np.ndarray, float]:
+    """Coefficients (zeros outside `keep`) and residual sum of squares from centred products.
+
+    Solved on columns scaled to length one, so features of very different size do not
     look dependent."""
-    n, keep = g[0, 0], list(keep)
-    mean = g[0, 1:] / n
-    c = g[1:, 1:] - n * np.outer(mean, mean)
+    keep = list(keep)
     a, b = c[np.ix_(keep, keep)], c[keep, -1]
     lifted = a + ridge * n * np.eye(len(keep))
     size = np.sqrt(np.maximum(np.diag(lifted), 0.0))
     size[size == 0] = 1.0
     slopes = np.linalg.lstsq(lifted / np.outer(size, size), b / size, rcond=None)[0] / size if keep else np.zeros(0)
-    full = np.zeros(len(g) - 1)
+    full = np.zeros(len(mean))
     full[[i + 1 for i in keep]] = slopes
     full[0] = mean[-1] - mean[keep] @ slopes
     return full, float(max(c[-1, -1] - 2 * slopes @ b + slopes @ a @ slopes, 0.0))
@@ -54,21 +66,20 @@ def solve_subsets(
 ) -> DataFrame:
     """One row per group and feature subset: `model`, `coef` (intercept first, zeros for
     features left out), `rss`, `n`."""
-    size = len(features) + 2
+    size = len(features) + 1
     keeps = [[list(features).index(f) for f in s] for s in subsets]
 
     @F.pandas_udf("array<array<double>>")
-    def fit(cells: pd.Series) -> pd.Series:
+    def fit(ns: pd.Series, means: pd.Series, cells: pd.Series) -> pd.Series:
         out = []
-        for flat in cells:
-            g = np.asarray(flat, dtype=float).reshape(size, size)
-            fits = [_solve(g, keep, ridge) for keep in keeps]
+        for n, mean, flat in zip(ns, means, cells):
+            fits = [_solve(n, np.asarray(mean, dtype=float), centred(flat, size), keep, ridge) for keep in keeps]
             out.append([[*coef, rss] for coef, rss in fits])
         return pd.Series(out)
 
-    solved = grams.select(*names(by), "n", F.posexplode(fit("cells")).alias("model", "fit"))
+    solved = grams.select(*names(by), "n", F.posexplode(fit("n", "mean", "cells")).alias("model", "fit"))
     return solved.select(
-        *names(by), "model", "n", F.slice("fit", 1, size - 1).alias("coef"), F.col("fit")[size - 1].alias("rss"))
+        *names(by), "model", "n", F.slice("fit", 1, size).alias("coef"), F.col("fit")[size].alias("rss"))
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], target: str, by=None, ridge: float = 0.0) -> DataFrame:
@@ -87,7 +98,7 @@ def linear_value(coef: Column, features: Sequence[str]) -> Column:
 def apply_linear(df: DataFrame, params: DataFrame, features: Sequence[str], by=None, to: str = "predicted") -> DataFrame:
     """Prediction of a fitted model: a scalar subquery for one model, a join for many."""
     if names(by):
-        out = df.join(params.select(*names(by), F.col("coef").alias("_coef")), names(by), "left")
+        out = with_params(df, params.select(*names(by), F.col("coef").alias("_coef")), by)
     else:
         out = df.withColumn("_coef", params.select("coef").scalar())
     return out.withColumn(to, linear_value(F.col("_coef"), features)).drop("_coef")
@@ -97,7 +108,7 @@ def cross_validated_ridge(
     df: DataFrame, features: Sequence[str], target: str, fold: str, ridges: Sequence[float],
 ) -> DataFrame:
     """Held-out squared error of every ridge strength, from one Gram matrix per fold."""
-    size = len(features) + 2
+    size = len(features) + 1
     keep = list(range(len(features)))
     folds = gram(df, features, target, fold)
 
@@ -105,19 +116,21 @@ def cross_validated_ridge(
     def errors(packs: pd.Series) -> pd.Series:
         out = []
         for pack in packs:
-            gs = [np.asarray(c, dtype=float).reshape(size, size) for c in pack]
-            total = sum(gs)
+            parts = [(p["n"], np.asarray(p["mean"], dtype=float), centred(p["cells"], size)) for p in pack]
+            total = sum(n for n, _, _ in parts)
             row = []
             for ridge in ridges:
                 rss = 0.0
-                for g in gs:
-                    b = _solve(total - g, keep, ridge)[0]
-                    rss += g[-1, -1] - 2 * b @ g[:-1, -1] + b @ g[:-1, :-1] @ b
-                row.append(rss / total[0, 0])
+                for k, (n, mean, c) in enumerate(parts):
+                    rest = parts[:k] + parts[k + 1:]
+                    b = _solve(*merged(rest), keep, ridge)[0] if rest else np.zeros(size)
+                    miss = mean[-1] - b[0] - mean[:-1] @ b[1:]
+                    rss += n * miss**2 + c[-1, -1] - 2 * b[1:] @ c[:-1, -1] + b[1:] @ c[:-1, :-1] @ b[1:]
+                row.append(rss / total)
             out.append(row)
         return pd.Series(out)
 
-    packed = folds.agg(F.array_sort(F.collect_list("cells")).alias("packs"))  # one entry per fold
+    packed = folds.agg(F.array_sort(F.collect_list(F.struct("n", "mean", "cells"))).alias("packs"))  # one entry per fold
     scored = packed.select(F.posexplode(errors("packs")).alias("i", "mse"))
     return scored.select(F.element_at(F.array(*[F.lit(float(r)) for r in ridges]), F.col("i") + 1).alias("ridge"), "mse")
 

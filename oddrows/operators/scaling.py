@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.columns import clean, gaussian, names, scalar
 from oddrows.functions.ordering import HOT_ROWS, with_position
+from oddrows.functions.sizes import with_params
 
 
 def zscore_fit(train: DataFrame, columns: str | Sequence[str], series=None, ddof: int = 0) -> DataFrame:
@@ -27,7 +28,7 @@ def _with_params(df: DataFrame, params: DataFrame, series) -> tuple[DataFrame, C
     if not by:
         return df.withColumn("_p", scalar(params)), F.col("_p")
     packed = params.select(*by, F.struct(*[c for c in params.columns if c not in by]).alias("_p"))
-    return df.join(packed, by, "left"), F.col("_p")
+    return with_params(df, packed, by), F.col("_p")
 
 
 def zscore_apply(df: DataFrame, params: DataFrame, columns: str | Sequence[str], series=None, suffix: str = "") -> DataFrame:
@@ -55,35 +56,40 @@ def minmax_apply(df: DataFrame, params: DataFrame, columns: str | Sequence[str],
         for c in names(columns)}).drop("_p")
 
 
-def seasonal_detrend(days: DataFrame, date: str, value: str, train: Column) -> DataFrame:
+def seasonal_detrend(days: DataFrame, date: str, value: str, train: Column, first_day: str | None = None) -> DataFrame:
     """(value - weekday mean of the `train` rows) / sample std of all rows.
 
     Adds `dow`, `trend`, `std` and `detrended`. The trend has one row per weekday, so it is
-    packed into a scalar subquery instead of joined."""
+    packed into a scalar subquery instead of joined. `first_day` leaves out earlier days."""
+    if first_day is not None:
+        days = days.filter(F.col(date) >= F.lit(first_day).cast("date"))
     keyed = days.withColumn("dow", F.weekday(date))
     means = keyed.filter(train).groupBy("dow").agg(F.avg(value).alias("mean"))
     table = means.agg(F.map_from_entries(F.collect_list(F.struct("dow", "mean")))).scalar()
     spread = keyed.agg(F.stddev_samp(value)).scalar()
     out = keyed.withColumns({"trend": F.try_element_at(table, F.col("dow")), "std": spread})
-    return out.withColumn("detrended", (F.col(value) - F.col("trend")) / F.col("std"))
+    return out.withColumn("detrended", F.try_divide(F.col(value) - F.col("trend"), F.col("std")))
 
 
 def noise_augment(
     df: DataFrame, columns: Sequence[str], order_by: str | Sequence[str], params: DataFrame, copies: int = 100,
-    noise_ratio: float = 0.05, max_rows: int = 100_000, seed: int = 0, one_level: bool = False,
+    noise_ratio: float = 0.05, max_rows: int | None = None, seed: int = 0, one_level: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """The series followed by noisy copies of it, cut at `max_rows` rows.
+    """The series followed by noisy copies of it. `max_rows` stops copies at that many rows, if given;
+    the series itself is always whole.
 
     Copy i adds gaussian noise of `noise_ratio * i / copies` stds (`one_level`: the full ratio
     in every copy). `params` holds `<c>_std`. Copies are made by explode, the place of a row in
     the result is copy * n + position, and the noise is a hash of position and copy."""
     placed = with_position(df, names(order_by), None, "_p", hot_rows)
     total = df.agg(F.count(F.lit(1))).scalar()
-    needed = F.least(F.lit(copies), F.floor(F.lit(max_rows) / F.col("_n")).cast("int"))
+    needed = F.lit(copies) if max_rows is None else F.least(F.lit(copies), F.floor(F.lit(max_rows) / F.col("_n")).cast("int"))
     out = placed.withColumns({"_n": total, "_q": scalar(params)}).withColumn(
         "copy", F.explode(F.sequence(F.lit(0), needed)))
-    out = out.withColumn("row", F.col("copy") * F.col("_n") + F.col("_p")).filter(F.col("row") < max_rows)
+    out = out.withColumn("row", F.col("copy") * F.col("_n") + F.col("_p"))
+    if max_rows is not None:
+        out = out.filter((F.col("row") < max_rows) | (F.col("copy") == 0))
     level = F.lit(noise_ratio) if one_level else F.lit(noise_ratio) * F.col("copy") / copies
     noisy = {}
     for i, c in enumerate(columns):

@@ -15,6 +15,7 @@ from oddrows.functions.ordering import (
     HOT_ROWS, prefix_sums, row_frames, settle, with_position, with_series_size,
 )
 from oddrows.functions.quantiles import quantiles
+from oddrows.functions.sizes import with_params
 
 
 def lag_matrix(
@@ -200,24 +201,25 @@ def autocorrelation(
     df: DataFrame, column: str, lags: int, order_by: str | Sequence[str], series=None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """ACF for lags 0..lags with the 95 % band of Bartlett's formula (`half_width`; z = 1.96).
+    """ACF for lags 0..lags with the 95 % band of Bartlett's formula (`half_width`; z = 1.96);
+    null for a series without variance.
 
     All lags come from one ordered pass and one aggregate."""
     by = names(series)
     if by:
         means = df.groupBy(*by).agg(F.avg(column).alias("_m"))
-        centred = df.join(means, by).withColumn("_c", F.col(column) - F.col("_m"))
+        centred = with_params(df, means, by).withColumn("_c", F.col(column) - F.col("_m"))
     else:
         centred = df.withColumn("_c", F.col(column) - df.agg(F.avg(column)).scalar())
     out, w, finish = row_frames(centred, names(order_by), series, before=lags, hot_rows=hot_rows)
     out = finish(out.withColumns({f"_l{k}": F.lag("_c", k).over(w) for k in range(1, lags + 1)}))
     sums = [F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, lags + 1)]
     total = out.groupBy(*by).agg(F.count("_c").alias("_n"), F.sum(F.col("_c") * F.col("_c")).alias("_s0"), *sums)
-    acf = F.array(*[F.coalesce(F.col(f"_s{k}"), F.lit(0.0)) / F.col("_s0") for k in range(lags + 1)])
+    acf = F.array(*[F.try_divide(F.coalesce(F.col(f"_s{k}"), F.lit(0.0)), F.col("_s0")) for k in range(lags + 1)])
     out = total.select(*by, "_n", acf.alias("_r")).select("*", F.posexplode("_r").alias("lag", "acf"))
     before = F.slice("_r", F.lit(2), F.greatest(F.col("lag") - 1, F.lit(0)))
     squares = F.aggregate(before, F.lit(0.0), lambda acc, r: acc + r * r)
-    width = F.when(F.col("lag") == 0, 0.0).otherwise(1.96 * F.sqrt((1 + 2 * squares) / F.col("_n")))
+    width = F.when(F.col("lag") == 0, 0.0).otherwise(1.96 * F.sqrt(F.try_divide(1 + 2 * squares, F.col("_n"))))
     return out.select(*by, "lag", "acf", width.alias("half_width"))
 
 

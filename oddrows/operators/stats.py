@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.columns import names, scalar
 from oddrows.functions.quantiles import quantile_table, quantiles  # noqa: F401
+from oddrows.functions.sizes import join_groups, with_params
 
 #: texts of one key that are joined in one step before the pieces of the key are joined
 TEXT_PIECE = 10_000
@@ -39,7 +40,7 @@ def describe(df: DataFrame, columns: str | Sequence[str], by: str | Sequence[str
     quart = quantile_table(df, cols, (0.25, 0.5, 0.75), groups)
     quart = quart.select(*groups, "column", F.col("q_0").alias("p25"), F.col("q_1").alias("p50"),
                          F.col("q_2").alias("p75"))
-    return basic.join(quart, [*groups, "column"], "left")
+    return join_groups(basic, quart, [*groups, "column"]).select(*basic.columns, "p25", "p50", "p75")
 
 
 def skewness_adj(value: str | Column) -> Column:
@@ -69,7 +70,7 @@ def equal_width_histogram(
     x = F.col(column).cast("double")
     ends = kept.groupBy(*groups).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     if groups:
-        seen = kept.select(*groups, column).join(ends, groups)
+        seen = with_params(kept.select(*dict.fromkeys([*groups, column])), ends, groups, "inner")
         low, high = F.col("_lo"), F.col("_hi")
     else:
         seen = kept.select(column).withColumn("_e", scalar(ends))
@@ -78,7 +79,7 @@ def equal_width_histogram(
         F.count(F.lit(1)).alias("count"))
     frame = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    return frame.join(counts, [*groups, "bin"], "left").select(
+    return join_groups(frame, counts, [*groups, "bin"]).select(
         *groups, "bin", (F.col("_lo") + F.col("bin") * width).alias("left"),
         (F.col("_lo") + (F.col("bin") + 1) * width).alias("right"),
         F.coalesce("count", F.lit(0).cast("bigint")).alias("count"))
@@ -141,7 +142,7 @@ def calendar_resample(
     span = found.groupBy(*groups).agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
     step = F.expr(f"INTERVAL 1 {unit}")
     frame = span.select(*groups, F.explode(F.sequence("a", "b", step)).alias("bucket"))
-    return frame.join(found, [*groups, "bucket"], "left")
+    return join_groups(frame, found, [*groups, "bucket"])
 
 
 def box_stats(df: DataFrame, column: str, by: str | Sequence[str] | None = None, reach: float = 1.5) -> DataFrame:
@@ -150,7 +151,7 @@ def box_stats(df: DataFrame, column: str, by: str | Sequence[str] | None = None,
     q = quantile_table(df, column, (0.25, 0.5, 0.75), groups)
     q = q.select(*groups, F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     if groups:
-        seen = df.select(*groups, column).join(q, groups)
+        seen = with_params(df.select(*dict.fromkeys([*groups, column])), q, groups, "inner")
     else:
         seen = df.select(column).withColumn("_q", scalar(q)).select(column, "_q.*")
     x, iqr = F.col(column), F.col("q3") - F.col("q1")
@@ -171,7 +172,7 @@ def best_by(
     groups = names(by)
     extreme = df.groupBy(*groups).agg((F.min if lowest else F.max)(value).alias("_best"))
     if groups:
-        kept = df.join(extreme, groups).filter(F.col(value) == F.col("_best")).drop("_best")
+        kept = with_params(df, extreme, groups, "inner").filter(F.col(value) == F.col("_best")).drop("_best")
     else:
         kept = df.filter(F.col(value) == extreme.scalar())
     rest = F.struct(*[c for c in df.columns if c not in groups])

@@ -4,21 +4,17 @@ from __future__ import annotations
 
 import re
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import uniform
 from oddrows.functions.lineage import written
 from oddrows.functions.ordering import HOT_ROWS, with_position
+from oddrows.functions.sizes import broadcast_if_small
 
 # Characters that separate words.
 FILTERED = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 
-#: words looked up inside the tasks at most; larger vocabularies are joined
-LOOKUP_WORDS = 100_000
-
 
 def spaced(text: str | Column) -> Column:
     """Lower case, every filtered character a blank."""
@@ -48,24 +44,16 @@ def build_vocabulary(df: DataFrame, text: str, num_words: int | None = None, hot
 def texts_to_sequences(df: DataFrame, text: str, vocabulary: DataFrame, key: str, to: str = "sequence") -> DataFrame:
     """Word indexes of every text in order, unknown words dropped.
 
-    Up to `LOOKUP_WORDS` words the dictionary goes to the tasks and texts are not shuffled;
-    a larger vocabulary is joined word by word."""
-    found = vocabulary.select("word", "index").limit(LOOKUP_WORDS + 1).collect()
-    if len(found) <= LOOKUP_WORDS:
-        table = df.sparkSession.sparkContext.broadcast({r["word"]: int(r["index"]) for r in found})
-
-        @F.pandas_udf("array<int>")
-        def look(lines: pd.Series) -> pd.Series:
-            index = table.value
-            return pd.Series([[index[w] for w in (s or "").split(" ") if w in index] for s in lines])
-
-        return df.withColumn(to, look(spaced(text)))
-    spread = df.select(key, F.posexplode(words(text)).alias("at", "word"))
-    hits = spread.join(vocabulary.select("word", "index"), "word").groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("at", F.col("index").cast("int").alias("i")))).alias("_s"))
-    out = df.join(hits, key, "left").withColumn(to, F.coalesce(
-        F.transform("_s", lambda s: s["i"]), F.array().cast("array<int>")))
-    return out.drop("_s")
+    Words are joined with the vocabulary, which goes to the tasks while it is small, and gathered per
+    key and text: rows that share a key keep their own words."""
+    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).distinct()
+    spread = texts.select("*", F.posexplode(words("_text")).alias("_at", "word"))
+    known = broadcast_if_small(vocabulary.select("word", F.col("index").cast("int").alias("_i")))
+    hits = spread.join(known, "word").groupBy("_key", "_text").agg(
+        F.sort_array(F.collect_list(F.struct("_at", "_i"))).alias("_s"))
+    match = F.col(key).eqNullSafe(F.col("_key")) & F.col(text).eqNullSafe(F.col("_text"))
+    found = F.coalesce(F.transform("_s", lambda s: s["_i"]), F.array().cast("array<int>"))
+    return df.join(hits, match, "left").withColumn(to, found).drop("_key", "_text", "_s")
 
 
 def pad_sequences(df: DataFrame, sequence: str, length: int = 350, to: str | None = None) -> DataFrame:
@@ -96,31 +84,19 @@ def pooled_text_vector(
 ) -> DataFrame:
     """Mean or element-wise maximum of the vectors of a text's known words (null without any).
 
-    The word vectors go to the tasks as one matrix while there are at most `LOOKUP_WORDS`;
-    beyond that words are joined and pooled per text by partial aggregates."""
-    found = vectors.select("word", "vec").limit(LOOKUP_WORDS + 1).collect()
-    if len(found) <= LOOKUP_WORDS:
-        matrix = np.array([r["vec"] for r in found], dtype=float).reshape(len(found), dim)
-        shared = df.sparkSession.sparkContext.broadcast(({r["word"]: i for i, r in enumerate(found)}, matrix))
-
-        @F.pandas_udf("array<double>")
-        def pool(lines: pd.Series) -> pd.Series:
-            index, table = shared.value
-            out = []
-            for s in lines:
-                at = [index[w] for w in (s or "").split(" ") if w in index]
-                out.append((table[at].mean(axis=0) if how == "mean" else table[at].max(axis=0)) if at else None)
-            return pd.Series(out)
-
-        return df.withColumn(to, pool(spaced(text)))
-    spread = df.select(key, F.explode(words(text)).alias("word"))
+    Words are joined with their vectors and pooled per key and text by partial aggregates; no vector
+    comes to the driver."""
+    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).distinct()
+    spread = texts.select("*", F.explode(words("_text")).alias("word"))
     # one row per text and word first: repeated words weigh by their count
-    counted = spread.groupBy(key, "word").agg(F.count(F.lit(1)).alias("c")).join(vectors, "word")
+    counted = spread.groupBy("_key", "_text", "word").agg(F.count(F.lit(1)).alias("c")).join(vectors, "word")
     parts = []
     for i in range(dim):
         v = F.col("vec")[i].cast("double")
         parts.append(F.sum(v * F.col("c")) / F.sum("c") if how == "mean" else F.max(v))
-    return df.join(counted.groupBy(key).agg(F.array(*parts).alias(to)), key, "left")
+    pooled = counted.groupBy("_key", "_text").agg(F.array(*parts).alias(to))
+    match = F.col(key).eqNullSafe(F.col("_key")) & F.col(text).eqNullSafe(F.col("_text"))
+    return df.join(pooled, match, "left").drop("_key", "_text")
 
 
 def split_strip_cast(line: str | Column, sep: str = r"\s+", skip: int = 0) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from oddrows.functions.columns import clean, names, scalar
 from oddrows.functions.ordering import HOT_ROWS
 from oddrows.functions.quantiles import quantile_table, quantiles
+from oddrows.functions.sizes import with_params
 from oddrows.operators.sequence import rolling_mean_std
 
 # Severity and sign of an error by the number of bands below it.
@@ -35,7 +36,7 @@ def score_iqr_fence(df: DataFrame, fences: DataFrame, columns: str | Sequence[st
     packed = F.map_from_entries(F.collect_list(F.struct(
         "column", F.struct("lower", "upper").alias("f"))))  # one entry per column
     if groups:
-        out = df.join(fences.groupBy(*groups).agg(packed.alias("_f")), groups, "left")
+        out = with_params(df, fences.groupBy(*groups).agg(packed.alias("_f")), groups)
     else:
         out = df.withColumn("_f", fences.agg(packed).scalar())
     over, flags = [], {}

@@ -9,7 +9,7 @@ from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, neighbours, sequence, stats, thresholds
 from oddrows.operators.scaling import zscore_apply, zscore_fit
 from oddrows.plans.registry import H, R, Tables, U, least_squares_sql, query
-from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, day_text, early, hourly, recent_days, train_rows
+from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, daily, day_text, early, hourly, train_rows
 from oddrows.operators.text import build_vocabulary, hash_vectors, pooled_text_vector
 from oddrows.plans.tables import DATED_SQL, KEYED_SQL, dated_texts, keyed, vocabulary_sql, words_sql
 
@@ -77,7 +77,7 @@ BANDS_SQL = f"""{TREND_SQL}, e AS (SELECT date, total - trend AS error, (total -
 
 
 def banded(t: Tables):
-    days = forecast.seasonal_forecast_residual(recent_days(t), "date", "total", early())
+    days = forecast.seasonal_forecast_residual(daily(t), "date", "total", early())
     days = days.select("date", F.col("total").alias("actuals"), F.col("trend").alias("predicted"))
     return thresholds.rolling_error_bands(days, 7, hot_rows=None)  # one row per day
 
@@ -98,7 +98,7 @@ def _(t: Tables):
 
 @query("seasonal_forecast_residual", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('total - trend', 4)} AS residual FROM r""", digits=4)
 def _(t: Tables):
-    return day_text(forecast.seasonal_forecast_residual(recent_days(t), "date", "total", early())).select("date", "residual")
+    return day_text(forecast.seasonal_forecast_residual(daily(t), "date", "total", early())).select("date", "residual")
 
 
 @query("score_new_rows", f"""WITH p AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b,

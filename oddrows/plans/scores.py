@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from oddrows.operators import evaluation, forecast, sequence, stats, text, thresholds
 from oddrows.functions.columns import rounded
 from oddrows.plans.registry import R, Tables, U, query
-from oddrows.plans.series import TREND_SQL, early, recent_days
+from oddrows.plans.series import TREND_SQL, daily, early
 from oddrows.plans.tables import RANGES_SQL, SPLITS_SQL, histogram_sql, keyed, label_ranges, split_ranges, vocabulary_sql, words_sql
 from oddrows.operators import joins
 from oddrows.sources import readers, writers
@@ -74,6 +74,27 @@ def _(t: Tables):
     return evaluation.fbeta_sweep(scores(t), "score", "label", 1000, beta=0.5)
 
 
+@query("fbeta_sweep_low_scores", f"""WITH s AS (SELECT label, score / 1000.0::DOUBLE AS score FROM ({SCORES_SQL})), t AS (SELECT max(score) AS hi FROM s),
+    g AS (SELECT j, CASE WHEN j = 99 THEN hi ELSE 1 + (hi - 1) * (j::DOUBLE / 99::DOUBLE) END AS threshold FROM range(100) r(j), t),
+    c AS (SELECT j, threshold, count(*) FILTER (score > threshold AND label = 1) AS tp, count(*) FILTER (score > threshold AND label <> 1) AS fp,
+        count(*) FILTER (label = 1) AS p FROM g, s GROUP BY 1, 2)
+    SELECT j::INT AS step, {R('threshold')} AS threshold, {R('tp / nullif(tp + fp, 0)')} AS precision, {R('tp / p')} AS recall,
+    {R('2 * tp / nullif(p + tp + fp, 0)')} AS fbeta FROM c""")
+def _(t: Tables):
+    low = scores(t).withColumn("score", F.col("score") / 1000.0)
+    return evaluation.fbeta_sweep(low, "score", "label", 100)
+
+
+@query("regression_errors_null_group", f"""WITH e AS (SELECT CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS grp, value AS t, value + (event_id % 5) AS p FROM events),
+    m AS (SELECT *, avg(t) OVER (PARTITION BY grp) AS m FROM e)
+    SELECT grp, {R('avg(abs(p - t))')} AS mae, {R('sqrt(avg((p - t) * (p - t)))')} AS rmse,
+    {R('greatest(0, 1 - sum((p - t) * (p - t)) / sum((t - m) * (t - m)))')} AS r2 FROM m GROUP BY grp""")
+def _(t: Tables):
+    e = t.events.select(F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("grp"), F.col("value").alias("t"),
+                        (F.col("value") + F.col("event_id") % 5).alias("p"))
+    return evaluation.regression_errors(e, "t", "p", "grp").select("grp", "mae", "rmse", "r2")
+
+
 def best_sweep_sql(scored: str) -> str:
     """SQL for the best F1 over 1,000 log-spaced thresholds of `scored(score, label)`."""
     return f"""s AS ({scored}), g AS (SELECT j, exp(ln((SELECT max(score) FROM s)) * (j::DOUBLE / 999::DOUBLE)) AS threshold FROM range(1000) r(j)),
@@ -110,7 +131,7 @@ ERROR_COLUMNS = f"""{R('corr(p, t)', 4)} AS corr, {R('avg(abs(p - t))', 2)} AS m
 
 
 def fitted_days(t: Tables):
-    days = forecast.seasonal_forecast_residual(recent_days(t), "date", "total", early())
+    days = forecast.seasonal_forecast_residual(daily(t), "date", "total", early())
     return days.withColumn("year", F.year("date"))
 
 

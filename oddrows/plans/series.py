@@ -214,6 +214,24 @@ def _(t: Tables):
     return forecast.unit_root_test(hourly(t), "n", "hour", hot_rows=None)
 
 
+@query("unit_root_offset", f"""WITH d AS (SELECT n - lag(n) OVER (ORDER BY hour) AS y, lag(n) OVER (ORDER BY hour) AS x FROM ({HOURLY_SQL})),
+    r AS (SELECT regr_slope(y, x) AS b, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, regr_sxx(y, x) AS sxx, regr_count(y, x) AS n FROM d)
+    SELECT {R('b', 4)} AS gamma, {R('b / sqrt((syy - b * sxy) / (n - 2) / sxx)', 4)} AS t_stat FROM r""", digits=4)
+def _(t: Tables):
+    raised = hourly(t).withColumn("n", F.col("n") + 1e9)  # the answer does not change with the level
+    return forecast.unit_root_test(raised, "n", "hour", hot_rows=None).select("gamma", "t_stat")
+
+
+@query("autocorrelation_constant_series", f"""WITH v AS (SELECT user_id, ts, CASE WHEN user_id % 3 = 0 THEN 5 ELSE value END AS x FROM events),
+    c AS (SELECT user_id, ts, x - avg(x) OVER (PARTITION BY user_id) AS c FROM v),
+    l AS (SELECT user_id, c, lag(c) OVER (PARTITION BY user_id ORDER BY ts) AS b FROM c),
+    s AS (SELECT user_id, count(*) AS n, sum(c * c) AS s0, coalesce(sum(c * b), 0) AS s1 FROM l GROUP BY 1)
+    SELECT user_id, {R('CASE WHEN s0 > 0 THEN s1 / s0 END')} AS acf FROM s""")
+def _(t: Tables):
+    steady = t.events.select("user_id", "ts", F.when(F.col("user_id") % 3 == 0, 5.0).otherwise(F.col("value")).alias("x"))
+    return sequence.autocorrelation(steady, "x", 1, "ts", "user_id").filter("lag = 1").select("user_id", "acf")
+
+
 @query("outlier_regions", f"""WITH f AS (SELECT user_id, ts, value, (value > 25)::INT AS flag FROM events),
     s AS (SELECT *, CASE WHEN flag = 1 AND coalesce(lag(flag) OVER ({W}), 0) <> 1 THEN 1 ELSE 0 END AS st FROM f),
     r AS (SELECT *, sum(st) OVER ({W}) AS region FROM s)
@@ -261,15 +279,11 @@ def _(t: Tables):
     return scaling.minmax_apply(t.customer.select("c_custkey", "c_acctbal"), scaling.minmax_fit(t.customer, "c_acctbal"), "c_acctbal")
 
 
-TREND_SQL = f"""WITH d AS ({DAILY_SQL}), k AS (SELECT date, total, isodow(date) - 1 AS dow FROM d WHERE date >= DATE '1996-01-01'),
+TREND_SQL = f"""WITH d AS ({DAILY_SQL}), k AS (SELECT date, total, isodow(date) - 1 AS dow FROM d),
     m AS (SELECT dow, avg(total) AS trend FROM k WHERE date < DATE '1999-01-01' GROUP BY 1),
     r AS (SELECT date, total, k.dow, trend, (SELECT stddev_samp(total) FROM k) AS std FROM k LEFT JOIN m ON m.dow = k.dow)"""
 
 
-def recent_days(t: Tables):
-    return daily(t).filter(F.col("date") >= F.lit("1996-01-01").cast("date"))
-
-
 def early():
     return F.col("date") < F.lit("1999-01-01").cast("date")
 
@@ -277,13 +291,19 @@ def early():
 @query("seasonal_detrend", f"""{TREND_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, dow::INT AS dow, {R('total', 4)} AS total, {R('trend', 4)} AS trend,
     {R('std', 4)} AS std, {R('(total - trend) / std', 4)} AS detrended FROM r""", digits=4)
 def _(t: Tables):
-    return day_text(scaling.seasonal_detrend(recent_days(t), "date", "total", early()))
+    return day_text(scaling.seasonal_detrend(daily(t), "date", "total", early()))
+
+
+@query("seasonal_detrend_from_year", f"""{TREND_SQL.replace("FROM d),", "FROM d WHERE date >= DATE '1996-01-01'),")} SELECT strftime(date, '%Y-%m-%d') AS date,
+    {R('trend', 4)} AS trend, {R('(total - trend) / std', 4)} AS detrended FROM r""", digits=4)
+def _(t: Tables):
+    return day_text(scaling.seasonal_detrend(daily(t), "date", "total", early(), first_day="1996-01-01")).select("date", "trend", "detrended")
 
 
 def augmented(t: Tables):
     params = scaling.zscore_fit(t.events, ["value"], ddof=1)
     return scaling.noise_augment(t.events.select("event_id", "ts", "value", (F.col("event_type") == "error").cast("int").alias("label")),
-                                 ["value"], "ts", params, copies=4, max_rows=10**12)
+                                 ["value"], "ts", params, copies=4)
 
 
 @query("noise_augment_labels", """SELECT copy::INT AS copy, (copy * n + p)::BIGINT AS row, event_id, label FROM (SELECT event_id,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from oddrows.functions.quantiles import quantiles
-from oddrows.operators import cleaning, joins, scaling, stats
+from oddrows.operators import cleaning, joins, linear, scaling, stats
 from oddrows.operators.text import build_vocabulary, hash_vectors
 from oddrows.plans.registry import R, U, Tables, query
 
@@ -536,6 +536,44 @@ def _(t: Tables):
     return stats.best_by(t.events.select("event_type", "event_id", "value", "user_id"), "value", "event_type", tie="event_id")
 
 
+#: events whose class is null in every seventh row
+HOLED_SQL = "SELECT event_id, ts, value, user_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_type END AS grp FROM events"
+
+
+def holed(t: Tables):
+    grp = F.when(F.col("event_id") % 7 != 0, F.col("event_type"))
+    return t.events.select("event_id", "ts", "value", "user_id", grp.alias("grp"))
+
+
+@query("best_by_null_group", f"""SELECT grp, event_id, value, user_id FROM (SELECT *, row_number() OVER (
+    PARTITION BY grp ORDER BY value, event_id) AS r FROM ({HOLED_SQL})) WHERE r = 1""")
+def _(t: Tables):
+    return stats.best_by(holed(t).select("grp", "event_id", "value", "user_id"), "value", "grp", tie="event_id")
+
+
+@query("describe_null_group", f"""SELECT grp, count(value)::BIGINT AS count, {R('avg(value)')} AS mean, {R('quantile_cont(value, 0.25)')} AS p25,
+    {R('quantile_cont(value, 0.5)')} AS p50, {R('quantile_cont(value, 0.75)')} AS p75 FROM ({HOLED_SQL}) GROUP BY grp""")
+def _(t: Tables):
+    return stats.describe(holed(t), "value", "grp").select("grp", "count", "mean", "p25", "p50", "p75")
+
+
+@query("box_stats_null_group", f"""WITH x AS ({HOLED_SQL}), q AS (SELECT grp AS g, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+        FROM x GROUP BY 1),
+    y AS (SELECT *, value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1) AS ok FROM x JOIN q ON g IS NOT DISTINCT FROM grp)
+    SELECT grp, min(value) FILTER (ok) AS low_whisker, max(value) FILTER (ok) AS high_whisker, count(*) FILTER (NOT ok)::BIGINT AS outside
+    FROM y GROUP BY grp""")
+def _(t: Tables):
+    return stats.box_stats(holed(t), "value", "grp").select("grp", "low_whisker", "high_whisker", "outside")
+
+
+@query("linear_offset", f"""SELECT event_type, {R('regr_slope(y, x)')} AS slope FROM (SELECT event_type, epoch(ts) AS x,
+    3 * (epoch(ts) - 1700000000) + value AS y FROM events) GROUP BY 1""")
+def _(t: Tables):
+    seconds = F.unix_timestamp("ts").cast("double")
+    e = t.events.select("event_type", seconds.alias("x"), (3 * (seconds - 1.7e9) + F.col("value")).alias("y"))
+    return linear.fit_linear(e, ["x"], "y", "event_type").select("event_type", F.col("coef")[1].alias("slope"))
+
+
 @query("conditional_counts", """SELECT event_type, count(*) FILTER (value > 60)::BIGINT AS outliers,
     count(*) FILTER (value <= 60)::BIGINT AS inliers FROM events GROUP BY 1""")
 def _(t: Tables):

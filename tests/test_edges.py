@@ -88,29 +88,82 @@ def test_noise_copies_stop_at_the_limit(spark):
     assert one.count() == 90 and one.filter("copy > 0 and x = t").count() == 0
 
 
-def test_text_joins_equal_lookup(spark, monkeypatch):
-    rows = [(1, "One two, two! three"), (2, "Three three. four"), (3, "nothing"), (4, None), (5, "")]
+def test_texts_keep_their_own_words(spark):
+    rows = [(1, "One two, two! three"), (2, "Three three. four"), (3, "nothing"), (4, None), (5, ""), (1, "four"), (1, "four"), (None, "two")]
     df = spark.createDataFrame(rows, "k int, s string")
-    vocabulary = text.build_vocabulary(df.filter("k < 3"), "s", 4)
-    assert [(r["word"], r["index"]) for r in vocabulary.orderBy("index").collect()] == [("three", 1), ("two", 2), ("four", 3)]
+    vocabulary = text.build_vocabulary(df.limit(2), "s", 4)
+    index = {r["word"]: r["index"] for r in vocabulary.collect()}
+    assert index == {"three": 1, "two": 2, "four": 3}
+    got = sorted(((r["k"], r["s"], list(r["sequence"])) for r in text.texts_to_sequences(df, "s", vocabulary, "k").collect()), key=repr)
+    want = [[2, 2, 1], [1, 1, 3], [], [], [], [3], [3], [2]]
+    assert got == sorted([(*r, w) for r, w in zip(rows, want)], key=repr)
     vectors = text.hash_vectors(vocabulary, 3)
-
-    def run():
-        seq = {r["k"]: list(r["sequence"]) for r in text.texts_to_sequences(df, "s", vocabulary, "k").collect()}
-        pools = [{r["k"]: r["vec"] and pytest.approx(list(r["vec"])) for r in text.pooled_text_vector(df, "s", vectors, "k", 3, how).collect()}
-                 for how in ("mean", "max")]
-        return seq, pools
-
-    looked = run()
-    assert looked[0] == {1: [2, 2, 1], 2: [1, 1, 3], 3: [], 4: [], 5: []}
-    monkeypatch.setattr(text, "LOOKUP_WORDS", 1)
-    joined = run()
-    assert joined[0] == looked[0]
-    for a, b in zip(joined[1], looked[1]):
-        for k in b:
-            assert (a[k] is None) == (b[k] is None)
-            if b[k] is not None:
-                assert list(a[k].expected) == b[k]
+    table = {r["word"]: list(r["vec"]) for r in vectors.collect()}
+    names = {v: k for k, v in index.items()}
+    for how, join in (("mean", lambda x: [sum(c) / len(c) for c in zip(*x)]), ("max", lambda x: [max(c) for c in zip(*x)])):
+        pooled = text.pooled_text_vector(df, "s", vectors, "k", 3, how).collect()
+        assert len(pooled) == len(rows)
+        for r in pooled:
+            own = want[rows.index((r["k"], r["s"]))]
+            assert (r["vec"] is None) == (not own)
+            if own:
+                assert list(r["vec"]) == pytest.approx(join([table[names[i]] for i in own]))
+
+
+def test_least_squares_far_from_zero(spark):
+    from oddrows.operators.forecast import unit_root_test
+    from oddrows.operators.linear import cross_validated_ridge, fit_linear
+
+    df = spark.range(2000).selectExpr("id", "CAST(id + 1000000000 AS double) AS x", "CAST(3 * id + 1 + 1e9 AS double) AS y", "id % 4 AS fold")
+    coef = fit_linear(df, ["x"], "y").first()["coef"]
+    assert coef[1] == pytest.approx(3, rel=1e-9) and coef[0] + coef[1] * 1e9 == pytest.approx(1e9 + 1, rel=1e-9)
+    assert cross_validated_ridge(df, ["x"], "y", "fold", [0.0]).first()["mse"] < 1e-6
+    import random
+    rng = random.Random(1)
+    noise = [(k, rng.gauss(0, 1)) for k in range(400)]
+    t = [unit_root_test(spark.createDataFrame([(k, v + up) for k, v in noise], "k int, v double"), "v", "k", lags=lags).first()["t_stat"]
+         for lags in (0, 2) for up in (0.0, 1e9)]
+    assert t[0] == pytest.approx(t[1], rel=1e-4) and t[2] == pytest.approx(t[3], rel=1e-4) and t[0] < -10
+
+
+def test_null_groups_and_constants(spark):
+    from oddrows.functions.sizes import with_params
+    from oddrows.operators import evaluation, scaling, sequence, stats, thresholds
+
+    rows = [(g, float(k), float(k * k % 7)) for g in ("a", None) for k in range(1, 9)] + [("c", 1.0, 1.0), ("c", 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, t double, x double")
+    groups = {"a", None, "c"}
+    assert {r["g"] for r in stats.best_by(df, "x", "g", tie="t").collect()} == groups
+    assert {r["g"] for r in stats.box_stats(df, "x", "g").collect()} == groups
+    assert all(r["p50"] is not None for r in stats.describe(df, "x", "g").collect())
+    bins = stats.equal_width_histogram(df, "x", 3, "g").groupBy("g").sum("count").collect()
+    assert {(r["g"], r["sum(count)"]) for r in bins} == {("a", 8), (None, 8), ("c", 2)}
+    assert {r["g"] for r in evaluation.regression_errors(df, "t", "x", "g").collect()} == groups
+    acf = sequence.autocorrelation(df, "x", 1, "t", "g").filter("lag = 1").collect()
+    assert {r["g"]: r["acf"] is None for r in acf} == {"a": False, None: False, "c": True}
+    fences = thresholds.fit_iqr_fence(df, "x", "g")
+    assert thresholds.score_iqr_fence(df, fences, "x", "g").filter("score IS NULL").count() == 0
+    flat = spark.createDataFrame([("2020-01-01", 5.0), ("2020-01-02", 5.0)], "d string, v double").selectExpr("CAST(d AS date) AS d", "v")
+    assert [r["detrended"] for r in scaling.seasonal_detrend(flat, "d", "v", F.lit(True)).collect()] == [None, None]
+    means = df.groupBy("g").agg(F.avg("x").alias("m"))
+    near = sorted(map(repr, with_params(df, means, "g").collect()))
+    assert near == sorted(map(repr, with_params(df, means, "g", bytes_limit=0).collect())) and len(near) == len(rows)
+
+
+def test_nearest_with_null_coordinates(spark):
+    from oddrows.operators.joins import assign_nearest
+
+    df = spark.createDataFrame([(1.0,), (None,), (40.2,)], "x double")
+    for k in (1, 16, 17, 50):
+        got = [(r["x"], r["cluster"], r["distance"]) for r in assign_nearest(df, ["x"], [[float(i)] for i in range(k)]).collect()]
+        assert got[1] == (None, None, None) and got[0][1] == min(1, k - 1) and got[2][1] == min(40, k - 1)
+
+
+def test_noise_keeps_the_series(spark):
+    df = spark.range(10).selectExpr("id AS t", "CAST(id AS double) AS x")
+    params = zscore_fit(df, "x", ddof=1)
+    assert noise_augment(df, ["x"], "t", params, max_rows=4).filter("copy = 0").count() == 10
+    assert noise_augment(df, ["x"], "t", params, copies=3).count() == 40
 
 
 def test_pad(spark):
