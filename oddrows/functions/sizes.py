@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import names
@@ -13,11 +13,16 @@ BROADCAST_BYTES = 16_000_000
 SALTS = 32
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the table really has at most `rows` rows; otherwise the
-    same join runs as a shuffle join."""
-    few = df.limit(rows + 1).count() <= rows
-    return F.broadcast(df) if few else df
+def measured_bytes(df: DataFrame) -> Column:
+    """Aggregate: bytes of the rows, counted on their JSON form."""
+    return F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))), F.lit(0))
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, bytes_limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when the table really has at most `rows` rows and `bytes_limit` bytes;
+    otherwise the same join runs as a shuffle join."""
+    size = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), measured_bytes(df).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= rows and size["b"] <= bytes_limit else df
 
 
 def join_groups(df: DataFrame, other: DataFrame, by, how: str = "left") -> DataFrame:
@@ -40,7 +45,7 @@ def with_params(df: DataFrame, params: DataFrame, by, how: str = "left", bytes_l
     keys = names(by)
     stored = written(params.select(*[F.col(k).alias(f"_group_{i}") for i, k in enumerate(keys)],
                                    *[c for c in params.columns if c not in keys]))
-    size = stored.agg(F.sum(F.octet_length(F.to_json(F.struct(*stored.columns))))).first()[0] or 0
+    size = stored.agg(measured_bytes(stored)).first()[0]
     match = F.lit(True)
     for i, k in enumerate(keys):
         match = match & F.col(k).eqNullSafe(F.col(f"_group_{i}"))

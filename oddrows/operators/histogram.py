@@ -45,6 +45,8 @@ def score_hbos(df: DataFrame, params: DataFrame, columns: Sequence[str], tol: fl
     fitted = {r["feature"]: r for r in params.collect()}  # one row of `bins` scores per feature
     total = F.lit(0.0)
     for c in columns:
+        if c not in fitted:
+            continue  # a feature that was null in every fitted row says nothing
         low, high, scores = fitted[c]["lo"], fitted[c]["hi"], fitted[c]["scores"]
         x, bins = F.col(c).cast("double"), len(scores)
         reach, worst = tol * (high - low) / bins, min(scores)

@@ -11,8 +11,6 @@ from oddrows.functions.columns import names, scalar
 from oddrows.functions.sizes import broadcast_if_small
 from oddrows.operators.stats import concat_text_by_key
 
-#: centroids written out as separate distance columns; more go through one array per row
-
 
 def attach_event_text(days: DataFrame, events: DataFrame, key: str, text: str, order_by: str) -> DataFrame:
     """Per day: flag 1 and all texts of the day in order, or 0 and "None"."""
@@ -23,6 +21,12 @@ def attach_event_text(days: DataFrame, events: DataFrame, key: str, text: str, o
     })
 
 
+def flag_event_days(days: DataFrame, events: DataFrame, key: str, text: str) -> DataFrame:
+    """Per day: is there an event text. Only the distinct days are joined, no text is gathered."""
+    seen = events.filter(F.col(text).isNotNull()).select(F.col(key).alias("_day")).distinct()
+    return days.join(seen, F.col(key) == F.col("_day"), "left").withColumn("txt", F.col("_day").isNotNull().cast("int")).drop("_day")
+
+
 def match_label_timestamps(df: DataFrame, labels: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose timestamp (and series) is in the label list. Labels are de-duplicated, so a
     hot timestamp costs one label row; Spark picks the join from measured sizes."""

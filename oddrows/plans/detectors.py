@@ -520,7 +520,7 @@ TEXT_SQL = f"""WITH d AS (SELECT ts::DATE AS date, sum(value) AS total FROM even
     {R('(yy - (p * p * c - 2 * p * q * b + q * q * a) / (a * c - b * b)) / n', 2)} FROM m""", digits=4)
 def _(t: Tables):
     days = stats.daily_sum(t.events, "ts", "value")
-    days = joins.attach_event_text(days, dated_texts(t), "date", "text", "item_id").withColumn("txt", F.col("txt").cast("double"))
+    days = joins.flag_event_days(days, dated_texts(t), "date", "text").withColumn("txt", F.col("txt").cast("double"))
     rows = sequence.lead_target(days, {"nxt": "txt", "y": "total"}, "date", hot_rows=None).withColumnRenamed("total", "l0")
     fits = linear.ablation(rows, "y", {"lags": ["l0"], "lags+text": ["l0", "nxt"]}, F.lit(True))
     return fits.select("variant", "n", F.col("coef")[1].alias("b_lag"), F.col("coef")[2].alias("b_text"),

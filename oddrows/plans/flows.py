@@ -146,7 +146,7 @@ def _(t: Tables):
     """Daily totals with event text: detrend, lags, next-day target, 40/20/40 split, fit with and
     without the text flag of the next day, errors on the test days in original units."""
     days = stats.daily_sum(t.events, "ts", "value")
-    days = joins.attach_event_text(days, dated_texts(t), "date", "text", "item_id").drop("txt_desc")
+    days = joins.flag_event_days(days, dated_texts(t), "date", "text")
     days = scaling.seasonal_detrend(days, "date", "total", F.lit(True)).withColumn("txt", F.col("txt").cast("double"))
     lags = [0, 1, 2]
     rows = sequence.lag_matrix(days, "detrended", lags, "date", hot_rows=None)
