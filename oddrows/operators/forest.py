@@ -28,17 +28,27 @@ def average_path(n: float) -> float:
     return 2.0 * (math.log(n - 1) + EULER_GAMMA) - 2.0 * (n - 1) / n
 
 
-def _pool(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
-    """The `rows` rows with the smallest hash. On large tables a hash limit expected to keep
+def _pool(df: DataFrame, key: str, rows: int, seed: int) -> tuple[DataFrame, int]:
+    """The `rows` rows with the smallest hash, and how many there are. On large tables a hash limit expected to keep
     twice as many goes first, and the sort sees only those."""
     n = df.count()
     if n <= rows:
-        return df
+        return df, n
     h = hash32(seed, key)
     if n > 4 * rows:
         some = df.filter(h < int(2.0 * rows / n * 2**32))
         df = some if some.count() >= rows else df
-    return df.orderBy(h, key).limit(rows)
+    return df.orderBy(h, key).limit(rows), rows
+
+
+def _lowest(each: DataFrame, rows: int, trees: int, sample: int) -> DataFrame:
+    """Rows that can be among the `sample` lowest hashes of a tree: a hash limit expected to keep
+    twice as many, if every tree did keep enough; otherwise all rows."""
+    if rows <= 4 * sample:
+        return each
+    some = written(each.filter(F.col("_h") < int(2.0 * sample / rows * 2**32)))
+    kept = some.groupBy("tree").count().agg(F.count(F.lit(1)).alias("trees"), F.min("count").alias("least")).first()
+    return some if kept["trees"] == trees and kept["least"] >= sample else each
 
 
 def fit_isolation_forest(
@@ -52,13 +62,14 @@ def fit_isolation_forest(
     cols = list(columns)
     d = len(cols)
     points = df.select(F.col(key).alias("_k"), *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    pool = _pool(points, "_k", trees * sample, seed)
+    pool, count = _pool(points, "_k", trees * sample, seed)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = pool.repartition(tasks, "_k")  # a limit leaves one partition
-    each = spread.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    each = spread.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_h", hash32(seed, "tree", "_k"))
+    each = _lowest(each, count, trees, sample)
     pick = Window.partitionBy("tree").orderBy("_h", "_k")
     rows = (
-        each.withColumn("_h", hash32(seed, "tree", "_k")).withColumn("_r", F.row_number().over(pick))
+        each.withColumn("_r", F.row_number().over(pick))
         .filter(F.col("_r") <= sample)
         .select("tree", F.array(*cols).alias("x"), F.lit(1).cast("bigint").alias("node"),
                 F.array().cast("array<struct<node:bigint,feature:int,cut:double>>").alias("splits"))

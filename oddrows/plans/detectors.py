@@ -268,11 +268,11 @@ def forest_sql(source: str, features: int, trees: int, sample: int, depth: int,
 XYF = "SELECT event_id AS id, value AS x0, json_extract(props, '$.k')::DOUBLE AS x1 FROM events"
 
 
-@query("isolation_forest", f"""{forest_sql(XYF, 2, 20, 64, 6, XYF)}, h AS (SELECT quantile_cont(score, 0.87) AS threshold FROM scores)
+@query("isolation_forest", f"""{forest_sql(XYF, 2, 100, 256, 8, XYF)}, h AS (SELECT quantile_cont(score, 0.87) AS threshold FROM scores)
     SELECT id AS event_id, {R('score')} AS score, (score > threshold)::INT AS is_outlier FROM scores, h""")
 def _(t: Tables):
     rows = keyed(t).select("event_id", "value", "k")
-    trees = forest.fit_isolation_forest(rows, ["value", "k"], "event_id", trees=20, sample=64)
+    trees = forest.fit_isolation_forest(rows, ["value", "k"], "event_id")
     scored = written(forest.score_isolation_forest(rows, trees, ["value", "k"]).select("event_id", "score"))
     return thresholds.flag_above(scored, thresholds.fit_contamination(scored, "score", 0.13))
 
