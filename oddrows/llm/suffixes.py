@@ -4,7 +4,8 @@
 2. Each text is winnowed: every `length`-byte window picks the smallest hash among its `GRAM`-byte grams, the rightmost
    of equals. Equal windows pick equal grams, so all occurrences of a repeated string meet at one gram. A picked gram
    (an anchor) comes with the range of window starts that picked it and a hash of the bytes those windows span (its context).
-3. Anchors are dealt by gram hash and sorted. Equal contexts are collapsed while streaming: all but the first occurrence are
+3. Equal contexts of one batch are collapsed before the shuffle, so a text that very many documents share sends one row a
+   batch. The rest is dealt by gram hash and sorted. Equal contexts are collapsed while streaming: all but the first occurrence are
    covered. Only grams that occur in different contexts go on, one row per distinct context.
 4. Their contexts go into suffix arrays, with the shared gram as one symbol. The suffix array is built by
    linear grouping: suffixes are grouped by their Lyndon prefix, groups are processed in descending order with previous-smaller
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,6 +148,23 @@ def anchors(body: np.ndarray, length: int, gram: int, powers: np.ndarray, back:
     return grams[place], hashed(lo, hi + length), place, lo, hi
 
 
+def _seen_here(gram: np.ndarray, context: np.ndarray, doc: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which anchors of a batch follow an equal context of the same batch, and which repeat its first row."""
+    later, twice = np.zeros(len(gram), bool), np.zeros(len(gram), bool)
+    key = mixed(gram.view(np.uint64) * np.uint64(_STEP) + context.view(np.uint64))
+    order = np.argsort(key, kind="stable")
+    equal = key[order[1:]] == key[order[:-1]]
+    some = order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])]
+    some = some[np.lexsort((lo[some], doc[some], context[some], gram[some]))]
+    if len(some):
+        head = np.concatenate([[True], (gram[some[1:]] != gram[some[:-1]]) | (context[some[1:]] != context[some[:-1]])])
+        first = some[np.maximum.accumulate(np.where(head, np.arange(len(some)), 0))]
+        same = (doc[some] == doc[first]) & (lo[some] == lo[first])
+        later[some[~head & ~same]] = True
+        twice[some[~head & same]] = True
+    return later, twice
+
+
 def _anchor_rows(distinct: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, back = _powers(BLOCK + length)
@@ -166,20 +185,30 @@ def _anchor_rows(distinct: DataFrame, length: int, gram: int) -> DataFrame:
 
     def _columns(out: list[tuple]) -> pa.RecordBatch:
         joined = [np.concatenate(c) for c in zip(*out)]
+        later, twice = _seen_here(*joined[:4])
         kinds = (np.int64, np.int64, np.int64, np.int32, np.int16, np.int16)
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(joined, kinds)], names)
+        arrays = [pa.array(joined[0], mask=later), *(pa.array(c.astype(k)) for c, k in zip(joined[1:], kinds[1:]))]
+        return pa.RecordBatch.from_arrays(arrays, names).filter(pa.array(~twice))
 
     names = ["gram", "context", "doc", "lo", "at", "more"]
     return distinct.select("doc", "text").mapInArrow(run, "gram long, context long, doc long, lo int, at short, more short")
 
 
 def _collapse(rows: DataFrame, length: int) -> DataFrame:
-    """Streams anchors in the order (gram, context, doc, lo). All but the first of a context are covered (gram is null); the
+    """Streams anchors in the order (gram, context, doc, lo). Anchors found to be repeats before the shuffle come without a gram,
+    are dealt anywhere and are covered. All but the first of a context are covered (gram is null); the
     firsts of a gram with two or more contexts go on with their gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the last row seen
         held = None  # first row of the gram's only context so far
-        for batch in batches:
+        for whole in batches:
+            known = whole.column("gram").is_valid()
+            done = whole.filter(pc.invert(known))
+            if done.num_rows:
+                stop = done.column("lo").to_numpy() + done.column("more").to_numpy() + length
+                yield pa.RecordBatch.from_arrays([done.column("gram"), done.column("doc"), done.column("lo"),
+                                                  pa.array(stop.astype(np.int32)), done.column("at")], out)
+            batch = whole.filter(known)
             if not batch.num_rows:
                 continue
             gram, context, doc, lo, at, more = (batch.column(c).to_numpy() for c in names)
@@ -214,7 +243,8 @@ def _collapse(rows: DataFrame, length: int) -> DataFrame:
                      pa.array([a + m + length], pa.int32()), pa.array([p], pa.int16())], out)
 
     names, out = ["gram", "context", "doc", "lo", "at", "more"], ["gram", "doc", "lo", "stop", "at"]
-    dealt = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc", "lo")
+    dealt = rows.withColumn("deal", F.coalesce("gram", F.xxhash64("doc", "lo"))).repartition("deal").drop("deal")
+    dealt = dealt.sortWithinPartitions("gram", "context", "doc", "lo")
     return dealt.mapInArrow(run, "gram long, doc long, lo int, stop int, at short")
 
 
