@@ -268,7 +268,8 @@ def _(t: Tables):
     return readers.read_sheet_export(t.spark, path, "c_custkey bigint, c_acctbal double")
 
 
-@query("read_arff", f"""SELECT {R('embedding[1]::VARCHAR', 12)} AS step1, {R('embedding[64]::VARCHAR', 12)} AS step64, label::VARCHAR AS target FROM embeddings""", digits=12)
+@query("read_arff", f"""SELECT {R('embedding[1]::VARCHAR', 12)} AS step1, {R('embedding[64]::VARCHAR', 12)} AS step64,
+    {R('list_sum(list_transform(range(1, 65), lambda i: i * embedding[i]::VARCHAR::DOUBLE))', 8)} AS all_steps, label::VARCHAR AS target FROM embeddings""", digits=12)
 def _(t: Tables):
     from oddrows.operators.cleaning import rename_last_column
     path, width = t.scratch(), 64
@@ -277,7 +278,9 @@ def _(t: Tables):
     t.spark.createDataFrame([("\n".join(head),)], "value string").coalesce(1).write.text(path)
     t.embeddings.select(F.concat_ws(",", *[F.col("embedding")[i].cast("string") for i in range(width)], "label").alias("value")).write.mode(
         "append").text(path)
-    return rename_last_column(readers.read_arff(t.spark, path)).select("step1", "step64", "target")
+    out = rename_last_column(readers.read_arff(t.spark, path))
+    total = sum((F.col(f"step{i}") * i for i in range(1, width + 1)), F.lit(0.0))
+    return out.select("step1", "step64", rounded(total, 8).alias("all_steps"), "target")
 
 
 @query("read_label_map", "SELECT event_type AS series, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, count(*)::BIGINT AS n FROM events GROUP BY 1, 2")
@@ -286,8 +289,7 @@ def _(t: Tables):
     path = t.scratch()
     per_day = t.events.groupBy("event_type", F.to_date("ts")).agg(F.collect_list(stamp).alias("stamps"))
     per_day.select(F.to_json(F.create_map("event_type", "stamps")).alias("value")).repartition(4).write.option("lineSep", "\n").text(path)
-    lines = t.spark.read.text(path).select(F.explode(readers.label_map("value")).alias("series", "stamps"))
-    out = lines.select("series", F.explode("stamps").alias("ts"))
+    out = readers.read_label_map(t.spark, path, "yyyy-MM-dd HH:mm:ss", by_line=True).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     return out.groupBy("series", "ts").agg(F.count(F.lit(1)).alias("n"))
 
 

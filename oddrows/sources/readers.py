@@ -59,7 +59,7 @@ def read_arff(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         numeric = r["kind"].strip().lower().split()[0] in ("numeric", "real", "integer") if r["kind"].strip() else False
         fields.setdefault(r["name"].strip("'\""), T.DoubleType() if numeric else T.StringType())
     schema = T.StructType([T.StructField(n, t) for n, t in fields.items()])
-    data = lines.filter((text != "") & ~text.startswith("@") & ~text.startswith("%"))
+    data = lines.filter((text != "") & ~text.rlike(r"(?i)^@(relation|attribute|data)\b") & ~text.startswith("%"))
     row = F.from_csv(text, schema.simpleString()[len("struct<"):-1].replace(":", " "), {"nullValue": "?"}) \
         if all(n.isidentifier() for n in fields) else F.from_csv(
             text, ", ".join(f"`{n}` {t.simpleString()}" for n, t in fields.items()), {"nullValue": "?"})
@@ -71,9 +71,10 @@ def label_map(column: str | Column) -> Column:
     return F.from_json(column, "map<string,array<string>>")
 
 
-def read_label_map(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
-    """JSON file {series: [timestamp, ...]} to rows (series, ts)."""
-    whole = spark.read.text(path, wholetext=True)
+def read_label_map(spark: SparkSession, path: str, fmt: str | None = None, by_line: bool = False) -> DataFrame:
+    """JSON files {series: [timestamp, ...]} to rows (series, ts): one object per file, or with
+    `by_line` one per line, which can be split."""
+    whole = spark.read.text(path, wholetext=not by_line)
     pairs = whole.select(F.explode(label_map("value")).alias("series", "stamps"))
     stamp = F.explode("stamps").alias("stamp")
     parsed = F.try_to_timestamp(F.col("stamp"), F.lit(fmt)) if fmt else F.try_to_timestamp(F.col("stamp"))
