@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import uniform
 from oddrows.functions.lineage import written
 from oddrows.functions.ordering import HOT_ROWS, with_position
-from oddrows.functions.sizes import broadcast_if_small
 
 # Characters that separate words.
 FILTERED = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n"
 
+#: words looked up inside the tasks at most; larger vocabularies are joined
+LOOKUP_WORDS = 100_000
+
 
 def spaced(text: str | Column) -> Column:
     """Lower case, every filtered character a blank."""
@@ -44,11 +47,20 @@ def build_vocabulary(df: DataFrame, text: str, num_words: int | None = None, hot
 def texts_to_sequences(df: DataFrame, text: str, vocabulary: DataFrame, key: str, to: str = "sequence") -> DataFrame:
     """Word indexes of every text in order, unknown words dropped.
 
-    Words are joined with the vocabulary, which goes to the tasks while it is small, and gathered per
-    key and text: rows that share a key keep their own words."""
+    Up to `LOOKUP_WORDS` words the dictionary goes to the tasks and texts are not shuffled; a larger
+    vocabulary is joined word by word and gathered per key and text. Both give each row its own words."""
+    if vocabulary.limit(LOOKUP_WORDS + 1).count() <= LOOKUP_WORDS:
+        table = df.sparkSession.sparkContext.broadcast({r["word"]: int(r["index"]) for r in vocabulary.select("word", "index").collect()})
+
+        @F.pandas_udf("array<int>")
+        def look(lines: pd.Series) -> pd.Series:
+            index = table.value
+            return pd.Series([[index[w] for w in (s or "").split(" ") if w in index] for s in lines])
+
+        return df.withColumn(to, look(spaced(text)))
     texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).distinct()
     spread = texts.select("*", F.posexplode(words("_text")).alias("_at", "word"))
-    known = broadcast_if_small(vocabulary.select("word", F.col("index").cast("int").alias("_i")))
+    known = vocabulary.select("word", F.col("index").cast("int").alias("_i"))
     hits = spread.join(known, "word").groupBy("_key", "_text").agg(
         F.sort_array(F.collect_list(F.struct("_at", "_i"))).alias("_s"))
     match = F.col(key).eqNullSafe(F.col("_key")) & F.col(text).eqNullSafe(F.col("_text"))

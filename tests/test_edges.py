@@ -88,7 +88,9 @@ def test_noise_copies_stop_at_the_limit(spark):
     assert one.count() == 90 and one.filter("copy > 0 and x = t").count() == 0
 
 
-def test_texts_keep_their_own_words(spark):
+@pytest.mark.parametrize("most", [text.LOOKUP_WORDS, 1])
+def test_texts_keep_their_own_words(spark, monkeypatch, most):
+    monkeypatch.setattr(text, "LOOKUP_WORDS", most)
     rows = [(1, "One two, two! three"), (2, "Three three. four"), (3, "nothing"), (4, None), (5, ""), (1, "four"), (1, "four"), (None, "two")]
     df = spark.createDataFrame(rows, "k int, s string")
     vocabulary = text.build_vocabulary(df.limit(2), "s", 4)
