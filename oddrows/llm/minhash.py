@@ -1,14 +1,16 @@
 """Near-duplicate documents by a multi-index Hamming join of b-bit MinHash signatures.
 
-A document's set holds its distinct word shingles. Its signature has `SLOTS` MinHash values of 16 bits;
+A document's set holds its distinct word shingles. Its signature has `SLOTS` MinHash values of 16 bits
+(and `MORE` of 8 bits, which only narrow the candidates down);
 two sets of similarity J differ in about (1 - J) of the slots. Signatures within a distance of `radius`
 slots are candidates: cut into chunks so that, by the pigeonhole principle, one chunk of such a pair has at most
 `ERRORS` differing slots, and each document enters one bucket per chunk and choice of slots left out. So every pair
 within the radius meets in a bucket. The radius is set so that a pair at the threshold lies beyond it with a
 probability below 1e-6. Candidates are confirmed on the full sets of their whole texts.
 
-Equal sets are one class from the start. A bucket is first linked to its smallest member, twice over
-with another leader for what is still apart, and only members of buckets that then span several components
+Equal sets are one class from the start. In the first rounds each class is held against one leader of its
+buckets only: the smallest member of a bucket, then that of another component, whichever has the nearest signature. Only members of
+buckets that then still span several components
 are paired with each other, across components, and filtered by the signature distance. So copies
 are never expanded into all pairs, and no link that joins components is lost.
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import math
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +36,7 @@ from oddrows.llm import texts, words
 from oddrows.llm.components import components
 
 SLOTS = 64
+MORE = 192
 ERRORS = 1
 MISS = 1e-6
 LEADER_ROUNDS = 2
@@ -57,33 +61,41 @@ def chunk_masks(radius: int, slots: int = SLOTS, errors: int = ERRORS) -> list[t
 
 
 def _signature(sets: list[np.ndarray]) -> np.ndarray:
-    """16-bit MinHash values, one row per non-empty set."""
+    """`SLOTS` MinHash values of 16 bits and `MORE` of 8 bits as bytes, one row per non-empty set."""
     flat, starts = np.concatenate(sets), np.cumsum([0, *(len(s) for s in sets[:-1])])
-    out = np.empty((len(sets), SLOTS), np.uint16)
-    salts = words.mixed(np.arange(1, 2 * SLOTS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    for k in range(SLOTS):
-        low = np.minimum.reduceat((flat ^ salts[2 * k]) * (salts[2 * k + 1] | np.uint64(1)), starts)
-        out[:, k] = (words.mixed(low) >> np.uint64(48)).astype(np.uint16)
+    out = np.empty((len(sets), 2 * SLOTS + MORE), np.uint8)
+    salts = words.mixed(np.arange(1, 2 * (SLOTS + MORE) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    for k in range(SLOTS + MORE):
+        low = words.mixed(np.minimum.reduceat((flat ^ salts[2 * k]) * (salts[2 * k + 1] | np.uint64(1)), starts))
+        if k < SLOTS:
+            out[:, 2 * k: 2 * k + 2] = (low >> np.uint64(48)).astype("<u2").reshape(-1, 1).view(np.uint8)
+        else:
+            out[:, SLOTS + k] = (low >> np.uint64(56)).astype(np.uint8)
     return out
 
 
+def _rows_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2 * SLOTS + MORE)
+
+
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, row (hash of the text), n_shingles, node (digest of the set), sig; null node for an empty set."""
+    """doc_id, row (hash of the text), n_shingles, node and check (two halves of the set's digest), sig; null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in words.slices(whole, "text"):
                 sets = list(words.shingle_sets(batch.column("text"), shingle))
                 full = [s for s in sets if len(s)]
                 sigs = iter(_signature(full)) if full else iter(())
-                node = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                halves = [struct.unpack("<qq", hashlib.blake2b(s.tobytes(), digest_size=16).digest()) if len(s) else (None, None)
+                          for s in sets]
                 sig = [next(sigs).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(node, pa.binary()), pa.array(sig, pa.binary())],
-                    ["doc_id", "row", "n_shingles", "node", "sig"])
+                     *(pa.array([h[k] for h in halves], pa.int64()) for k in (0, 1)), pa.array(sig, pa.binary())],
+                    ["doc_id", "row", "n_shingles", "node", "check", "sig"])
 
     source = docs.select("doc_id", texts.row_key("text").alias("row"), "text")
-    return source.mapInArrow(run, "doc_id long, row long, n_shingles long, node binary, sig binary")
+    return source.mapInArrow(run, "doc_id long, row long, n_shingles long, node long, check long, sig binary")
 
 
 def _buckets(classes: DataFrame, radius: int) -> DataFrame:
@@ -94,32 +106,36 @@ def _buckets(classes: DataFrame, radius: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 4096):
                 batch = whole.slice(at, 4096)
-                sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(-1, SLOTS).astype(np.uint64)
+                sig = np.ascontiguousarray(_rows_of(batch.column("sig"))[:, : 2 * SLOTS]).view("<u2").astype(np.uint64)
                 keys = np.empty((len(sig), len(masks)), np.uint64)
                 for m, mask in enumerate(masks):
                     keys[:, m] = m + 1
                     for slot in mask:
                         keys[:, m] = words.mixed(keys[:, m] * np.uint64(0x9E3779B97F4A7C15) + sig[:, slot] + np.uint64(1))
-                nodes = batch.column("node").take(pa.array(np.repeat(np.arange(len(sig)), len(masks))))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), nodes], ["key", "node"])
+                nodes = np.repeat(batch.column("node").to_numpy(), len(masks))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(nodes)], ["key", "node"])
 
-    return classes.select("node", "sig").mapInArrow(run, "key long, node binary")
+    return classes.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
 def _near(pairs: DataFrame, classes: DataFrame, radius: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose signatures lie within the radius and whose set sizes allow the threshold."""
+    """Pairs (a, b, apart) whose signatures lie within the radius and whose set sizes allow the threshold; `apart` is their
+    distance over all slots, for which a radius of its own holds."""
+    wide = radius_for(percent, SLOTS + MORE)
     side = lambda x: classes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n_shingles").alias(f"n_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").filter(
         100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            read = lambda n: np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint16).reshape(-1, SLOTS)
             if batch.num_rows:
-                near = (read("sig_a") != read("sig_b")).sum(axis=1) <= radius
-                yield batch.select(["a", "b"]).filter(pa.array(near))
+                differ = _rows_of(batch.column("sig_a")) != _rows_of(batch.column("sig_b"))
+                first = (differ[:, 0: 2 * SLOTS: 2] | differ[:, 1: 2 * SLOTS: 2]).sum(axis=1)
+                apart = first + differ[:, 2 * SLOTS:].sum(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(apart.astype(np.int32))],
+                                                 ["a", "b", "apart"]).filter(pa.array((first <= radius) & (apart <= wide)))
 
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, apart int")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -142,7 +158,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: i
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
@@ -153,10 +169,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     all_rows = written(signatures(docs, shingle))
     classes = written(all_rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("doc_id", "row")).alias("rep"), F.min("doc_id").alias("id"),
-        F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")))
+        F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"),
+        (F.min("check") != F.max("check")).alias("clash")))
+    if not classes.filter("clash").isEmpty():
+        raise ValueError("two different sets share 64 bits of their digests")
 
     keys = _buckets(classes, radius)
-    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(keys.join(shared.select("key"), "key"))
     links, tried, roots = None, None, None
 
@@ -174,16 +193,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if k < leader_rounds:  # each member against its bucket's leader: the smallest, then that of the largest component name
             lead = here.groupBy("key").agg((F.min_by if k == 0 else F.max_by)(
                 F.struct("node", "root"), F.struct("root", "node")).alias("l"))
-            pairs = here.join(lead, "key").filter("root <> l.root").select(
-                F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b"))
+            pairs = here.join(lead, "key").filter("root <> l.root").select(F.col("node").alias("a"), F.col("l.node").alias("b"))
         else:
             other = here.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
             pairs = here.join(other, "key").filter("node < node2 AND root <> root2").select(
                 F.col("node").alias("a"), F.col("node2").alias("b"))
         pairs = pairs.distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        near = written(_near(pairs, classes, radius, percent))
+            both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            pairs = pairs.join(both, ["a", "b"], "left_anti")
+        near = _near(pairs, classes, radius, percent)
+        if k < leader_rounds:  # the nearest leader of each class
+            near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("l")).select("a", F.col("l.b").alias("b"))
+        near = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         tried = near if tried is None else tried.unionByName(near)
         sure = written(_confirmed(near, classes, docs, shingle, percent))
         links = sure if links is None else links.unionByName(sure)
