@@ -40,6 +40,7 @@ MORE = 192
 ERRORS = 1
 MISS = 1e-6
 LEADER_ROUNDS = 2
+BLOCK_MEMBERS = 1024
 
 
 def radius_for(percent: int, slots: int = SLOTS, miss: float = MISS) -> int:
@@ -138,6 +139,48 @@ def _near(pairs: DataFrame, classes: DataFrame, radius: int, percent: int) -> Da
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, apart int")
 
 
+def _across(here: DataFrame, classes: DataFrame, radius: int, percent: int, block: int) -> DataFrame:
+    """Pairs of different components that share a bucket, pass the bounds of `_near` and have a < b.
+
+    A bucket is cut into blocks of about `block` members, dealt as pairs of blocks, so a task holds two blocks at most; the
+    signatures are compared there and only pairs that pass come out."""
+    wide = radius_for(percent, SLOTS + MORE)
+    sizes = here.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    rows = here.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.join(classes.select("node", "sig", "n_shingles"), "node")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "root", "n_shingles", "sig")
+
+    def compare(nodes: list, roots: list, sizes_of: list, owns: list, sigs: list, cut: bool) -> tuple[list, list]:
+        node, root, size, own = (np.array(x, np.int64) for x in (nodes, roots, sizes_of, owns))
+        sig = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(node), -1)
+        a, b = [], []
+        for i in range(len(node) - 1):
+            rest = np.arange(i + 1, len(node))
+            ok = (root[rest] != root[i]) & (100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i]))
+            if cut:
+                ok &= own[rest] != own[i]
+            rest = rest[ok]
+            if len(rest):
+                differ = sig[rest] != sig[i]
+                first = (differ[:, 0: 2 * SLOTS: 2] | differ[:, 1: 2 * SLOTS: 2]).sum(axis=1)
+                rest = rest[(first <= radius) & (first + differ[:, 2 * SLOTS:].sum(axis=1) <= wide)]
+                a += np.minimum(node[rest], node[i]).tolist()
+                b += np.maximum(node[rest], node[i]).tolist()
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in
+                                                          ("key", "lo", "hi", "node", "root", "n_shingles", "own", "sig"))))
+        for (_, lo, hi), group in itertools.groupby(each, lambda r: r[:3]):
+            a, b = compare(*(list(x) for x in list(zip(*group))[3:]), lo != hi)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold, from the texts of one row per class."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -162,7 +205,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: i
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
-                    percent: int = 80, leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
+                    percent: int = 80, leader_rounds: int = LEADER_ROUNDS, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """doc_id, row, n_shingles, component_id (smallest doc_id reachable), kept, one row per row of docs."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     radius = radius_for(percent)
@@ -195,15 +238,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 F.struct("node", "root"), F.struct("root", "node")).alias("l"))
             pairs = here.join(lead, "key").filter("root <> l.root").select(F.col("node").alias("a"), F.col("l.node").alias("b"))
         else:
-            other = here.select("key", F.col("node").alias("node2"), F.col("root").alias("root2"))
-            pairs = here.join(other, "key").filter("node < node2 AND root <> root2").select(
-                F.col("node").alias("a"), F.col("node2").alias("b"))
+            pairs = _across(here, classes, radius, percent, block_members)
         pairs = pairs.distinct()
         if tried is not None:
             both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")
-        near = _near(pairs, classes, radius, percent)
+        near = pairs
         if k < leader_rounds:  # the nearest leader of each class
+            near = _near(pairs, classes, radius, percent)
             near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("l")).select("a", F.col("l.b").alias("b"))
         near = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         tried = near if tried is None else tried.unionByName(near)

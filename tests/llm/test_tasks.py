@@ -81,10 +81,11 @@ def test_near_duplicates_against_brute_force(spark, shingle, percent):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
-def test_near_duplicates_without_leader_rounds(spark):
+@pytest.mark.parametrize("block", [minhash.BLOCK_MEMBERS, 3])
+def test_near_duplicates_without_leader_rounds(spark, block):
     rows = near_rows(9, 80)
-    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, rows), shingle=3, percent=85, leader_rounds=0).collect()}
-    assert got == roots(rows, 3, 85)
+    found = minhash.near_duplicates(docs_of(spark, rows), shingle=3, percent=85, leader_rounds=0, block_members=block)
+    assert {r.doc_id: r.component_id for r in found.collect()} == roots(rows, 3, 85)
 
 
 def test_near_duplicates_edges(spark):
