@@ -33,27 +33,40 @@ class Centroids:
         return df.sparkSession.createDataFrame(rows, "cluster int, centre array<double>, size bigint")
 
 
-def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int = 10) -> Centroids:
+def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int | None = None, tolerance: float = 1e-9) -> Centroids:
     """k-means from a quantile start: centre i begins at the (i + 0.5) / k quantile of every
-    column. One aggregate per iteration; only k centres travel to the driver, so neither the
-    plan nor the driver grows with rows or iterations. Empty clusters keep their centre."""
+    column. One aggregate per round; only k centres travel to the driver, so neither the
+    plan nor the driver grows with rows or rounds. Empty clusters keep their centre.
+
+    Rounds go on until no centre moves by more than `tolerance` times the spread of a column; where
+    sums round worse than that, until the sizes stay and the loss falls no more. With `iterations`
+    there are exactly that many rounds, converged or not."""
     cols = list(columns)
     probs = [(i + 0.5) / k for i in range(k)]
-    points = df.select(*cols).dropna().persist(StorageLevel.MEMORY_AND_DISK)  # read once per iteration
+    points = df.select(*cols).dropna().persist(StorageLevel.MEMORY_AND_DISK)  # read once per round
     start = {(r["column"], round(r["prob"], 9)): r["value"] for r in quantiles(points, cols, probs).collect()}
     centres = [[start[(c, round(p, 9))] for c in cols] for p in probs]
-    history, sizes = [], [0] * k
-    for step in range(iterations + 1):
+    ends = points.agg(*[F.max(c) - F.min(c) for c in cols]).first() if iterations is None else []
+    limits = [tolerance * float(e or 0) for e in ends]
+    history, sizes, step = [], [0] * k, 0
+    while True:
         rows = assign_nearest(points, cols, centres).groupBy("cluster").agg(
             F.count(F.lit(1)).alias("size"), F.sum(F.col("distance") * F.col("distance")).alias("loss"),
             *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).collect()
         history.append((step, float(sum(r["loss"] for r in rows))))
-        sizes = [0] * k
+        last, sizes = sizes, [0] * k
         for r in rows:
             sizes[r["cluster"]] = r["size"]
-        if step < iterations:
-            for r in rows:
-                centres[r["cluster"]] = [r[f"m{i}"] for i in range(len(cols))]
+        if iterations is None:
+            moved = any(abs(r[f"m{i}"] - centres[r["cluster"]][i]) > limits[i] for r in rows for i in range(len(cols)))
+            done = not moved or (step > 0 and sizes == last and history[-1][1] >= history[-2][1])
+        else:
+            done = step == iterations
+        if done:
+            break
+        for r in rows:
+            centres[r["cluster"]] = [r[f"m{i}"] for i in range(len(cols))]
+        step += 1
     points.unpersist()
     return Centroids(cols, centres, sizes, history)
 

@@ -182,6 +182,66 @@ def _(t: Tables):
     return clustering.cblof(rows, fitted).select("event_id", "cluster", "score")
 
 
+def converged_sql(source: str, k: int) -> str:
+    """k-means on `source(id, x, y)` until no centre moves by more than 1e-9 of a column's spread: `steps` holds the
+    centres of every round, `c` the last ones, `a` their assignment."""
+    start = ", ".join(f"{{'cx': quantile_cont(x, {(i + 0.5) / k}), 'cy': quantile_cont(y, {(i + 0.5) / k})}}" for i in range(k))
+    far = "list_transform(cs, lambda s: sqrt(pow(x - s.cx, 2) + pow(y - s.cy, 2)))"
+    return f"""WITH RECURSIVE p AS MATERIALIZED ({source}), lim AS (SELECT 1e-9 * (max(x) - min(x)) AS lx, 1e-9 * (max(y) - min(y)) AS ly FROM p),
+    r(step, cs, moved) AS (SELECT 0, [{start}], TRUE FROM p UNION ALL
+        SELECT step + 1, list_transform(cs, lambda s, i: coalesce(m[i - 1], s)),
+            len(list_filter(cs, lambda s, i: coalesce(abs(m[i - 1].cx - s.cx) > lx OR abs(m[i - 1].cy - s.cy) > ly, FALSE))) > 0
+        FROM (SELECT step, cs, map_from_entries(list((c, mean))) AS m
+            FROM (SELECT step, cs, c, {{'cx': avg(x), 'cy': avg(y)}} AS mean
+                FROM (SELECT step, cs, x, y, list_position(ds, list_min(ds)) - 1 AS c
+                    FROM (SELECT step, cs, x, y, {far} AS ds FROM p, r WHERE moved)) GROUP BY step, cs, c) GROUP BY step, cs), lim),
+    steps AS (SELECT step, cs FROM r WHERE step < (SELECT max(step) FROM r)),
+    l0 AS (SELECT cs FROM steps ORDER BY step DESC LIMIT 1),
+    c AS (SELECT i AS c, cs[i + 1].cx AS cx, cs[i + 1].cy AS cy FROM l0, range({k}) g(i)),
+    a AS (SELECT id, x, y, list_position(ds, list_min(ds)) - 1 AS c, list_min(ds) AS d FROM (SELECT id, x, y, {far} AS ds FROM p, l0))"""
+
+
+@query("kmeans_distance_outliers_converged", f"""{converged_sql(XY, 2)}, h AS (SELECT min(d) AS threshold FROM (SELECT d FROM a ORDER BY d DESC
+    LIMIT (SELECT floor(count(*) * 0.13::DOUBLE)::BIGINT FROM p)))
+    SELECT id AS event_id, c::INT AS cluster, {R('d')} AS score, (d >= threshold)::INT AS is_outlier FROM a, h""")
+def _(t: Tables):
+    rows = keyed(t).select("event_id", "value", "k")
+    fitted = clustering.lloyd(rows, ["value", "k"], 2)
+    return clustering.kmeans_distance_outliers(rows, fitted, 0.13).select("event_id", "cluster", "score", "is_outlier")
+
+
+@query("kmeans_threshold_outliers_converged", f"""{converged_sql(XY, 4)} SELECT id AS event_id, c::INT AS cluster, {R('d')} AS score,
+    (d > 40)::INT AS is_outlier FROM a""")
+def _(t: Tables):
+    rows = keyed(t).select("event_id", "value", "k")
+    fitted = clustering.lloyd(rows, ["value", "k"], 4)
+    return clustering.kmeans_threshold_outliers(rows, fitted, 40.0).select("event_id", "cluster", "score", "is_outlier")
+
+
+@query("loss_history_best_converged", f"""{converged_sql(XY, 4)}, h AS (SELECT step, sum(list_min({"list_transform(cs, lambda s: pow(x - s.cx, 2) + pow(y - s.cy, 2))"})) AS loss
+    FROM p, steps GROUP BY step)
+    SELECT count(*)::BIGINT AS steps, arg_min(step, loss)::INT AS best_step, {R('min(loss)', 3)} AS best_loss FROM h""", digits=3)
+def _(t: Tables):
+    from oddrows.operators.evaluation import loss_history_best
+    rows = keyed(t)
+    return loss_history_best(clustering.lloyd(rows, ["value", "k"], 4).history_table(rows))
+
+
+@query("cblof_converged", f"""{converged_sql(XY, 8)}, s AS (SELECT c, count(*) AS n FROM a GROUP BY c),
+    o AS (SELECT c, n, row_number() OVER (ORDER BY n DESC, c) AS r, sum(n) OVER (ORDER BY n DESC, c ROWS UNBOUNDED PRECEDING) AS held,
+        lead(n) OVER (ORDER BY n DESC, c) AS after, sum(n) OVER () AS total FROM s),
+    b AS (SELECT coalesce(min(o.r) FILTER (held >= total * 0.9 AND n / after >= 5), min(o.r) FILTER (held >= total * 0.9),
+        min(o.r) FILTER (n / after >= 5), max(o.r) + 1) AS cut FROM o WHERE after IS NOT NULL),
+    l AS (SELECT o.c, cx, cy FROM o JOIN b ON o.r <= cut JOIN c USING (c)),
+    m AS (SELECT id, min(sqrt(pow(x - cx, 2) + pow(y - cy, 2))) AS near FROM p, l GROUP BY id)
+    SELECT a.id AS event_id, a.c::INT AS cluster, {R('CASE WHEN a.c IN (SELECT c FROM l) THEN a.d ELSE near END')} AS score
+    FROM a JOIN m ON a.id = m.id""")
+def _(t: Tables):
+    rows = keyed(t).select("event_id", "value", "k")
+    fitted = clustering.lloyd(rows, ["value", "k"], 8)
+    return clustering.cblof(rows, fitted).select("event_id", "cluster", "score")
+
+
 # ---------------------------------------------------------------- neighbours, histogram, forest
 
 

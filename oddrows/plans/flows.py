@@ -33,7 +33,7 @@ def sensor_flow(wide: DataFrame, columns: list[str], key: str, share: float = 0.
     axes = ["pc1", "pc2"]
     fenced = thresholds.score_iqr_fence(scores, thresholds.fit_iqr_fence(scores, axes), axes)
     fenced = fenced.drop("score").withColumnRenamed("is_outlier", "by_fence")
-    near = clustering.kmeans_distance_outliers(fenced, clustering.lloyd(scores, axes, 2, 10), share)
+    near = clustering.kmeans_distance_outliers(fenced, clustering.lloyd(scores, axes, 2), share)
     near = near.drop("score", "cluster").withColumnRenamed("is_outlier", "by_centre")
     trees = forest.fit_isolation_forest(scores, axes, key)
     wooded = written(forest.score_isolation_forest(near, trees, axes))

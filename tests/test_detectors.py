@@ -128,6 +128,19 @@ def test_lloyd_never_gets_worse(planted):
     assert flagged >= int(0.13 * df.count())
 
 
+def test_lloyd_goes_on_until_centres_stay(spark):
+    rng = np.random.default_rng(3)
+    xy = rng.uniform(0, 100, (3000, 2))
+    df = frame(spark, id=np.arange(3000), x=xy[:, 0], y=xy[:, 1])
+    fitted = clustering.lloyd(df, ["x", "y"], 4)
+    assert len(fitted.history) > 11  # more than the ten rounds of before
+    centres = np.array(fitted.centres)
+    own = ((xy[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert np.allclose(centres, [xy[own == c].mean(axis=0) for c in range(4)], atol=1e-6)
+    shifted = frame(spark, id=np.arange(3000), x=xy[:, 0] + 1e9, y=xy[:, 1])  # sums round worse than the tolerance
+    assert sum(clustering.lloyd(shifted, ["x", "y"], 4, tolerance=0.0).sizes) == 3000
+
+
 @pytest.mark.parametrize("sizes,want", [
     ([50, 45, 3, 2], {0, 1}), ([40, 30, 30], {0, 1, 2}), ([90, 5, 5], {0}), ([60, 31, 9], {0, 1}), ([10], {0}),
 ])
