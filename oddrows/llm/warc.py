@@ -9,13 +9,15 @@ Reader: Spark deals out byte ranges of the files and its line reader finds the g
 the line separator; a range owns the pieces that start inside it. A piece is a candidate member: its
 header must decode to a WARC version line. Other pieces belong to the member before them,
 whose compressed bytes happened to hold the magic. Members that such a magic and the end of a range cut are
-put together afterwards from the few pieces left over. Files whose names end like compressed ones (.gz)
-would be unpacked by the line reader before it sees the magic, so archives need another ending.
+put together afterwards from the few pieces left over. The line reader would unpack files named *.gz before it
+sees the magic, so for this read another codec with a longer ending (.!.gz) hides the one of .gz: Hadoop compares
+a name only with the last ending that sorts before it. A file that is unpacked all the same stops the job.
 
 Defined cases: null html is an empty payload, a null url an empty one, a null page_id is written as such and
 is the response only if its group has no other id; rows that share the smallest page_id of a group are all
-responses; repeated rows are repeated records; members that do not decode are left out. Columns of
-other names are ignored."""
+responses; repeated rows are repeated records; bytes that are no WARC/1 record (damaged or cut members, other
+versions, anything between members but zeros) stop the job, or with undecoded="skip" are left out;
+undecoded_members lists them. Empty members are no records and no damage. Columns of other names are ignored."""
 
 from __future__ import annotations
 
@@ -37,6 +39,11 @@ from oddrows.functions.sizes import broadcast_if_small
 
 MAGIC = b"\x1f\x8b\x08"
 HEAD = b"WARC/1."
+#: hides the codec of .gz from the line reader; the second key is the one of Spark's shaded Hadoop client
+NOT_UNPACKED = {"io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec",
+                "io.compress.passthrough.extension": ".!.gz",
+                "org.apache.hadoop.shaded.io.compress.passthrough.extension": ".!.gz"}
+_UNPACKED_NAME = re.compile(r"(?i)\.(gz|bz2|deflate|snappy|lz4|zst)$")
 DATE = "1970-01-01T00:00:00Z"
 _URN = "urn:x-page:"
 
@@ -164,6 +171,8 @@ def _members(pieces: Iterator[bytes]) -> Iterator[tuple[str, _Member | bytes]]:
             member = None
         if member and member.whole:
             yield "record", member
+            if rest := member.unpack.unused_data.strip(b"\0"):  # a member whose magic is damaged
+                yield "stray", rest
             member = None
 
 
@@ -176,7 +185,7 @@ def _parsed(member: _Member) -> tuple[list[tuple[str, str]], bytes]:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    read = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    read = spark.read.options(**NOT_UNPACKED).option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
     return read.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                        F.col("value").cast("binary").alias("piece"))
 
@@ -186,7 +195,11 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, st
     rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "piece"))))
     for (file, block), own in groupby(rows, lambda r: r[:2]):
         if block == 0:
-            next(own)  # what stands before the first magic of a file
+            ahead = next(own)[2]  # what stands before the first magic of a file
+            if ahead.strip(b"\0"):
+                if _UNPACKED_NAME.search(file):
+                    raise ValueError(f"{file} does not begin with the gzip magic, or was unpacked for its name")
+                yield file, block, -1, "stray", ahead
         for number, (kind, what) in enumerate(_members(MAGIC + r[2] for r in own)):
             yield file, block, number, kind, what
 
@@ -200,8 +213,55 @@ def _table(records: list[tuple[list[tuple[str, str]], bytes]]) -> pa.RecordBatch
         ["headers", "content"])
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """headers (names in lower case), content (the record's block) of all records under `path`."""
+def _leftovers(pieces: DataFrame) -> DataFrame:
+    """file, parts: what the byte ranges did not decode, from one open member to the next."""
+    def leftovers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, block, number, kind, what in _walk(batches):
+            if kind != "record":
+                raw = b"".join(what.raw) if kind == "open" else what
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([file]), pa.array([block], pa.int64()), pa.array([number], pa.int64()),
+                     pa.array([kind]), pa.array([raw], pa.binary())], ["file", "block", "number", "kind", "raw"])
+
+    left = pieces.mapInArrow(leftovers, "file string, block long, number long, kind string, raw binary")
+    # an open member goes on in the stray pieces that follow it; both are rare and short
+    order = Window.partitionBy("file").orderBy("block", "number")
+    runs = left.withColumn("run", F.sum(F.when(F.col("kind") == "open", 1).otherwise(0)).over(order))
+    return runs.groupBy("file", "run").agg(F.array_sort(F.collect_list(F.struct("block", "number", "raw"))).alias("parts")).select("file", "parts")
+
+
+def _joined(batch: pa.RecordBatch) -> Iterator[tuple[str, str, _Member | bytes]]:
+    """(file, "record" or why there is none, content) of leftovers put together."""
+    for file, parts in zip(batch.column("file").to_pylist(), batch.column("parts").to_pylist()):
+        for kind, what in _members(p["raw"] for p in parts):
+            reason = kind if kind == "record" else _reason(kind, what)
+            if reason:
+                yield file, reason, what
+
+
+def _reason(kind: str, what: _Member | bytes) -> str | None:
+    """Why these bytes are no record; None for an empty member."""
+    if kind == "open":
+        return "cut"
+    unpack = zlib.decompressobj(31)
+    try:
+        text = unpack.decompress(what)
+    except zlib.error:
+        return "damaged"
+    if not unpack.eof:
+        return "cut"
+    return "no WARC/1 record" if text else "damaged" if unpack.unused_data.strip(b"\0") else None
+
+
+def _n_bytes(what: _Member | bytes) -> int:
+    return len(what) if isinstance(what, bytes) else sum(map(len, what.raw))
+
+
+def read_warc(spark: SparkSession, path: str, undecoded: str = "raise") -> DataFrame:
+    """headers (names in lower case), content (the record's block) of all records under `path`. Bytes that
+    are no WARC/1 record stop the job, or are left out with undecoded="skip"."""
+    if undecoded not in ("raise", "skip"):
+        raise ValueError("undecoded is raise or skip")
     pieces = _pieces(spark, path)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,26 +275,31 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     ready, size = [], 0
         yield _table(ready)
 
-    def leftovers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for file, block, number, kind, what in _walk(batches):
-            if kind != "record":
-                raw = b"".join(what.raw) if kind == "open" else what
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([file]), pa.array([block], pa.int64()), pa.array([number], pa.int64()),
-                     pa.array([kind]), pa.array([raw], pa.binary())], ["file", "block", "number", "kind", "raw"])
-
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _table([_parsed(what) for parts in batch.column("parts").to_pylist()
-                          for kind, what in _members(p["raw"] for p in parts) if kind == "record"])
+            ready = []
+            for file, kind, what in _joined(batch):
+                if kind == "record":
+                    ready.append(_parsed(what))
+                elif undecoded == "raise":
+                    raise ValueError(f"{_n_bytes(what)} bytes of {file} did not decode ({kind}); undecoded_members lists such bytes, "
+                                     "undecoded='skip' leaves them out")
+            yield _table(ready)
+
+    return pieces.mapInArrow(records, _RECORD).unionByName(_leftovers(pieces).mapInArrow(joined, _RECORD))
+
+
+def undecoded_members(spark: SparkSession, path: str) -> DataFrame:
+    """file, n_bytes, reason ("cut", "damaged", "no WARC/1 record") of all bytes under `path` that read_warc
+    cannot give as a record."""
+    def failed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(file, _n_bytes(what), kind) for file, kind, what in _joined(batch) if kind != "record"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.string()))],
+                ["file", "n_bytes", "reason"])
 
-    left = pieces.mapInArrow(leftovers, "file string, block long, number long, kind string, raw binary")
-    # an open member goes on in the stray pieces that follow it; both are rare and short
-    order = Window.partitionBy("file").orderBy("block", "number")
-    runs = left.withColumn("run", F.sum(F.when(F.col("kind") == "open", 1).otherwise(0)).over(order))
-    parts = runs.groupBy("file", "run").agg(F.array_sort(F.collect_list(F.struct("block", "number", "raw"))).alias("parts"))
-    mended = parts.select("parts").mapInArrow(joined, _RECORD)
-    return pieces.mapInArrow(records, _RECORD).unionByName(mended)
+    return _leftovers(_pieces(spark, path)).mapInArrow(failed, "file string, n_bytes long, reason string")
 
 
 def page_records(records: DataFrame) -> DataFrame:

@@ -66,3 +66,51 @@ def test_byte_ranges_and_false_magic(spark, folder):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
         spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
+def _record(k, size=600):
+    payload = random.Random(k).randbytes(size)
+    return warc._gzip(warc.record(k, "u", payload, hashlib.sha1(payload).hexdigest(), None))
+
+
+def test_names_of_compressed_files(spark, folder):
+    """*.warc.gz is read in ranges like any other name; what the reader unpacks all the same is an error."""
+    import gzip
+    import pytest
+
+    for name in ("a.warc.gz", "B.WARC.GZ", "c.warc"):
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(b"".join(_record(k) for k in range(50)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 5000)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        got = warc.page_records(warc.read_warc(spark, folder)).collect()
+        assert sorted(r.page_id for r in got) == sorted(list(range(50)) * 3)
+        assert warc._pieces(spark, folder + "/a.warc.gz").select("block").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    with open(f"{folder}/d.bz2", "wb") as f:
+        f.write(__import__("bz2").compress(gzip.decompress(_record(1))))
+    with pytest.raises(Exception, match="was unpacked for its name"):
+        warc.read_warc(spark, folder + "/d.bz2").count()
+
+
+def test_undecoded_members_are_counted(spark, folder):
+    import gzip
+    import pytest
+
+    damaged = bytearray(_record(2))
+    damaged[300] ^= 255
+    lost = b"\0" + _record(4)[1:]  # its magic is gone
+    with open(folder + "/one.warc.gz", "wb") as f:
+        f.write(_record(1) + bytes(damaged) + _record(3) + lost + gzip.compress(b"WARC/0.18\r\nA: b\r\n\r\n") + gzip.compress(b"")
+                + _record(5) + _record(6)[:400])
+    found = warc.undecoded_members(spark, folder).collect()
+    assert sorted(r.reason for r in found) == ["cut", "damaged", "damaged", "no WARC/1 record"]
+    assert all(r.file.endswith("one.warc.gz") and r.n_bytes > 0 for r in found)
+    left = warc.page_records(warc.read_warc(spark, folder, undecoded="skip")).collect()
+    assert sorted(r.page_id for r in left) == [1, 3, 5]
+    with pytest.raises(Exception, match="did not decode"):
+        warc.read_warc(spark, folder).count()
