@@ -1,12 +1,14 @@
 """Benchmark decontamination: item-sized windows of documents against benchmark items.
 
-Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased; shingles are five
+Words are runs of letters, digits and marks of any script, A-Z lower-cased; in scripts written without blanks
+(Chinese, Japanese, Thai and the like) each character is a word; shingles are five
 words (an item with fewer words is one shingle, met by windows of its size). Each item and each window of
 an item's size has a 64-bit SimHash, in which a shingle weighs as often as it occurs. Fingerprints are
 cut into `BLOCKS` blocks of 8 bits; within the radius some block differs in at most radius // BLOCKS bits, and a
 table of all such blocks gives the candidates, so every fingerprint within the radius is found. Candidates
 are confirmed by the exact weighted Jaccard similarity of the shingle counts (sum of minima by sum
-of maxima) of at least `percent`. Windows that hold no shingle of an item of their size have similarity 0
+of maxima) of at least `percent`. A document with fewer words than an item is one window for it: the items that
+share enough shingles with it are confirmed in the same way, without fingerprints. Windows that hold no shingle of an item of their size have similarity 0
 and are not fingerprinted.
 
 Items are sent to the tasks in blocks of about `block_words` words, each with a pass over the documents; the number of
@@ -48,6 +50,8 @@ class Size:
     prints: np.ndarray
     tables: np.ndarray  # blocks x 256 x items: may the item have a fingerprint with this block nearby
     known: np.ndarray   # sorted shingles of the items
+    owners: np.ndarray  # items that hold known[k]: owners[first[k]: first[k + 1]]
+    first: np.ndarray
 
 
 def _bits(shingles: np.ndarray) -> np.ndarray:
@@ -77,15 +81,37 @@ def index_items(items: list[tuple[object, np.ndarray]], radius: int = RADIUS) ->
         prints = np.concatenate([_prints(_bits(s).sum(axis=0, dtype=np.int64, keepdims=True)) for _, s in own])
         parts = prints.view(np.uint8).reshape(-1, BLOCKS)
         tables = np.stack([near[:, parts[:, b]] for b in range(BLOCKS)])
+        sets = [np.unique(s) for _, s in own]
+        held, owner = np.concatenate(sets), np.repeat(np.arange(len(own), dtype=np.int32), [len(s) for s in sets])
+        known, first = np.unique(np.sort(held), return_index=True)
         out.append(Size(length, min(SHINGLE, length), np.array([n for n, _ in own], object),
-                        [Counter(s.tolist()) for _, s in own], prints, tables, np.unique(np.concatenate([s for _, s in own]))))
+                        [Counter(s.tolist()) for _, s in own], prints, tables, known, owner[np.argsort(held, kind="stable")], np.append(first, len(held))))
     return out
 
 
-def _similar(window: Counter, item: Counter, length: int) -> tuple[int, int]:
-    """Numerator and denominator of the weighted Jaccard similarity of two multisets of one size."""
+def _similar(window: Counter, item: Counter, total: int) -> tuple[int, int]:
+    """Numerator and denominator of the weighted Jaccard similarity of two multisets that have `total` elements together."""
     common = sum(min(n, window[s]) for s, n in item.items() if s in window)
-    return common, 2 * length - common
+    return common, total - common
+
+
+def _short_matches(shingles: np.ndarray, size: Size, percent: int) -> list[tuple[int, int, float]]:
+    """(0, item, similarity) of a text with fewer words than the items, taken as one window."""
+    span, own = size.length - size.shingle + 1, len(shingles)
+    if 100 * own < percent * span:
+        return []
+    each, times = np.unique(shingles, return_counts=True)
+    place = np.minimum(np.searchsorted(size.known, each), len(size.known) - 1)
+    hit = np.flatnonzero(size.known[place] == each)
+    most = np.zeros(len(size.ids), np.int64)  # no item has more in common than this
+    for p, n in zip(place[hit].tolist(), times[hit].tolist()):
+        most[size.owners[size.first[p]: size.first[p + 1]]] += n
+    found, window = [], Counter(shingles.tolist())
+    for item in np.flatnonzero((most > 0) & (100 * most >= percent * (own + span - most))).tolist():
+        common, total = _similar(window, size.counts[item], own + span)
+        if 100 * common >= percent * total:
+            found.append((0, item, common / total))
+    return found
 
 
 def _matches(shingles: np.ndarray, seeds: np.ndarray, size: Size, radius: int, percent: int) -> list[tuple[int, int, float]]:
@@ -108,7 +134,7 @@ def _matches(shingles: np.ndarray, seeds: np.ndarray, size: Size, radius: int, p
         close = np.bitwise_count(prints[rows] ^ size.prints[items]) <= radius
         for row, item in zip(rows[close].tolist(), items[close].tolist()):
             start = int(own[row])
-            common, total = _similar(Counter(shingles[start: start + span].tolist()), size.counts[item], span)
+            common, total = _similar(Counter(shingles[start: start + span].tolist()), size.counts[item], 2 * span)
             if 100 * common >= percent * total:
                 found.append((start, item, common / total))
     return found
@@ -125,7 +151,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, at = words.word_hashes(batch.column("text"), letters_only=True)
+            hashes, at = words.word_hashes(words.unicode_words(batch.column("text")), letters_only=True)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("item_id"), lists], ["item_id", "hashes"])
 
@@ -159,7 +185,7 @@ def _scan(source: DataFrame, sizes, radius: int, percent: int) -> DataFrame:
 
 
 def _scan_batch(batch, by_shingle, known, marks, radius, percent) -> Iterator[pa.RecordBatch]:
-    hashes, at = words.word_hashes(batch.column("text"), letters_only=True)
+    hashes, at = words.word_hashes(words.unicode_words(batch.column("text")), letters_only=True)
     out: list[tuple[int, object, int, int, float]] = []
     for k, own in by_shingle.items():
         runs = words.run_hashes(hashes, k)
@@ -174,10 +200,14 @@ def _scan_batch(batch, by_shingle, known, marks, radius, percent) -> Iterator[pa
             for size in own:
                 mine = seeds[np.isin(shingles[seeds], size.known)]
                 best: dict[int, tuple[float, int]] = {}
-                for start, item, value in _matches(shingles, mine, size, radius, percent) if len(mine) else ():
+                if not len(mine):
+                    continue
+                short = len(shingles) < size.length - size.shingle + 1
+                pairs = _short_matches(shingles, size, percent) if short else _matches(shingles, mine, size, radius, percent)
+                for start, item, value in pairs:
                     if item not in best or value > best[item][0]:
                         best[item] = (value, start)
-                out += [(t, size.ids[item], start, size.length, value) for item, (value, start) in best.items()]
+                out += [(t, size.ids[item], start, min(size.length, int(at[t + 1] - at[t])), value) for item, (value, start) in best.items()]
     rows = pa.array([o[0] for o in out], pa.int64())
     yield pa.RecordBatch.from_arrays(
         [batch.column("doc_id").take(rows), batch.column("row").take(rows), *(

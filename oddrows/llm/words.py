@@ -81,6 +81,27 @@ def word_hashes(column: pa.Array, letters_only: bool = False) -> tuple[np.ndarra
     return hashes, np.searchsorted(where, ends)
 
 
+#: non-ASCII punctuation, symbols and white space
+_APART = r"[^\x00-\x7f\p{L}\p{M}\p{N}\p{C}]|[\x{80}-\x{9f}\x{200b}\x{feff}]"
+#: a character, with its marks, of scripts that put no blanks between words
+_UNSPACED = (r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\p{Yi}\x{30fc}\x{ff70}]\p{M}*")
+
+
+def unicode_words(column: pa.Array) -> pa.Array:
+    """Texts in which blanks stand for non-ASCII signs and around each character of scripts without blanks, so
+    that `word_hashes` with `letters_only` finds words of all scripts."""
+    import pyarrow.compute as pc
+
+    column = column.cast(pa.large_string())
+    plain = pc.fill_null(pc.string_is_ascii(column), True)
+    if pc.all(plain).as_py() in (True, None):
+        return column
+    rest = pc.filter(column, pc.invert(plain))
+    rest = pc.replace_substring_regex(rest, _APART, " ")
+    rest = pc.replace_substring_regex(rest, f"({_UNSPACED})", r" \1 ")
+    return pc.replace_with_mask(column, pc.invert(plain), rest)
+
+
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of `size` words; runs do not know where texts end."""
     if len(words) < size:

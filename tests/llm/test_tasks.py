@@ -155,6 +155,26 @@ def test_leaks_against_brute_force(spark):
     assert decontaminate.op2(docs_of(spark, docs).limit(0), benchmark).count() == 0
 
 
+def test_leaks_in_short_documents(spark):
+    """A document that is an item with words left out has no window of the item's size."""
+    item = [f"q{k}" for k in range(40)]
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(reversed(item))), (3, "a b c d e")], "item_id long, text string")
+    rows = [(1, " ".join(item[:-1])), (2, " ".join(item[:20] + item[21:])), (3, " ".join(item[:33])), (4, " ".join(item[:32])),
+            (5, " ".join(item[:3])), (6, "a b c d"), (7, "")]
+    found = {(r.doc_id, r.item_id): (r.start, r.n_words, round(r.similarity, 6)) for r in decontaminate.leaks(docs_of(spark, rows), benchmark).collect()}
+    # 2: four of its 35 shingles are new, 31 / 40 is below the threshold
+    assert found == {(1, 1): (0, 39, round(35 / 36, 6)), (3, 1): (0, 33, round(29 / 36, 6))}
+
+
+def test_leaks_with_unicode_words(spark):
+    items = [(1, "請問，以下哪一個城市是日本的首都？東京、大阪還是京都。"), (2, "“What is the capital—the seat of government—of France?”"), (3, "ประเทศไทยมีเมืองหลวงชื่อว่าอะไร")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "前文很長的一段話" + items[0][1] + "後文"), (2, "He asked: what is the capital - the seat of government - of France? Paris…"),
+            (3, "คำถาม" + items[2][1] + "ครับ"), (4, "請問這裡有沒有別的東西可以看"), (5, "請問 以下哪一個城市是日本的首都 東京 大阪還是京都")]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs_of(spark, rows), benchmark).collect()}
+    assert found == {(1, 1), (2, 2), (3, 3), (5, 1)}
+
+
 # --- urls
 
 def test_cascade_is_exact_in_shards(spark):
