@@ -169,7 +169,7 @@ def _op12_sql() -> str:
     SELECT a.number, v.i, CAST(floor(sum(v.x) / count(*)) AS BIGINT) AS x FROM v JOIN a{r} a USING (row) GROUP BY a.number, v.i) s
     ON c.number = s.number AND c.i = s.i)""")
     return f"""WITH raw AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
-    WHERE len(embedding) = {DIMS} AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WHERE len(embedding) = {DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 v AS MATERIALIZED (SELECT row, i, CAST(floor({SCALE} * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x FROM raw, range(1, {DIMS + 1}) t(i)),
 first AS (SELECT row, row_number() OVER (ORDER BY sha256('{SEED}:' || vec_id)) - 1 AS number FROM raw
     ORDER BY sha256('{SEED}:' || vec_id) LIMIT {CENTROIDS}),
