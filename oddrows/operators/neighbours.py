@@ -143,13 +143,16 @@ def knn_distance(
     df: DataFrame, columns: Sequence[str], k: int = 5, exclude_self: bool = True,
     queries: DataFrame | None = None, cell_points: int = CELL_POINTS,
 ) -> DataFrame:
-    """Distance to the k-th nearest row in one or two columns, as `score`.
+    """Distance to the k-th nearest row in one or two columns (more go to `nearest.knn_distance`), as `score`.
 
     Scores the rows of `df` (a row does not count itself unless `exclude_self` is False), or
     the rows of `queries` against `df`. Equal rows are combined before any comparison."""
     cols = list(columns)
-    if len(cols) not in (1, 2):
-        raise ValueError("knn_distance takes one or two columns")
+    if len(cols) > 2:
+        if queries is not None or not exclude_self:
+            raise ValueError("beyond two columns the rows of one table are scored against each other")
+        from oddrows.operators.nearest import knn_distance as in_many_columns
+        return in_many_columns(df, cols, k)
     two = len(cols) == 2
     x, y = F.col(cols[0]).cast("double"), F.col(cols[-1]).cast("double") if two else F.lit(0.0)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.columns import rounded
 from oddrows.functions.lineage import written
-from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, neighbours, sequence, stats, thresholds
+from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, nearest, neighbours, sequence, stats, thresholds
 from oddrows.operators.scaling import zscore_apply, zscore_fit
 from oddrows.plans.registry import H, R, Tables, U, least_squares_sql, query
 from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, daily, day_text, early, hourly, train_rows
@@ -271,6 +271,28 @@ def _(t: Tables):
     return thresholds.flag_above(scored, thresholds.fit_contamination(scored, "score", 0.01))
 
 
+WIDE_SQL = """p AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    d AS MATERIALIZED (SELECT a.vec_id, b.vec_id AS other, list_distance(a.v, b.v) AS d FROM p a JOIN p b ON a.vec_id <> b.vec_id)"""
+
+
+@query("knn_distance_wide", f"""WITH {WIDE_SQL} SELECT vec_id, {R('min(d, 5)[5]')} AS score FROM d GROUP BY vec_id""")
+def _(t: Tables):
+    """Distance to the fifth nearest vector in all 64 columns."""
+    return nearest.knn_distance(t.embeddings, "embedding", 5).select("vec_id", "score")
+
+
+@query("local_outlier_factor", f"""WITH {WIDE_SQL}, kd AS (SELECT vec_id, min(d, 20)[20] AS kd FROM d GROUP BY 1),
+    n AS (SELECT d.* FROM d JOIN kd USING (vec_id) WHERE d <= kd),
+    r AS (SELECT n.vec_id, count(*) / (sum(greatest(kd, d)) + 1e-10 * count(*)) AS density FROM n JOIN kd ON kd.vec_id = n.other GROUP BY 1),
+    f AS (SELECT n.vec_id, avg(o.density) / any_value(r.density) AS score FROM n JOIN r ON r.vec_id = n.vec_id JOIN r o ON o.vec_id = n.other GROUP BY 1),
+    q AS (SELECT quantile_cont(score, 0.99) AS threshold FROM f)
+    SELECT vec_id, {R('score')} AS score, (score > threshold)::INT AS is_outlier FROM f, q""")
+def _(t: Tables):
+    """The hundredth of the vectors that lies in the thinnest places compared with their neighbours."""
+    scored = written(nearest.local_outlier_factor(t.embeddings, "embedding", 20).select("vec_id", "score"))
+    return thresholds.flag_above(scored, thresholds.fit_contamination(scored, "score", 0.01))
+
+
 def hbos_sql(features: list[str]) -> str:
     ends = ", ".join(f"min({f}) AS lo{i}, max({f}) AS hi{i}" for i, f in enumerate(features))
     bins = ", ".join(f"least(floor(({f} - lo{i}) * 10 / (hi{i} - lo{i})), 9) AS b{i}" for i, f in enumerate(features))
