@@ -9,10 +9,11 @@ within the radius meets in a bucket. The radius is set so that a pair at the thr
 probability below 1e-6. Candidates are confirmed on the full sets of their whole texts.
 
 Equal sets are one class from the start. In the first rounds each class is held against one leader of its
-buckets only: the smallest member of a bucket, then that of another component, whichever has the nearest signature. Only members of
-buckets that then still span several components
-are paired with each other, across components, and filtered by the signature distance. So copies
-are never expanded into all pairs, and no link that joins components is lost.
+buckets only: the smallest member of a bucket, then that of another component, whichever has the nearest signature. Buckets
+that then still span several components are cut into blocks of bounded size, and block pairs are compared inside
+tasks, each pair in the first bucket it shares: first on signatures, then on full sets, and only links that join two components come out,
+fewer than a block pair has members. So neither copies nor near copies below the threshold are expanded into
+pairs, and no link that joins components is lost.
 
 Defined cases: a text without words has the empty set and no link; a null doc_id takes part, and
 is the component id only where all ids are null; rows that share a doc_id belong to each text's class;
@@ -41,6 +42,7 @@ ERRORS = 1
 MISS = 1e-6
 LEADER_ROUNDS = 2
 BLOCK_MEMBERS = 1024
+BLOCK_BYTES = 32 << 20
 
 
 def radius_for(percent: int, slots: int = SLOTS, miss: float = MISS) -> int:
@@ -100,7 +102,7 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame, radius: int) -> DataFrame:
-    """key, node: the buckets of every class."""
+    """key, mask, node: the buckets of every class and the slot choice of each."""
     masks = chunk_masks(radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,9 +116,10 @@ def _buckets(classes: DataFrame, radius: int) -> DataFrame:
                     for slot in mask:
                         keys[:, m] = words.mixed(keys[:, m] * np.uint64(0x9E3779B97F4A7C15) + sig[:, slot] + np.uint64(1))
                 nodes = np.repeat(batch.column("node").to_numpy(), len(masks))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(nodes)], ["key", "node"])
+                which = np.tile(np.arange(len(masks), dtype=np.int32), len(sig))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(which), pa.array(nodes)], ["key", "mask", "node"])
 
-    return classes.select("node", "sig").mapInArrow(run, "key long, node long")
+    return classes.select("node", "sig").mapInArrow(run, "key long, mask int, node long")
 
 
 def _near(pairs: DataFrame, classes: DataFrame, radius: int, percent: int) -> DataFrame:
@@ -139,55 +142,131 @@ def _near(pairs: DataFrame, classes: DataFrame, radius: int, percent: int) -> Da
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, apart int")
 
 
-def _across(here: DataFrame, classes: DataFrame, radius: int, percent: int, block: int) -> DataFrame:
-    """Pairs of different components that share a bucket, pass the bounds of `_near` and have a < b.
+def _dealt(rows: DataFrame, payload: DataFrame, block: int) -> DataFrame:
+    """Members (key, mask, node, root, n_shingles) with the payload of their class, in pairs of blocks of their bucket.
+
+    A bucket is cut into blocks of about `block` members and of `BLOCK_BYTES` of shingles, so a task holds two blocks at most."""
+    count = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int")
+    sizes = rows.groupBy("key").agg(count.alias("blocks"))
+    cut = rows.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(payload, "node")
+    extra = [c for c in payload.columns if c != "node"]
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "mask", "own", "node", "root", "n_shingles", *extra)
+    return cut.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[bool, int, tuple]]:
+    """Whether two blocks meet, the mask of the bucket, and the columns of the members, one block pair at a time."""
+    names = ["key", "lo", "hi", "mask", *columns]
+    each = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in names)))
+    for (_, lo, hi), group in itertools.groupby(each, lambda r: r[:3]):
+        members = list(zip(*group))
+        yield lo != hi, members[3][0], members[4:]
+
+
+def _candidates(two: bool, mask: int, own: np.ndarray, root: np.ndarray, size: np.ndarray, sig: np.ndarray,
+                radius: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member with those after it that pass the bounds on sizes and signatures, lie in another component at that
+    moment and have this bucket as the first that they share."""
+    wide, masks = radius_for(percent, SLOTS + MORE), chunk_masks(radius)
+    for i in range(len(root) - 1):
+        rest = np.arange(i + 1, len(root))
+        ok = (root[rest] != root[i]) & (100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i]))
+        if two:
+            ok &= own[rest] != own[i]
+        rest = rest[ok]
+        if not len(rest):
+            continue
+        differ = sig[rest] != sig[i]
+        slots = differ[:, 0: 2 * SLOTS: 2] | differ[:, 1: 2 * SLOTS: 2]
+        first = slots.sum(axis=1)
+        near = (first <= radius) & (first + differ[:, 2 * SLOTS:].sum(axis=1) <= wide)
+        rest, slots = rest[near], slots[near]
+        if len(rest):
+            earlier = np.zeros(len(rest), bool)
+            for m in masks[:mask]:
+                earlier |= ~slots[:, list(m)].any(axis=1)
+            rest = rest[~earlier & ~slots[:, list(masks[mask])].any(axis=1)]
+        if len(rest):
+            yield i, rest
+
+
+def _linked(two: bool, mask: int, own, node, root, size, sig, sets: list[np.ndarray], radius: int, percent: int) -> tuple[list, list]:
+    """Confirmed links between members of a block pair, each of which joins two components: fewer than there are members."""
+    ends = np.cumsum([0, *map(len, sets)])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]  # shingles numbered within the block pair
+    here = np.zeros(int(ids.max(initial=-1)) + 1, bool)
+    a, b = [], []
+    for i, rest in _candidates(two, mask, own, root, size, sig, radius, percent):
+        here[ids[ends[i]: ends[i + 1]]] = True
+        for j in rest.tolist():
+            if root[i] != root[j]:
+                common = int(here[ids[ends[j]: ends[j + 1]]].sum())
+                if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                    root[root == root[j]] = root[i]
+                    a.append(min(node[i], node[j]))
+                    b.append(max(node[i], node[j]))
+        here[ids[ends[i]: ends[i + 1]]] = False
+    return a, b
+
+
+def _across(here: DataFrame, classes: DataFrame, docs: DataFrame, radius: int, shingle: int, percent: int, block: int) -> DataFrame:
+    """Links (a, b) that join the components of members of one bucket, confirmed on full sets where the pair is found.
+
+    The first pass compares signatures and only says which members have a candidate in which bucket; the sets of
+    those alone then go to the blocks. Pairs that are not confirmed cost time but never become rows."""
+    bare = _dealt(here.join(classes.select("node", "n_shingles"), "node"), classes.select("node", "sig"), block)
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for two, mask, (key, node, root, size, own, sigs) in _block_pairs(batches, ["key", "node", "root", "n_shingles", "own", "sig"]):
+            found = np.zeros(len(node), bool)
+            sig = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(node), -1)
+            for i, rest in _candidates(two, mask, np.array(own), np.array(root), np.array(size), sig, radius, percent):
+                found[i] = True
+                found[rest] = True
+            if found.any():
+                nodes = np.array(node, np.int64)[found]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), key[0], np.int64)), pa.array(nodes)], ["key", "node"])
+
+    flagged = written(bare.mapInArrow(flag, "key long, node long").distinct())
+    sets = written(_sets(flagged.select("node").distinct(), classes, docs, shingle))
+    rows = here.join(flagged, ["key", "node"]).join(classes.select("node", "n_shingles"), "node")
+    full = _dealt(rows, classes.select("node", "sig").join(sets, "node"), block)
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for two, mask, (node, root, size, own, sigs, packed) in _block_pairs(batches, ["node", "root", "n_shingles", "own", "sig", "shingles"]):
+            a, b = _linked(two, mask, np.array(own), node, np.array(root), np.array(size),
+                           np.frombuffer(b"".join(sigs), np.uint8).reshape(len(node), -1), [np.frombuffer(p, np.uint64) for p in packed],
+                           radius, percent)
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return full.mapInArrow(confirm, "a long, b long")
+
+
+def _texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, text: the text of one row of each wanted class."""
+    rows = classes.join(nodes, "node").select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.row").alias("_row"))
+    keyed = docs.select("doc_id", texts.row_key("text").alias("row"), "text")
+    found = keyed.join(rows, keyed["doc_id"].eqNullSafe(rows["_id"]) & (keyed["row"] == rows["_row"]))
+    return found.groupBy("node").agg(F.first("text").alias("text"))
 
-    A bucket is cut into blocks of about `block` members, dealt as pairs of blocks, so a task holds two blocks at most; the
-    signatures are compared there and only pairs that pass come out."""
-    wide = radius_for(percent, SLOTS + MORE)
-    sizes = here.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    rows = here.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.join(classes.select("node", "sig", "n_shingles"), "node")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "root", "n_shingles", "sig")
-
-    def compare(nodes: list, roots: list, sizes_of: list, owns: list, sigs: list, cut: bool) -> tuple[list, list]:
-        node, root, size, own = (np.array(x, np.int64) for x in (nodes, roots, sizes_of, owns))
-        sig = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(node), -1)
-        a, b = [], []
-        for i in range(len(node) - 1):
-            rest = np.arange(i + 1, len(node))
-            ok = (root[rest] != root[i]) & (100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i]))
-            if cut:
-                ok &= own[rest] != own[i]
-            rest = rest[ok]
-            if len(rest):
-                differ = sig[rest] != sig[i]
-                first = (differ[:, 0: 2 * SLOTS: 2] | differ[:, 1: 2 * SLOTS: 2]).sum(axis=1)
-                rest = rest[(first <= radius) & (first + differ[:, 2 * SLOTS:].sum(axis=1) <= wide)]
-                a += np.minimum(node[rest], node[i]).tolist()
-                b += np.maximum(node[rest], node[i]).tolist()
-        return a, b
 
+def _sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """node, shingles: the full set of each wanted class as packed 64-bit hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in
-                                                          ("key", "lo", "hi", "node", "root", "n_shingles", "own", "sig"))))
-        for (_, lo, hi), group in itertools.groupby(each, lambda r: r[:3]):
-            a, b = compare(*(list(x) for x in list(zip(*group))[3:]), lo != hi)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for whole in batches:
+            for batch in words.slices(whole, "text"):
+                packed = [s.tobytes() for s in words.shingle_sets(batch.column("text"), shingle)]
+                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "shingles"])
 
-    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return dealt.mapInArrow(run, "a long, b long")
+    return _texts_of(nodes, classes, docs).mapInArrow(run, "node long, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold, from the texts of one row per class."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    rows = classes.join(wanted, "node").select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.row").alias("_row"))
-    keyed = docs.select("doc_id", texts.row_key("text").alias("row"), "text")
-    found = keyed.join(rows, keyed["doc_id"].eqNullSafe(rows["_id"]) & (keyed["row"] == rows["_row"]))
-    found = written(found.groupBy("node").agg(F.first("text").alias("text")))
+    found = written(_texts_of(wanted, classes, docs))
     side = lambda x: found.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
 
@@ -204,18 +283,27 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: i
     return both.mapInArrow(run, "a long, b long")
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """Classes are named by 64 bits of a set's digest; where different sets share them (the other 64 bits differ), all but one get another name."""
+    while True:
+        shared = written(rows.groupBy("node").agg(F.min("check").alias("_least"), F.max("check").alias("_most")).filter(
+            "_least <> _most").select(F.col("node").alias("_node"), "_least"))
+        if shared.isEmpty():
+            return rows
+        name = F.when(F.col("check") > F.col("_least"), F.xxhash64("node", "check")).otherwise(F.col("node"))
+        rows = written(rows.join(shared, F.col("node") == F.col("_node"), "left").withColumn("node", name).drop("_node", "_least"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
                     percent: int = 80, leader_rounds: int = LEADER_ROUNDS, block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """doc_id, row, n_shingles, component_id (smallest doc_id reachable), kept, one row per row of docs."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     radius = radius_for(percent)
     all_rows = written(signatures(docs, shingle))
+    all_rows = _told_apart(all_rows)
     classes = written(all_rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("doc_id", "row")).alias("rep"), F.min("doc_id").alias("id"),
-        F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"),
-        (F.min("check") != F.max("check")).alias("clash")))
-    if not classes.filter("clash").isEmpty():
-        raise ValueError("two different sets share 64 bits of their digests")
+        F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")))
 
     keys = _buckets(classes, radius)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -238,15 +326,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 F.struct("node", "root"), F.struct("root", "node")).alias("l"))
             pairs = here.join(lead, "key").filter("root <> l.root").select(F.col("node").alias("a"), F.col("l.node").alias("b"))
         else:
-            pairs = _across(here, classes, radius, percent, block_members)
+            sure = written(_across(here, classes, docs, radius, shingle, percent, block_members))
+            links = sure if links is None else links.unionByName(sure)
+            roots = components(links)
+            break
         pairs = pairs.distinct()
         if tried is not None:
             both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")
-        near = pairs
-        if k < leader_rounds:  # the nearest leader of each class
-            near = _near(pairs, classes, radius, percent)
-            near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("l")).select("a", F.col("l.b").alias("b"))
+        near = _near(pairs, classes, radius, percent)  # the nearest leader of each class
+        near = near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("l")).select("a", F.col("l.b").alias("b"))
         near = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         tried = near if tried is None else tried.unionByName(near)
         sure = written(_confirmed(near, classes, docs, shingle, percent))

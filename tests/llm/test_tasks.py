@@ -88,6 +88,32 @@ def test_near_duplicates_without_leader_rounds(spark, block):
     assert {r.doc_id: r.component_id for r in found.collect()} == roots(rows, 3, 85)
 
 
+def test_near_copies_below_the_threshold_make_no_rows(spark, monkeypatch):
+    """All pairs of a family pass the bounds on signatures and hardly any the threshold: what leaves the blocks stays below the members."""
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(400)]
+    rows = []
+    for k in range(300):
+        w = list(base)
+        for at in rng.sample(range(2, 398, 3), 8 if k % 10 else 4):
+            w[at] = f"x{k}_{at}"
+        rows.append((k, " ".join(w)))
+    counted, across = [], minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda *a: counted.append(across(*a)) or counted[-1])
+    for block, at_most in ((minhash.BLOCK_MEMBERS, 300), (40, 8 * 9 // 2 * 80)):
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, rows), shingle=3, percent=85, block_members=block).collect()}
+        assert got == roots(rows, 3, 85)
+        links = counted.pop().collect()
+        assert len(links) <= at_most and len({got[k] for k in got}) > 100
+
+
+def test_sets_that_share_half_a_digest_stay_apart(spark):
+    rows = spark.createDataFrame([(1, 7, 5), (2, 7, 5), (3, 7, 6), (4, 7, 9), (5, 8, 5), (6, None, None)], "doc_id long, node long, check long")
+    named = {r.doc_id: r.node for r in minhash._told_apart(rows).collect()}
+    assert named[1] == named[2] == 7 and named[5] == 8 and named[6] is None
+    assert len({named[k] for k in (1, 3, 4, 5)}) == 4
+
+
 def test_near_duplicates_edges(spark):
     rows = [(None, "a b c d"), (3, "a b c d"), (3, "a b c d"), (2, "A b c d"), (None, None), (9, "x y z")]
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.op3(docs_of(spark, rows)).collect()), key=repr)
