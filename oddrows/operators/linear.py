@@ -9,28 +9,90 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oddrows.functions.columns import names
+from oddrows.functions.columns import names, scalar
+from oddrows.functions.lineage import written
 from oddrows.functions.sizes import with_params
 
 #: widest feature set whose cross products are written as JVM aggregate expressions
 JVM_WIDTH = 16
+#: most columns of a Gram matrix that is one aggregate expression per cell
+JVM_CELLS = 5
+#: groups whose partial matrices a task holds before it hands them on
+GROUPS_HELD = 2_000
 
 
 def gram(df: DataFrame, features: Sequence[str], target: str, by=None) -> DataFrame:
     """Per group `n`, the `mean` of (features, target) and `cells`, the flattened matrix of their
     centred cross products; rows with a null in any of them are left out. The aggregate centres as it goes, so
-    values far from zero lose nothing."""
+    values far from zero lose nothing. Beyond a few columns the products are formed in Arrow batches: an
+    aggregate expression per cell would take longer to compile than to run."""
+    keys, used = names(by), df.dropna(subset=[*features, target])
     z = [F.col(c).cast("double") for c in (*features, target)]
+    if len(z) > JVM_CELLS:
+        return _merged_gram(used.select(*keys, F.array(*z).alias("_z")), len(z), keys)
     m = range(len(z))
     sums = [F.covar_pop(z[i], z[j]).alias(f"c{i}_{j}") for i in m for j in m if i <= j]
-    used = df.dropna(subset=[*features, target])
     cells = F.array(*[F.col(f"c{min(i, j)}_{max(i, j)}") * F.col("n") for i in m for j in m])
-    return used.groupBy(*names(by)).agg(
+    return used.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in z]).alias("mean"), *sums,
-    ).select(*names(by), "n", "mean", cells.alias("cells"))
+    ).select(*keys, "n", "mean", cells.alias("cells"))
+
+
+def _merged_gram(rows: DataFrame, size: int, keys: list[str]) -> DataFrame:
+    """`gram` of rows (keys, _z): every task centres its own rows, and the parts are put together about the common mean."""
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple[int, np.ndarray, np.ndarray]] = {}
+
+        def out() -> pa.RecordBatch:
+            kinds = [*(schema.field(k).type for k in keys)]
+            columns = [pa.array([key[i] for key in held], t) for i, t in enumerate(kinds)]
+            parts = list(held.values())
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array([n for n, _, _ in parts], pa.int64()), pa.array([m.tolist() for _, m, _ in parts], pa.list_(pa.float64())),
+                 pa.array([c.ravel().tolist() for _, _, c in parts], pa.list_(pa.float64()))], [*keys, "n", "mean", "cells"])
+
+        schema = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            schema = batch.schema
+            z = batch.column("_z").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            if keys:
+                table = pa.Table.from_batches([batch.select(keys)]).append_column("_i", pa.array(np.arange(batch.num_rows)))
+                groups = [(tuple(g[k] for k in keys), g["_i_list"]) for g in table.group_by(keys).aggregate([("_i", "list")]).to_pylist()]
+            else:
+                groups = [((), slice(None))]
+            for key, at in groups:
+                own = z[at]
+                mean = own.mean(axis=0)
+                part = (len(own), mean, (own - mean).T @ (own - mean))
+                held[key] = merged([held[key], part]) if key in held else part
+            if len(held) > GROUPS_HELD:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    schema = rows.select(*keys, F.lit(0).cast("bigint").alias("n"), F.array(F.lit(0.0)).alias("mean"), F.array(F.lit(0.0)).alias("cells")).schema
+    parts = written(rows.mapInArrow(partial, schema))
+    total = parts.groupBy(*keys).agg(F.sum("n").alias("_n"), F.array(*[F.sum(F.col("n") * F.col("mean")[i]) / F.sum("n") for i in range(size)]).alias("_mean"))
+    both = with_params(parts, total, keys, "inner") if keys else parts.withColumn("_t", scalar(total)).select("*", "_t.*").drop("_t")
+    i, j = F.floor(F.col("at") / size).cast("int") + 1, (F.col("at") % size + 1).cast("int")
+    off = lambda k: F.element_at("mean", k) - F.element_at("_mean", k)
+    each = both.select(*keys, "n", "mean", "_n", "_mean", F.posexplode("cells").alias("at", "cell"))
+    summed = each.groupBy(*keys, "at").agg(F.sum(F.col("cell") + F.col("n") * off(i) * off(j)).alias("cell"), F.first("_n").alias("n"), F.first("_mean").alias("mean"))
+    packed = F.transform(F.array_sort(F.collect_list(F.struct("at", "cell"))), lambda c: c["cell"])  # size * size numbers
+    out = summed.groupBy(*keys).agg(F.first("n").alias("n"), F.first("mean").alias("mean"), packed.alias("cells"))
+    if keys:
+        return out
+    unknown = lambda k: F.array_repeat(F.lit(None).cast("double"), k)
+    none = F.col("n").isNull()  # no row at all
+    return out.select(F.coalesce("n", F.lit(0)).alias("n"), F.when(none, unknown(size)).otherwise(F.col("mean")).alias("mean"),
+                      F.when(none, unknown(size * size)).otherwise(F.col("cells")).alias("cells"))
 
 
 def centred(flat: Sequence[float], size: int) -> np.ndarray:

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from oddrows.plans import detectors, flows, scores, series, tables  # noqa: F401
+from oddrows.plans import detectors, flows, models, scores, series, tables  # noqa: F401
 from oddrows.plans.registry import ORACLES, QUERIES  # noqa: F401
