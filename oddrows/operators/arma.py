@@ -153,7 +153,7 @@ def recursion(df: DataFrame, u: str, theta: str, lags: Sequence[int], order_by,
         e = _run_on(table.column(u).to_numpy().astype(float), coefficients(table), np.array(table.column("start")[0].as_py()))[0]
         return table.select(columns).append_column(to, pa.array(e))
 
-    return rows.groupBy(*by, "_run").applyInArrow(run, df.select("*", F.lit(0.0).alias(to)).schema)
+    return rows.groupBy(*by, "_run").applyInArrow(run, rows.select(*columns, F.lit(0.0).alias(to)).schema)
 
 
 def arma_predict(df: DataFrame, fitted: DataFrame, value: str, order_by, series=None, grid=GRID, period: int = PERIOD,
