@@ -1,10 +1,11 @@
-"""Isolation forest grown with windows, scored in Arrow batches.
+"""Isolation forest: samples drawn by hashes, small trees grown inside tasks, rows scored in Arrow batches.
 
 All randomness is a hash of (seed, tree, node or key), so the forest depends neither on
 partitioning nor on task order."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
@@ -28,27 +29,65 @@ def average_path(n: float) -> float:
     return 2.0 * (math.log(n - 1) + EULER_GAMMA) - 2.0 * (n - 1) / n
 
 
-def _pool(df: DataFrame, key: str, rows: int, seed: int) -> tuple[DataFrame, int]:
-    """The `rows` rows with the smallest hash, and how many there are. On large tables a hash limit expected to keep
-    twice as many goes first, and the sort sees only those."""
-    n = df.count()
-    if n <= rows:
-        return df, n
-    h = hash32(seed, key)
-    if n > 4 * rows:
-        some = df.filter(h < int(2.0 * rows / n * 2**32))
-        df = some if some.count() >= rows else df
-    return df.orderBy(h, key).limit(rows), rows
-
-
-def _lowest(each: DataFrame, rows: int, trees: int, sample: int) -> DataFrame:
-    """Rows that can be among the `sample` lowest hashes of a tree: a hash limit expected to keep
-    twice as many, if every tree did keep enough; otherwise all rows."""
-    if rows <= 4 * sample:
-        return each
-    some = written(each.filter(F.col("_h") < int(2.0 * sample / rows * 2**32)))
-    kept = some.groupBy("tree").count().agg(F.count(F.lit(1)).alias("trees"), F.min("count").alias("least")).first()
-    return some if kept["trees"] == trees and kept["least"] >= sample else each
+#: rows a tree draws on average, in samples, before it is thinned to the sample
+SPARE = 2.0
+
+
+def _drawn(points: DataFrame, key: str, n: int, trees: int, rate: float, seed: int) -> DataFrame:
+    """Rows with the trees that draw them, each tree each row with probability `rate` (all of them at 1 or more).
+
+    A row does not toss for every tree: the gaps between the trees that draw it are geometric, so one hash tells most rows of a
+    large table that no tree does."""
+    if rate >= 1:
+        return points.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    gap = lambda i: F.floor(F.log(uniform(seed, F.lit("s"), key, i)) / F.lit(math.log(1 - rate)))
+    some = points.withColumn("_at", gap(F.lit(0))).filter(F.col("_at") < trees)
+    start = F.struct(F.col("_at").alias("at"), F.array(F.col("_at").cast("int")).alias("drawn"))
+
+    def step(state, i):
+        at = state["at"] + 1 + gap(i)
+        more = F.when(at < trees, F.array_append(state["drawn"], at.cast("int"))).otherwise(state["drawn"])
+        return F.when(state["at"] >= trees, state).otherwise(F.struct(at.alias("at"), more.alias("drawn")))
+
+    drawn = F.aggregate(F.sequence(F.lit(1), F.lit(trees)), start, step, lambda state: state["drawn"])
+    return some.withColumn("tree", F.explode(drawn)).drop("_at")
+
+
+def _sampled(points: DataFrame, key: str, trees: int, sample: int, seed: int) -> DataFrame:
+    """The rows of each tree: `sample` of its draw from the whole table with the smallest hash (all rows of a smaller table)."""
+    n, spare = points.count(), SPARE
+    while True:
+        rate = spare * sample / max(n, 1)
+        each = written(_drawn(points, key, n, trees, rate, seed))
+        if rate >= 1:
+            break
+        kept = each.groupBy("tree").count().agg(F.count(F.lit(1)).alias("trees"), F.min("count").alias("least")).first()
+        if kept["trees"] == trees and kept["least"] >= sample:
+            break
+        spare *= 2  # hardly ever: a tree drew less than half of what it expects
+    pick = Window.partitionBy("tree").orderBy("_h", key)  # about SPARE * sample rows a tree
+    return each.withColumn("_h", hash32(seed, "tree", key)).withColumn("_r", F.row_number().over(pick)).filter(F.col("_r") <= sample)
+
+
+def _grown(x: np.ndarray, tree: int, levels: int, seed: int) -> list[tuple[int, int, float, int]]:
+    """(node, feature, cut, size) of the tree over the rows x; leaves have feature -1."""
+    def number(kind: str, node: int) -> int:
+        return int(hashlib.md5(f"{seed}:{kind}:{tree}:{node}".encode()).hexdigest()[:8], 16)
+
+    out, todo = [], [(1, 0, np.arange(len(x)))]
+    while todo:
+        node, depth, rows = todo.pop()
+        low, high = x[rows].min(axis=0), x[rows].max(axis=0)
+        live = np.flatnonzero(low < high)
+        if depth == levels or not len(live):
+            out.append((node, -1, 0.0, len(rows)))
+            continue
+        f = int(live[number("f", node) % len(live)])
+        cut = float(low[f] + (number("c", node) + 0.5) / 4294967296.0 * (high[f] - low[f]))
+        right = x[rows, f] >= cut
+        out.append((node, f, cut, 0))
+        todo += [(2 * node + side, depth + 1, part) for side, part in ((0, rows[~right]), (1, rows[right])) if len(part)]
+    return out
 
 
 def fit_isolation_forest(
@@ -56,44 +95,19 @@ def fit_isolation_forest(
 ) -> DataFrame:
     """Nodes of the forest: `tree, node, feature, cut, size`; leaves have feature -1.
 
-    Node 1 is the root, the children of v are 2v (below the cut) and 2v + 1. Samples hold at
-    most `trees * sample` rows, so growing costs the same at any table size: the sample is
-    partitioned by tree once and every level is a window inside that partitioning."""
-    cols = list(columns)
-    d = len(cols)
+    Node 1 is the root, the children of v are 2v (below the cut) and 2v + 1. Every tree draws its sample from the whole
+    table. Samples hold `trees * sample` rows, so growing costs the same at any table size; a tree is grown where its
+    sample lies."""
+    cols, levels = list(columns), math.ceil(math.log2(sample))
     points = df.select(F.col(key).alias("_k"), *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    pool, count = _pool(points, "_k", trees * sample, seed)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = pool.repartition(tasks, "_k")  # a limit leaves one partition
-    each = spread.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_h", hash32(seed, "tree", "_k"))
-    each = _lowest(each, count, trees, sample)
-    pick = Window.partitionBy("tree").orderBy("_h", "_k")
-    rows = (
-        each.withColumn("_r", F.row_number().over(pick))
-        .filter(F.col("_r") <= sample)
-        .select("tree", F.array(*cols).alias("x"), F.lit(1).cast("bigint").alias("node"),
-                F.array().cast("array<struct<node:bigint,feature:int,cut:double>>").alias("splits"))
-    )
-    w = Window.partitionBy("tree", "node")
-    for _ in range(math.ceil(math.log2(sample))):
-        spans = F.array(*[
-            F.struct(F.lit(i).alias("i"), F.min(F.col("x")[i]).over(w).alias("lo"), F.max(F.col("x")[i]).over(w).alias("hi"))
-            for i in range(d)])
-        rows = rows.withColumn("live", F.filter(spans, lambda s: s["lo"] < s["hi"]))
-        turn = hash32(seed, F.lit("f"), "tree", "node") % F.greatest(F.size("live"), F.lit(1))
-        rows = rows.withColumn("s", F.get("live", turn.cast("int")))
-        cut = F.col("s.lo") + uniform(seed, F.lit("c"), "tree", "node") * (F.col("s.hi") - F.col("s.lo"))
-        rows = rows.withColumn("s", F.when(F.col("s").isNotNull(), F.struct(
-            F.col("node"), F.col("s.i").alias("feature"), cut.alias("cut"))))
-        right = (F.get("x", F.col("s.feature")) >= F.col("s.cut")).cast("bigint")
-        rows = rows.select(
-            "tree", "x", F.when(F.col("s").isNull(), F.col("node")).otherwise(2 * F.col("node") + right).alias("node"),
-            F.when(F.col("s").isNull(), F.col("splits")).otherwise(F.array_append("splits", F.col("s"))).alias("splits"))
-    rows = written(rows.select("tree", "node", "splits"))  # read twice below
-    inner = rows.select("tree", F.inline("splits")).distinct().withColumn("size", F.lit(0).cast("bigint"))
-    leaves = rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("size")).select(
-        "tree", "node", F.lit(-1).alias("feature"), F.lit(0.0).alias("cut"), "size")
-    return inner.select("tree", "node", "feature", "cut", "size").unionByName(leaves)
+    rows = _sampled(points, "_k", trees, sample, seed).select("tree", "_h", *cols)
+
+    def grow(own: pd.DataFrame) -> pd.DataFrame:
+        tree = int(own["tree"].iloc[0])
+        nodes = pd.DataFrame(_grown(own[cols].to_numpy(float), tree, levels, seed), columns=["node", "feature", "cut", "size"])
+        return nodes.assign(tree=tree)[["tree", "node", "feature", "cut", "size"]]
+
+    return written(rows.groupBy("tree").applyInPandas(grow, "tree int, node long, feature int, cut double, size long"))
 
 
 def score_isolation_forest(df: DataFrame, forest: DataFrame, columns: Sequence[str], to: str = "score") -> DataFrame:

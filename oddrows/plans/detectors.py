@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from oddrows.functions.columns import rounded
 from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, nearest, neighbours, sequence, stats, thresholds
+from oddrows.operators.forest import SPARE
 from oddrows.operators.scaling import zscore_apply, zscore_fit
 from oddrows.plans.registry import H, R, Tables, U, least_squares_sql, query
 from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, daily, day_text, early, hourly, train_rows
@@ -315,11 +316,14 @@ def forest_sql(source: str, features: int, trees: int, sample: int, depth: int,
     """The forest unrolled: n<i> are the sample rows before level i, s<i> the splits made there."""
     f = range(features)
     xs = ", ".join(f"x{i}" for i in f)
-    pool = trees * sample
-    parts = [f"p AS ({source})",
-             f"pool AS (SELECT * FROM p ORDER BY {H(chr(39) + '0:' + chr(39) + ' || id')}, id LIMIT {pool})",
-             f"""n0 AS (SELECT tree, id, {xs}, 1::BIGINT AS node FROM (SELECT tree, pool.*, row_number() OVER (PARTITION BY tree
-                 ORDER BY {H("'0:' || tree || ':' || id")}, id) AS r FROM pool, range({trees}) g(tree)) WHERE r <= {sample})"""]
+    gap = lambda i: f"floor(ln({U(f"'0:s:' || id || ':' || {i}")}) / ln(1 - rate))"
+    parts = [f"p AS MATERIALIZED ({source})", f"rt AS (SELECT {SPARE * sample}::DOUBLE / count(*) AS rate FROM p)",
+             f"""dr(id, i, pos) AS (SELECT id, 0::BIGINT, {gap('0')} FROM p, rt WHERE rate < 1
+                 UNION ALL SELECT id, i + 1, pos + 1 + {gap('(i + 1)')} FROM dr, rt WHERE pos < {trees})""",
+             f"""dt AS (SELECT id, pos::BIGINT AS tree FROM dr WHERE pos < {trees} UNION ALL
+                 SELECT id, tree FROM p, rt, range({trees}) g(tree) WHERE rate >= 1)""",
+             f"""n0 AS (SELECT tree, id, {xs}, 1::BIGINT AS node FROM (SELECT tree, p.*, row_number() OVER (PARTITION BY tree
+                 ORDER BY {H("'0:' || tree || ':' || id")}, id) AS r FROM dt JOIN p USING (id)) WHERE r <= {sample})"""]
     for i in range(depth):
         spans = ", ".join(f"min(x{j}) AS lo{j}, max(x{j}) AS hi{j}" for j in f)
         live = "list_filter([" + ", ".join(f"CASE WHEN lo{j} < hi{j} THEN {j} END" for j in f) + "], lambda v: v IS NOT NULL)"
@@ -342,9 +346,9 @@ def forest_sql(source: str, features: int, trees: int, sample: int, depth: int,
             ELSE 2 * d.node + ([{', '.join(f'd.x{j}' for j in f)}][s.f + 1] >= s.cut)::BIGINT END AS node
             FROM d{i} d LEFT JOIN inner_nodes s ON s.tree = d.tree AND s.node = d.node)""")
     parts.append(f"""scores AS (SELECT id, pow(2.0, -avg(floor(log2(d.node)) + {c('size')}) / (SELECT {c(f'm')} FROM
-        (SELECT least({sample}, (SELECT count(*) FROM pool))::DOUBLE AS m))) AS score
+        (SELECT least({sample}, (SELECT count(*) FROM p))::DOUBLE AS m))) AS score
         FROM d{depth} d JOIN leaves l ON l.tree = d.tree AND l.node = d.node GROUP BY id)""")
-    return "WITH " + ", ".join(parts)
+    return "WITH RECURSIVE " + ", ".join(parts)
 
 
 XYF = "SELECT event_id AS id, value AS x0, json_extract(props, '$.k')::DOUBLE AS x1 FROM events"

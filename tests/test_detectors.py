@@ -103,12 +103,19 @@ def test_forest_is_repeatable_and_small(planted):
     assert len(a) <= 10 * 2 * 32
 
 
-def test_forest_pool_takes_smallest_hashes(spark):
-    df = spark.range(5000).select(F.col("id").alias("_k"))
-    picked = {r["_k"] for r in forest._pool(df, "_k", 200, 3)[0].collect()}
-    from oddrows.functions.columns import hash32
-    whole = {r["_k"] for r in df.orderBy(hash32(3, "_k"), "_k").limit(200).collect()}
-    assert picked == whole
+def test_forest_draws_from_the_whole_table(spark):
+    """Each tree draws at its rate, different trees draw different rows, and all of the table is reached."""
+    df = spark.range(20_000).select(F.col("id").alias("_k"))
+    each = forest._drawn(df, "_k", 20_000, 100, 0.02, 3)
+    sizes = [r["count"] for r in each.groupBy("tree").count().collect()]
+    assert len(sizes) == 100 and 300 < min(sizes) and max(sizes) < 500
+    assert each.count() == each.distinct().count()
+    assert 0.8 < each.select("_k").distinct().count() / (20_000 * (1 - 0.98**100)) < 1.2
+    rows = forest._sampled(df, "_k", 100, 256, 3)
+    assert {r["count"] for r in rows.groupBy("tree").count().collect()} == {256}
+    assert rows.select("_k").distinct().count() > 10_000
+    few = forest._sampled(df.limit(100), "_k", 7, 256, 3).groupBy("tree").count().collect()
+    assert {(r["tree"], r["count"]) for r in few} == {(t, 100) for t in range(7)}
 
 
 def test_constant_column_in_forest(spark):
