@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oddrows.functions.lineage import written
 from oddrows.functions.quantiles import quantiles
 from oddrows.operators.joins import assign_nearest, distance_to
 from oddrows.operators.sequence import flag_top_fraction
@@ -33,6 +33,21 @@ class Centroids:
         return df.sparkSession.createDataFrame(rows, "cluster int, centre array<double>, size bigint")
 
 
+def _numbered(points: DataFrame, cols: list[str], centres: list[list[float]]) -> DataFrame:
+    """`assign_nearest` for many rounds: the centres are one array constant, which generated code refers to instead of
+    spelling it out, so that all rounds share the compiled code of the first."""
+    flat, d = F.lit([float(v) for c in centres for v in c]), len(cols)
+    far = {f"_d{i}": F.sqrt(sum((F.pow(F.col(c) - F.get(flat, F.lit(i * d + j)), F.lit(2.0)) for j, c in enumerate(cols)), F.lit(0.0)))
+           for i in range(len(centres))}
+    out = points.withColumns(far)
+    nearest = F.least(*far) if len(far) > 1 else F.col("_d0")
+    out = out.withColumn("distance", nearest)
+    number = F.lit(None).cast("int")
+    for i in reversed(range(len(centres))):
+        number = F.when(F.col(f"_d{i}") == F.col("distance"), F.lit(i)).otherwise(number)
+    return out.select(*cols, "distance", number.alias("cluster"))
+
+
 def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int | None = None, tolerance: float = 1e-9) -> Centroids:
     """k-means from a quantile start: centre i begins at the (i + 0.5) / k quantile of every
     column. One aggregate per round; only k centres travel to the driver, so neither the
@@ -43,14 +58,14 @@ def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int | None
     there are exactly that many rounds, converged or not."""
     cols = list(columns)
     probs = [(i + 0.5) / k for i in range(k)]
-    points = df.select(*cols).dropna().persist(StorageLevel.MEMORY_AND_DISK)  # read once per round
+    points = written(df.select(*cols).dropna())  # read once per round
     start = {(r["column"], round(r["prob"], 9)): r["value"] for r in quantiles(points, cols, probs).collect()}
     centres = [[start[(c, round(p, 9))] for c in cols] for p in probs]
     ends = points.agg(*[F.max(c) - F.min(c) for c in cols]).first() if iterations is None else []
     limits = [tolerance * float(e or 0) for e in ends]
     history, sizes, step = [], [0] * k, 0
     while True:
-        rows = assign_nearest(points, cols, centres).groupBy("cluster").agg(
+        rows = _numbered(points, cols, centres).groupBy("cluster").agg(
             F.count(F.lit(1)).alias("size"), F.sum(F.col("distance") * F.col("distance")).alias("loss"),
             *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).collect()
         history.append((step, float(sum(r["loss"] for r in rows))))
@@ -67,7 +82,6 @@ def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int | None
         for r in rows:
             centres[r["cluster"]] = [r[f"m{i}"] for i in range(len(cols))]
         step += 1
-    points.unpersist()
     return Centroids(cols, centres, sizes, history)
 
 

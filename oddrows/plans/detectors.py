@@ -117,70 +117,7 @@ def _(t: Tables):
 # ---------------------------------------------------------------- clustering
 
 
-def lloyd_sql(source: str, k: int, iterations: int) -> str:
-    """Unrolled k-means on `source(id, x, y)`: c<i> holds the centres, a<i> the assignment."""
-    start = " UNION ALL ".join(
-        f"SELECT {i} AS c, quantile_cont(x, {(i + 0.5) / k}) AS cx, quantile_cont(y, {(i + 0.5) / k}) AS cy FROM p" for i in range(k))
-    parts = [f"p AS ({source})", f"c0 AS ({start})"]
-    for i in range(iterations + 1):
-        parts.append(f"""a{i} AS (SELECT id, x, y, arg_min(c, (d, c)) AS c, min(d) AS d FROM (SELECT id, x, y, c,
-            sqrt(pow(x - cx, 2) + pow(y - cy, 2)) AS d FROM p, c{i}) GROUP BY id, x, y)""")
-        if i < iterations:
-            parts.append(f"""c{i + 1} AS (SELECT c{i}.c, coalesce(avg(x), any_value(cx)) AS cx, coalesce(avg(y), any_value(cy)) AS cy
-                FROM c{i} LEFT JOIN a{i} ON a{i}.c = c{i}.c GROUP BY c{i}.c)""")
-    return "WITH " + ", ".join(parts)
-
-
 XY = "SELECT event_id AS id, value AS x, json_extract(props, '$.k')::DOUBLE AS y FROM events"
-LOOPS = 5
-
-
-@query("kmeans_distance_outliers", f"""{lloyd_sql(XY, 2, LOOPS)}, h AS (SELECT min(d) AS threshold FROM (SELECT d FROM a{LOOPS} ORDER BY d DESC
-    LIMIT (SELECT floor(count(*) * 0.13::DOUBLE)::BIGINT FROM p)))
-    SELECT id AS event_id, c::INT AS cluster, {R('d')} AS score, (d >= threshold)::INT AS is_outlier FROM a{LOOPS}, h""")
-def _(t: Tables):
-    rows = keyed(t).select("event_id", "value", "k")
-    fitted = clustering.lloyd(rows, ["value", "k"], 2, LOOPS)
-    return clustering.kmeans_distance_outliers(rows, fitted, 0.13).select("event_id", "cluster", "score", "is_outlier")
-
-
-@query("kmeans_threshold_outliers", f"""{lloyd_sql(XY, 4, LOOPS)} SELECT id AS event_id, c::INT AS cluster, {R('d')} AS score,
-    (d > 40)::INT AS is_outlier FROM a{LOOPS}""")
-def _(t: Tables):
-    rows = keyed(t).select("event_id", "value", "k")
-    fitted = clustering.lloyd(rows, ["value", "k"], 4, LOOPS)
-    return clustering.kmeans_threshold_outliers(rows, fitted, 40.0).select("event_id", "cluster", "score", "is_outlier")
-
-
-@query("kmeans_ml")
-def _(t: Tables):
-    rows = keyed(t).select("event_id", "value", "k")
-    fitted = clustering.kmeans_fit(rows, ["value", "k"], 2)
-    return clustering.kmeans_distance_outliers(rows, fitted, 0.13).groupBy("is_outlier").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("loss_history_best", f"""{lloyd_sql(XY, 4, LOOPS)}, h AS ({' UNION ALL '.join(
-    f'SELECT {i} AS step, sum(d * d) AS loss FROM a{i}' for i in range(LOOPS + 1))})
-    SELECT count(*)::BIGINT AS steps, arg_min(step, loss)::INT AS best_step, {R('min(loss)', 3)} AS best_loss FROM h""", digits=3)
-def _(t: Tables):
-    from oddrows.operators.evaluation import loss_history_best
-    rows = keyed(t)
-    return loss_history_best(clustering.lloyd(rows, ["value", "k"], 4, LOOPS).history_table(rows))
-
-
-@query("cblof", f"""{lloyd_sql(XY, 8, LOOPS)}, s AS (SELECT c, count(*) AS n FROM a{LOOPS} GROUP BY c),
-    o AS (SELECT c, n, row_number() OVER (ORDER BY n DESC, c) AS r, sum(n) OVER (ORDER BY n DESC, c ROWS UNBOUNDED PRECEDING) AS held,
-        lead(n) OVER (ORDER BY n DESC, c) AS after, sum(n) OVER () AS total FROM s),
-    b AS (SELECT coalesce(min(r) FILTER (held >= total * 0.9 AND n / after >= 5), min(r) FILTER (held >= total * 0.9),
-        min(r) FILTER (n / after >= 5), max(r) + 1) AS cut FROM o WHERE after IS NOT NULL),
-    l AS (SELECT o.c, cx, cy FROM o JOIN b ON r <= cut JOIN c{LOOPS} USING (c)),
-    m AS (SELECT id, min(sqrt(pow(x - cx, 2) + pow(y - cy, 2))) AS near FROM p, l GROUP BY id)
-    SELECT a.id AS event_id, a.c::INT AS cluster, {R('CASE WHEN a.c IN (SELECT c FROM l) THEN a.d ELSE near END')} AS score
-    FROM a{LOOPS} a JOIN m ON a.id = m.id""")
-def _(t: Tables):
-    rows = keyed(t).select("event_id", "value", "k")
-    fitted = clustering.lloyd(rows, ["value", "k"], 8, LOOPS)
-    return clustering.cblof(rows, fitted).select("event_id", "cluster", "score")
 
 
 def converged_sql(source: str, k: int) -> str:
@@ -202,7 +139,7 @@ def converged_sql(source: str, k: int) -> str:
     a AS (SELECT id, x, y, list_position(ds, list_min(ds)) - 1 AS c, list_min(ds) AS d FROM (SELECT id, x, y, {far} AS ds FROM p, l0))"""
 
 
-@query("kmeans_distance_outliers_converged", f"""{converged_sql(XY, 2)}, h AS (SELECT min(d) AS threshold FROM (SELECT d FROM a ORDER BY d DESC
+@query("kmeans_distance_outliers", f"""{converged_sql(XY, 2)}, h AS (SELECT min(d) AS threshold FROM (SELECT d FROM a ORDER BY d DESC
     LIMIT (SELECT floor(count(*) * 0.13::DOUBLE)::BIGINT FROM p)))
     SELECT id AS event_id, c::INT AS cluster, {R('d')} AS score, (d >= threshold)::INT AS is_outlier FROM a, h""")
 def _(t: Tables):
@@ -211,7 +148,7 @@ def _(t: Tables):
     return clustering.kmeans_distance_outliers(rows, fitted, 0.13).select("event_id", "cluster", "score", "is_outlier")
 
 
-@query("kmeans_threshold_outliers_converged", f"""{converged_sql(XY, 4)} SELECT id AS event_id, c::INT AS cluster, {R('d')} AS score,
+@query("kmeans_threshold_outliers", f"""{converged_sql(XY, 4)} SELECT id AS event_id, c::INT AS cluster, {R('d')} AS score,
     (d > 40)::INT AS is_outlier FROM a""")
 def _(t: Tables):
     rows = keyed(t).select("event_id", "value", "k")
@@ -219,7 +156,14 @@ def _(t: Tables):
     return clustering.kmeans_threshold_outliers(rows, fitted, 40.0).select("event_id", "cluster", "score", "is_outlier")
 
 
-@query("loss_history_best_converged", f"""{converged_sql(XY, 4)}, h AS (SELECT step, sum(list_min({"list_transform(cs, lambda s: pow(x - s.cx, 2) + pow(y - s.cy, 2))"})) AS loss
+@query("kmeans_ml")
+def _(t: Tables):
+    rows = keyed(t).select("event_id", "value", "k")
+    fitted = clustering.kmeans_fit(rows, ["value", "k"], 2)
+    return clustering.kmeans_distance_outliers(rows, fitted, 0.13).groupBy("is_outlier").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("loss_history_best", f"""{converged_sql(XY, 4)}, h AS (SELECT step, sum(list_min({"list_transform(cs, lambda s: pow(x - s.cx, 2) + pow(y - s.cy, 2))"})) AS loss
     FROM p, steps GROUP BY step)
     SELECT count(*)::BIGINT AS steps, arg_min(step, loss)::INT AS best_step, {R('min(loss)', 3)} AS best_loss FROM h""", digits=3)
 def _(t: Tables):
@@ -228,7 +172,7 @@ def _(t: Tables):
     return loss_history_best(clustering.lloyd(rows, ["value", "k"], 4).history_table(rows))
 
 
-@query("cblof_converged", f"""{converged_sql(XY, 8)}, s AS (SELECT c, count(*) AS n FROM a GROUP BY c),
+@query("cblof", f"""{converged_sql(XY, 8)}, s AS (SELECT c, count(*) AS n FROM a GROUP BY c),
     o AS (SELECT c, n, row_number() OVER (ORDER BY n DESC, c) AS r, sum(n) OVER (ORDER BY n DESC, c ROWS UNBOUNDED PRECEDING) AS held,
         lead(n) OVER (ORDER BY n DESC, c) AS after, sum(n) OVER () AS total FROM s),
     b AS (SELECT coalesce(min(o.r) FILTER (held >= total * 0.9 AND n / after >= 5), min(o.r) FILTER (held >= total * 0.9),
