@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,7 +80,7 @@ def pad_sequences(df: DataFrame, sequence: str, length: int = 350, to: str | Non
 
 def hash_vectors(vocabulary: DataFrame, dim: int, seed: int = 0) -> DataFrame:
     """Stand-in word vectors in [-0.5, 0.5) from a hash of (seed, place, word)."""
-    vec = F.array(*[(uniform(seed, i, "word") - 0.5).cast("double") for i in range(dim)])
+    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: uniform(seed, i, "word") - 0.5)
     return vocabulary.select("word", vec.alias("vec"))
 
 
@@ -96,17 +98,16 @@ def pooled_text_vector(
 ) -> DataFrame:
     """Mean or element-wise maximum of the vectors of a text's known words (null without any).
 
-    Words are joined with their vectors and pooled per key and text by partial aggregates; no vector
-    comes to the driver."""
+    Words are joined with their vectors and pooled per key and text by one vector aggregate, however many
+    numbers a vector has; no vector comes to the driver."""
     texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).distinct()
     spread = texts.select("*", F.explode(words("_text")).alias("word"))
     # one row per text and word first: repeated words weigh by their count
-    counted = spread.groupBy("_key", "_text", "word").agg(F.count(F.lit(1)).alias("c")).join(vectors, "word")
-    parts = []
-    for i in range(dim):
-        v = F.col("vec")[i].cast("double")
-        parts.append(F.sum(v * F.col("c")) / F.sum("c") if how == "mean" else F.max(v))
-    pooled = counted.groupBy("_key", "_text").agg(F.array(*parts).alias(to))
+    counted = spread.groupBy("_key", "_text", "word").agg(F.count(F.lit(1)).cast("double").alias("c")).join(vectors, "word")
+    numbers = array_to_vector(F.slice(F.col("vec").cast("array<double>"), 1, dim))
+    pooled = counted.groupBy("_key", "_text").agg(
+        Summarizer.mean(numbers, F.col("c")).alias("_v") if how == "mean" else Summarizer.max(numbers).alias("_v"))
+    pooled = pooled.select("_key", "_text", vector_to_array("_v").alias(to))
     match = F.col(key).eqNullSafe(F.col("_key")) & F.col(text).eqNullSafe(F.col("_text"))
     return df.join(pooled, match, "left").drop("_key", "_text")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,3 +77,18 @@ def least_squares_sql(name: str, source: str, keep: list[str], xs: list[str], y:
         parts.append(f"{name}_{k + 1} AS MATERIALIZED (SELECT {kept}, {taken} FROM {name}_{k}, (SELECT {slopes} FROM {name}_{k} WHERE {fit}))")
     parts.append(f"{name} AS (SELECT {kept}, {y} AS rest FROM {name}_{len(xs)})")
     return ", ".join(parts)
+
+
+#: numbers of a word vector
+DIM = 300
+
+
+def digest(vector: str = "vec") -> Column:
+    """All numbers of a vector in one: the sum of their squares, weighted by their places and signs kept."""
+    v = F.col(vector).cast("array<double>")
+    return F.aggregate(F.zip_with(v, F.sequence(F.lit(1), F.size(v)), lambda x, i: i * x * F.abs(x)), F.lit(0.0), lambda a, x: a + x)
+
+
+def word_vector_sql(vocabulary: str) -> str:
+    """word, i, x of the words of a table: what `hash_vectors` makes."""
+    return f"SELECT word, i, {U("'0:' || i || ':' || word")} - 0.5 AS x FROM ({vocabulary}), range({DIM}) r(i)"

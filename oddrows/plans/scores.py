@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from oddrows.operators import evaluation, forecast, sequence, stats, text, thresholds
 from oddrows.functions.columns import rounded
-from oddrows.plans.registry import R, Tables, U, query
+from oddrows.plans.registry import digest, DIM, query, R, Tables, U, word_vector_sql
 from oddrows.plans.series import TREND_SQL, daily, early
 from oddrows.plans.tables import RANGES_SQL, SPLITS_SQL, histogram_sql, keyed, label_ranges, split_ranges, vocabulary_sql, words_sql
 from oddrows.operators import joins
@@ -203,34 +203,37 @@ def _(t: Tables):
     return out.select("doc_id", F.size("sequence").alias("length"), F.array_join("sequence", " ").alias("sequence"))
 
 
-@query("embed_vocabulary", f"""WITH v AS ({vocabulary_sql('benchmark', 'item_id')}) SELECT 0::BIGINT AS index, 0.0::DOUBLE AS v0, 0.0::DOUBLE AS v2
-    UNION ALL SELECT index::BIGINT, {R(U("'0:0:' || word") + ' - 0.5')}, {R(U("'0:2:' || word") + ' - 0.5')} FROM v WHERE index < 600""")
+@query("embed_vocabulary", f"""WITH v AS MATERIALIZED (SELECT word, index FROM ({vocabulary_sql('benchmark', 'item_id')}) WHERE index < 600),
+    x AS ({word_vector_sql('SELECT word FROM v')}) SELECT 0::BIGINT AS index, {DIM}::INT AS width, 0.0::DOUBLE AS digest
+    UNION ALL SELECT index::BIGINT, {DIM}::INT, {R('sum((i + 1) * x * abs(x))', 4)} FROM x JOIN v USING (word) GROUP BY index""", digits=4)
 def _(t: Tables):
     vocabulary = text.build_vocabulary(t.benchmark, "text", 600)
-    rows = text.embed_vocabulary(vocabulary, text.hash_vectors(vocabulary, 3), 3, 600)
-    return rows.select("index", F.col("vec")[0].cast("double").alias("v0"), F.col("vec")[2].cast("double").alias("v2"))
+    rows = text.embed_vocabulary(vocabulary, text.hash_vectors(vocabulary, DIM), DIM, 600)
+    return rows.select("index", F.size("vec").alias("width"), digest().alias("digest"))
 
 
 def pooled_sql(fold: str) -> str:
-    return f"""WITH v AS (SELECT word FROM ({vocabulary_sql('conversations', 'k')}) WHERE index < 600),
-        w AS (SELECT k, {U("'0:0:' || word")} - 0.5 AS a, {U("'0:1:' || word")} - 0.5 AS b FROM ({words_sql('conversations', 'k')}) JOIN v USING (word))
-        SELECT c.k, {R(fold + '(a)')} AS v0, {R(fold + '(b)')} AS v1 FROM conversations c LEFT JOIN w ON w.k = c.k GROUP BY 1""".replace(
-        "conversations", "(SELECT conv_id || ':' || turn AS k, text FROM conversations)")
+    """Digest of the pooled numbers of every turn; words of the turn that are in the vocabulary count as often as they occur."""
+    return f"""WITH c AS MATERIALIZED (SELECT conv_id || ':' || turn AS k, text FROM conversations),
+        v AS MATERIALIZED (SELECT word FROM ({vocabulary_sql('c', 'k')}) WHERE index < 600),
+        n AS MATERIALIZED (SELECT k, word, count(*) AS n FROM ({words_sql('c', 'k')}) JOIN v USING (word) GROUP BY 1, 2),
+        x AS MATERIALIZED ({word_vector_sql('SELECT word FROM v')}),
+        w AS (SELECT k, i, {fold} AS y FROM n JOIN x USING (word) GROUP BY k, i)
+        SELECT c.k, {R('sum((i + 1) * y * abs(y))', 4)} AS digest FROM c LEFT JOIN w ON w.k = c.k GROUP BY 1"""
 
 
 def pooled(t: Tables, how: str):
     turns = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("k"), "text")
-    vectors = text.hash_vectors(text.build_vocabulary(turns, "text", 600), 2)
-    out = text.pooled_text_vector(turns, "text", vectors, "k", 2, how)
-    return out.select("k", F.col("vec")[0].alias("v0"), F.col("vec")[1].alias("v1"))
+    vectors = text.hash_vectors(text.build_vocabulary(turns, "text", 600), DIM)
+    return text.pooled_text_vector(turns, "text", vectors, "k", DIM, how).select("k", digest().alias("digest"))
 
 
-@query("pooled_text_vector", pooled_sql("avg"))
+@query("pooled_text_vector", pooled_sql("sum(n * x) / sum(n)"), digits=4)
 def _(t: Tables):
     return pooled(t, "mean")
 
 
-@query("pooled_text_vector_max", pooled_sql("max"))
+@query("pooled_text_vector_max", pooled_sql("max(x)"), digits=4)
 def _(t: Tables):
     return pooled(t, "max")
 
@@ -312,13 +315,14 @@ def _(t: Tables):
     return readers.read_headerless_csv(t.spark, path, "ts string, event_id bigint, value double")
 
 
-@query("read_word_vectors", f"""SELECT word, 3 AS width, {R('(' + U("'0:1:' || word") + ' - 0.5)::FLOAT', 5)} AS v1 FROM ({vocabulary_sql('benchmark', 'item_id')})""", digits=5)
+@query("read_word_vectors", f"""WITH x AS ({word_vector_sql('SELECT word FROM (' + vocabulary_sql('benchmark', 'item_id') + ')')})
+    SELECT word, {DIM}::INT AS width, {R('sum((i + 1) * x::FLOAT::DOUBLE * abs(x::FLOAT::DOUBLE))', 3)} AS digest FROM x GROUP BY word""", digits=3)
 def _(t: Tables):
     path = t.scratch()
-    vectors = text.hash_vectors(text.build_vocabulary(t.benchmark, "text"), 3)
-    vectors.select(F.concat_ws(" ", "word", *[F.col("vec")[i].cast("string") for i in range(3)]).alias("value")).write.text(path)
-    out = readers.read_word_vectors(t.spark, path)
-    return out.select("word", F.size("vec").alias("width"), F.col("vec")[1].cast("double").alias("v1"))
+    vectors = text.hash_vectors(text.build_vocabulary(t.benchmark, "text"), DIM)
+    numbers = F.array_join(F.transform("vec", lambda x: x.cast("float").cast("string")), " ")
+    vectors.select(F.concat_ws(" ", "word", numbers).alias("value")).write.text(path)
+    return readers.read_word_vectors(t.spark, path).select("word", F.size("vec").alias("width"), digest().alias("digest"))
 
 
 @query("write_metric_rows", f"""{TREND_SQL}, z AS (SELECT avg(abs(trend - total)) AS mae, sqrt(avg(pow(trend - total, 2))) AS rmse FROM r)

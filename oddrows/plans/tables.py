@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from oddrows.functions.quantiles import quantiles
 from oddrows.operators import cleaning, joins, linear, scaling, stats
 from oddrows.operators.text import build_vocabulary, hash_vectors
-from oddrows.plans.registry import R, U, Tables, query
+from oddrows.plans.registry import digest, DIM, query, R, Tables, U, word_vector_sql
 
 # ---------------------------------------------------------------- cleaning
 
@@ -284,16 +284,15 @@ def vocabulary_sql(table: str, key: str) -> str:
         SELECT word, count(*) AS n FROM ({words_sql(table, key)}) GROUP BY word)"""
 
 
-@query("lookup_word_vectors", f"""WITH v AS ({vocabulary_sql('benchmark', 'item_id')})
-    SELECT word, index::BIGINT AS index,
-    {R("CASE WHEN length(word) % 2 = 0 THEN " + U("'0:0:' || word") + " - 0.5 ELSE 0 END")} AS v0,
-    {R("CASE WHEN length(word) % 2 = 0 THEN " + U("'0:1:' || word") + " - 0.5 ELSE 0 END")} AS v1
-    FROM v WHERE index < 600""")
+@query("lookup_word_vectors", f"""WITH v AS MATERIALIZED (SELECT word, index FROM ({vocabulary_sql('benchmark', 'item_id')}) WHERE index < 600),
+    x AS ({word_vector_sql('SELECT word FROM v WHERE length(word) % 2 = 0')})
+    SELECT v.word, index::BIGINT AS index, {DIM}::INT AS width, {R('coalesce(sum((i + 1) * x * abs(x)), 0)', 4)} AS digest
+    FROM v LEFT JOIN x ON x.word = v.word GROUP BY v.word, index""", digits=4)
 def _(t: Tables):
     vocabulary = build_vocabulary(t.benchmark, "text")
-    vectors = hash_vectors(vocabulary.filter(F.length("word") % 2 == 0), 2)
-    out = joins.lookup_word_vectors(vocabulary, vectors, 2, 600)
-    return out.select("word", "index", F.col("vec")[0].alias("v0"), F.col("vec")[1].alias("v1"))
+    vectors = hash_vectors(vocabulary.filter(F.length("word") % 2 == 0), DIM)
+    out = joins.lookup_word_vectors(vocabulary, vectors, DIM, 600)
+    return out.select("word", "index", F.size("vec").alias("width"), digest().alias("digest"))
 
 
 @query("parameter_grid", f"""SELECT event_type, sigma::DOUBLE AS sigma, side::INT AS side, days::INT AS days,
