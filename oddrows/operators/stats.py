@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from oddrows.functions.columns import names, scalar
 from oddrows.functions.quantiles import quantile_table, quantiles  # noqa: F401
 from oddrows.functions.sizes import join_groups, with_params
+from oddrows.operators import linear
 
 #: texts of one key that are joined in one step before the pieces of the key are joined
 TEXT_PIECE = 10_000
@@ -181,6 +182,9 @@ def best_by(
 
 def error_mean_cov(df: DataFrame, errors: Sequence[str], by: str | Sequence[str] | None = None) -> DataFrame:
     """Mean vector and sample covariance matrix (row-major) of error columns, one pass."""
+    if len(errors) > linear.JVM_CELLS:
+        cov = F.transform("cells", lambda c: F.try_divide(c, F.col("n") - 1))
+        return linear.gram(df, errors[:-1], errors[-1], by).select(*names(by), "n", "mean", cov.alias("cov"))
     d = range(len(errors))
     pair = lambda i, j: F.covar_samp(errors[min(i, j)], errors[max(i, j)])
     cells = [pair(i, j).alias(f"c{i}_{j}") for i in d for j in d if i <= j]

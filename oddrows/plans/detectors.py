@@ -9,7 +9,7 @@ from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, nearest, neighbours, sequence, stats, thresholds
 from oddrows.operators.forest import SPARE
 from oddrows.operators.scaling import zscore_apply, zscore_fit
-from oddrows.plans.registry import H, R, Tables, U, least_squares_sql, query
+from oddrows.plans.registry import H, R, Tables, U, least_squares_sql, mahalanobis_sql, query
 from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, daily, day_text, early, hourly, train_rows
 from oddrows.operators.text import build_vocabulary, hash_vectors, pooled_text_vector
 from oddrows.plans.tables import DATED_SQL, KEYED_SQL, dated_texts, keyed, vocabulary_sql, words_sql
@@ -489,26 +489,24 @@ def _(t: Tables):
     return out.select(F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n", "predict")
 
 
-ERRORS_SQL = f"""WITH o AS (SELECT event_id, user_id, event_type, ts, value - lag(value, 1) OVER ({W}) AS e1,
-    value - lag(value, 2) OVER ({W}) AS e2 FROM events)"""
+STEPS = range(1, 11)
+ERRORS = [f"e{h}" for h in STEPS]
+ERRORS_SQL = f"""WITH o AS (SELECT event_id, user_id, event_type, ts, {', '.join(f'value - lag(value, {h}) OVER ({W}) AS e{h}' for h in STEPS)} FROM events)"""
 
 
 def horizon_errors(t: Tables):
-    """Errors of the naive 1- and 2-step forecasts of every event."""
-    out = sequence.lag_matrix(t.events, "value", [1, 2], "ts", "user_id")
-    return out.select("event_id", "user_id", "event_type", "ts", (F.col("value") - F.col("value_lag_1")).alias("e1"),
-                      (F.col("value") - F.col("value_lag_2")).alias("e2"))
+    """Errors of the naive forecasts 1 to 10 rows ahead of every event."""
+    out = sequence.lag_matrix(t.events, "value", list(STEPS), "ts", "user_id")
+    return out.select("event_id", "user_id", "event_type", "ts", *[(F.col("value") - F.col(f"value_lag_{h}")).alias(f"e{h}") for h in STEPS])
 
 
-@query("gaussian_residual_score", f"""{ERRORS_SQL}, m AS (SELECT event_type, avg(e1) AS m1, avg(e2) AS m2, var_samp(e1) AS a, covar_samp(e1, e2) AS b,
-    var_samp(e2) AS c FROM o WHERE ts < TIMESTAMP '2024-01-16' AND e1 IS NOT NULL AND e2 IS NOT NULL GROUP BY 1)
-    SELECT event_id, {R('(c * pow(e1 - m1, 2) - 2 * b * (e1 - m1) * (e2 - m2) + a * pow(e2 - m2, 2)) / (a * c - b * b)', 5)} AS score
-    FROM o JOIN m USING (event_type)""", digits=5)
+@query("gaussian_residual_score", f"""{ERRORS_SQL}, {mahalanobis_sql('SELECT * FROM o', ['event_id'], ERRORS, 'event_type', "ts < TIMESTAMP '2024-01-16'")}
+    SELECT event_id, {R('score', 5)} AS score FROM scored""", digits=5)
 def _(t: Tables):
-    errors = horizon_errors(t)
+    errors = horizon_errors(t).dropna(subset=ERRORS)
     train = errors.filter(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16'"))
-    params = stats.error_mean_cov(train, ["e1", "e2"], "event_type")
-    return forecast.gaussian_score(errors, params, ["e1", "e2"], "event_type", ridge=0.0).select("event_id", "score")
+    params = stats.error_mean_cov(train, ERRORS, "event_type")
+    return forecast.gaussian_score(errors, params, ERRORS, "event_type", ridge=0.0).select("event_id", "score")
 
 
 @query("adaptive_threshold", f"""{ERRORS_SQL}, s AS (SELECT event_id, ts, abs(e1) AS score, abs(e2) AS f FROM o WHERE e1 IS NOT NULL AND e2 IS NOT NULL),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.lineage import written
 from oddrows.operators import cleaning, clustering, evaluation, forecast, forest, joins, linear, scaling, sequence, stats, thresholds
-from oddrows.plans.registry import R, Tables, least_squares_sql, query
+from oddrows.plans.registry import least_squares_sql, mahalanobis_sql, query, R, Tables
 from oddrows.plans.scores import best_sweep, best_sweep_sql
 from oddrows.plans.series import W
 from oddrows.plans.tables import DATED_SQL, dated_texts
@@ -63,7 +63,9 @@ def _(t: Tables):
 
 # ---------------------------------------------------------------- labelled channels
 
-HORIZONS = 2
+HORIZONS = 10
+ERRORS = [f"e{h}" for h in range(1, HORIZONS + 1)]
+LABELS = "(value > 60)::INT AS label"
 
 
 def channel_errors(rows: DataFrame, series: str, order_by: str, value: str, steps: int = HORIZONS) -> DataFrame:
@@ -72,38 +74,36 @@ def channel_errors(rows: DataFrame, series: str, order_by: str, value: str, step
     return lagged.withColumns({f"e{h}": F.col(value) - F.col(f"{value}_lag_{h}") for h in range(1, steps + 1)})
 
 
-@query("channel_flow", f"""WITH l AS (SELECT *, (value > 60)::INT AS label, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'train' ELSE 'test' END AS split FROM events),
+def errors_sql(value: str, source: str, keep: str) -> str:
+    return f"SELECT {keep}, {', '.join(f'{value} - lag({value}, {h}) OVER ({W}) AS e{h}' for h in range(1, HORIZONS + 1))} FROM {source}"
+
+
+@query("channel_flow", f"""WITH l AS (SELECT *, {LABELS}, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 'train' ELSE 'test' END AS split FROM events),
     c AS (SELECT event_type, avg(value) AS m, stddev_samp(value) AS s FROM l WHERE split = 'train' GROUP BY 1),
-    z AS (SELECT l.*, (value - m) / s AS z FROM l JOIN c USING (event_type)),
-    e AS (SELECT *, z - lag(z, 1) OVER ({W}) AS e1, z - lag(z, 2) OVER ({W}) AS e2 FROM z),
-    p AS (SELECT event_type, avg(e1) AS m1, avg(e2) AS m2, var_samp(e1) AS a, covar_samp(e1, e2) AS b, var_samp(e2) AS c
-        FROM e WHERE split = 'train' AND e1 IS NOT NULL AND e2 IS NOT NULL GROUP BY 1),
-    g AS (SELECT event_type, label, (c * pow(e1 - m1, 2) - 2 * b * (e1 - m1) * (e2 - m2) + a * pow(e2 - m2, 2)) / (a * c - b * b) AS score
-        FROM e JOIN p USING (event_type) WHERE split = 'test' AND e1 IS NOT NULL AND e2 IS NOT NULL)
-    SELECT event_type, count(*) FILTER (score > 6 AND label = 1)::BIGINT AS tp, count(*) FILTER (score > 6 AND label <> 1)::BIGINT AS fp,
-    count(*) FILTER (score <= 6 AND label = 1)::BIGINT AS fn, count(*) FILTER (score <= 6 AND label <> 1)::BIGINT AS tn FROM g GROUP BY 1""")
+    z AS (SELECT l.*, (value - m) / s AS z FROM l JOIN c USING (event_type)), e AS ({errors_sql('z', 'z', 'event_type, label, split')}),
+    {mahalanobis_sql('SELECT * FROM e', ['label', 'split'], ERRORS, 'event_type', "split = 'train'")}
+    SELECT event_type, count(*) FILTER (score > 20 AND label = 1)::BIGINT AS tp, count(*) FILTER (score > 20 AND label <> 1)::BIGINT AS fp,
+    count(*) FILTER (score <= 20 AND label = 1)::BIGINT AS fn, count(*) FILTER (score <= 20 AND label <> 1)::BIGINT AS tn FROM scored WHERE split = 'test' GROUP BY 1""")
 def _(t: Tables):
-    """Label, split, standardise on train, multi-horizon errors, Gaussian score, confusion per channel."""
+    """Label, split, standardise on train, errors 1 to 10 rows ahead, Gaussian score, confusion per channel."""
     split = F.when(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-16'"), "train").otherwise("test")
     rows = t.events.select("event_id", "user_id", "event_type", "ts", "value", split.alias("split"),
                            (F.col("value") > 60).cast("int").alias("label"))
     scaled = scaling.zscore_apply(rows, scaling.zscore_fit(rows.filter("split = 'train'"), "value", "event_type", ddof=1),
                                   "value", "event_type")
-    errors = channel_errors(scaled, "user_id", "ts", "value").dropna(subset=["e1", "e2"])
-    params = stats.error_mean_cov(errors.filter("split = 'train'"), ["e1", "e2"], "event_type")
-    scored = forecast.gaussian_score(errors.filter("split = 'test'"), params, ["e1", "e2"], "event_type", ridge=0.0)
-    return evaluation.confusion_matrix(thresholds.flag_above(scored, 6.0), "is_outlier", "label", "event_type")
+    errors = written(channel_errors(scaled, "user_id", "ts", "value").dropna(subset=ERRORS))
+    params = stats.error_mean_cov(errors.filter("split = 'train'"), ERRORS, "event_type")
+    scored = forecast.gaussian_score(errors.filter("split = 'test'"), params, ERRORS, "event_type", ridge=0.0)
+    return evaluation.confusion_matrix(thresholds.flag_above(scored, 20.0), "is_outlier", "label", "event_type")
 
 
-@query("channel_fbeta_best", f"""WITH e AS (SELECT (value > 60)::INT AS label, value - lag(value, 1) OVER ({W}) AS e1, value - lag(value, 2) OVER ({W}) AS e2 FROM events),
-    u AS (SELECT * FROM e WHERE e1 IS NOT NULL AND e2 IS NOT NULL),
-    m AS (SELECT avg(e1) AS m1, avg(e2) AS m2, var_samp(e1) AS a, covar_samp(e1, e2) AS b, var_samp(e2) AS c FROM u),
-    {best_sweep_sql("SELECT label, (c * pow(e1 - m1, 2) - 2 * b * (e1 - m1) * (e2 - m2) + a * pow(e2 - m2, 2)) / (a * c - b * b) AS score FROM u, m")}""")
+@query("channel_fbeta_best", f"""WITH e AS ({errors_sql('value', 'events', f'{LABELS}, 1 AS one')}), {mahalanobis_sql('SELECT * FROM e', ['label'], ERRORS, 'one')},
+    {best_sweep_sql("SELECT label, score FROM scored")}""")
 def _(t: Tables):
     """Best F-beta over 1,000 log-spaced thresholds of the Gaussian score of one-channel errors."""
     rows = t.events.select("event_id", "user_id", "ts", "value", (F.col("value") > 60).cast("int").alias("label"))
-    errors = channel_errors(rows, "user_id", "ts", "value").dropna(subset=["e1", "e2"])
-    scored = forecast.gaussian_score(errors, stats.error_mean_cov(errors, ["e1", "e2"]), ["e1", "e2"], ridge=0.0)
+    errors = written(channel_errors(rows, "user_id", "ts", "value").dropna(subset=ERRORS))
+    scored = forecast.gaussian_score(errors, stats.error_mean_cov(errors, ERRORS), ERRORS, ridge=0.0)
     return best_sweep(written(scored.select("score", "label")))
 
 

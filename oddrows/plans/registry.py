@@ -92,3 +92,22 @@ def digest(vector: str = "vec") -> Column:
 def word_vector_sql(vocabulary: str) -> str:
     """word, i, x of the words of a table: what `hash_vectors` makes."""
     return f"SELECT word, i, {U("'0:' || i || ':' || word")} - 0.5 AS x FROM ({vocabulary}), range({DIM}) r(i)"
+
+
+def mahalanobis_sql(source: str, keep: list[str], errors: list[str], by: str, fit: str = "TRUE") -> str:
+    """CTEs ending in `scored`: the kept columns and `score`, the squared distance of the errors to those of the rows of `fit` in their group.
+    Each error is cleared of the ones before it; what is left of all of them is independent."""
+    kept = ", ".join([*keep, by])
+    whole = " AND ".join(f"{e} IS NOT NULL" for e in errors)
+    centred = ", ".join(f"{e} - avg({e}) FILTER ({fit}) OVER (PARTITION BY {by}) AS {e}" for e in errors)
+    parts = [f"g_s AS MATERIALIZED (SELECT *, ({fit})::BOOL AS fit_ FROM ({source}) WHERE {whole})",
+             f"g_0 AS MATERIALIZED (SELECT {kept}, fit_, {centred.replace(f'FILTER ({fit})', 'FILTER (fit_)')} FROM g_s)"]
+    for k, q in enumerate(errors):
+        left = errors[k + 1:]
+        slopes = ", ".join([f"sum({q} * {e}) FILTER (fit_) / sum({q} * {q}) FILTER (fit_) AS b_{e}" for e in left]
+                           + [f"sum({q} * {q}) FILTER (fit_) / (count(*) FILTER (fit_) - 1) AS v_"])
+        taken = ", ".join([f"{e} - b_{e} * {q} AS {e}" for e in left] + [f"{q} * {q} / v_ AS s_{q}"] + [f"s_{e}" for e in errors[:k]])
+        own = ", ".join(f"g_{k}.{c.split()[-1]}" for c in [*keep, by])
+        parts.append(f"g_{k + 1} AS MATERIALIZED (SELECT {own}, fit_, {taken} FROM g_{k} JOIN (SELECT {by} AS by_, {slopes} FROM g_{k} GROUP BY 1) ON by_ = {by})")
+    parts.append(f"scored AS (SELECT {kept}, fit_, {' + '.join(f's_{e}' for e in errors)} AS score FROM g_{len(errors)})")
+    return ", ".join(parts)

@@ -148,31 +148,32 @@ def _(t: Tables):
     return t.events.filter("event_type = 'error'").orderBy("event_id").limit(145).select("event_id", "value")
 
 
+AHEAD = range(1, 11)
+ALL_STEPS = " + ".join(f"p_{h}" for h in AHEAD)
 HORIZON_SQL = f"""WITH o AS (SELECT user_id, value, row_number() OVER ({W}) - 1 AS p FROM events),
-    h AS (SELECT user_id, p AS origin, value + 0.1 * h AS predicted, h FROM o, (VALUES (1), (2), (3)) s(h)),
-    a AS (SELECT user_id, origin + h AS target_pos, max(predicted) FILTER (h = 1) AS p_1, max(predicted) FILTER (h = 2) AS p_2,
-        max(predicted) FILTER (h = 3) AS p_3 FROM h GROUP BY 1, 2)
-    SELECT user_id, target_pos, p_1, p_2, p_3 FROM a WHERE p_1 IS NOT NULL AND p_2 IS NOT NULL AND p_3 IS NOT NULL"""
+    h AS (SELECT user_id, p AS origin, value + 0.1 * h AS predicted, h FROM o, (VALUES {', '.join(f'({h})' for h in AHEAD)}) s(h)),
+    a AS (SELECT user_id, origin + h AS target_pos, {', '.join(f'max(predicted) FILTER (h = {h}) AS p_{h}' for h in AHEAD)} FROM h GROUP BY 1, 2)
+    SELECT * FROM a WHERE {' AND '.join(f'p_{h} IS NOT NULL' for h in AHEAD)}"""
 
 
 def horizons(t: Tables):
-    """Naive forecasts for 1..3 rows ahead: the last value and a small drift per step."""
+    """Naive forecasts for 1..10 rows ahead: the last value and a small drift per step."""
     from oddrows.functions.ordering import with_position
     placed = with_position(t.events.select("user_id", "ts", "value"), "ts", "user_id", "origin")
-    steps = placed.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    steps = placed.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(len(AHEAD)))))
     steps = steps.withColumn("predicted", F.col("value") + 0.1 * F.col("horizon"))
-    return placed, sequence.multi_horizon_align(steps, "origin", "horizon", "predicted", 3, "user_id")
+    return placed, sequence.multi_horizon_align(steps, "origin", "horizon", "predicted", len(AHEAD), "user_id")
 
 
-@query("multi_horizon_align", f"""SELECT user_id, target_pos::BIGINT AS target_pos, {R('(p_1 + p_2 + p_3) / 3')} AS mean_prediction,
-    {R('p_1')} AS one_step, {R('p_3')} AS n_step FROM ({HORIZON_SQL})""")
+@query("multi_horizon_align", f"""SELECT user_id, target_pos::BIGINT AS target_pos, {R(f'({ALL_STEPS}) / {len(AHEAD)}')} AS mean_prediction,
+    {R('p_1')} AS one_step, {R(f'p_{len(AHEAD)}')} AS n_step FROM ({HORIZON_SQL})""")
 def _(t: Tables):
     return horizons(t)[1].select("user_id", "target_pos", "mean_prediction", "one_step", "n_step")
 
 
 @query("horizon_error_profile", f"""WITH a AS ({HORIZON_SQL}), o AS (SELECT user_id, value, row_number() OVER ({W}) - 1 AS p FROM events)
     SELECT a.user_id, target_pos::BIGINT AS target_pos,
-    {R('(abs(p_1 - value) + abs(p_2 - value) + abs(p_3 - value)) / 3 * (SELECT stddev_samp(value) FROM events)')} AS error_profile
+    {R('(' + ' + '.join(f'abs(p_{h} - value)' for h in AHEAD) + f') / {len(AHEAD)} * (SELECT stddev_samp(value) FROM events)')} AS error_profile
     FROM a JOIN o ON a.user_id = o.user_id AND target_pos = p""")
 def _(t: Tables):
     from oddrows.operators.evaluation import horizon_error_profile
@@ -180,7 +181,7 @@ def _(t: Tables):
     truth = placed.select("user_id", F.col("origin").alias("target_pos"), "value")
     both = aligned.join(truth, ["user_id", "target_pos"])
     scale = t.events.agg(F.stddev_samp("value")).scalar()
-    return horizon_error_profile(both, "value", ["p_1", "p_2", "p_3"], scale).select("user_id", "target_pos", "error_profile")
+    return horizon_error_profile(both, "value", [f"p_{h}" for h in AHEAD], scale).select("user_id", "target_pos", "error_profile")
 
 
 @query("difference", f"""SELECT event_id, {R('d')} AS d1, {R('d - lag(d, 12) OVER (PARTITION BY user_id ORDER BY ts)')} AS d1_12
