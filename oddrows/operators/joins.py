@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oddrows.functions.columns import names, scalar
+from oddrows.functions.lineage import written
+from oddrows.functions.ordering import HOT_ROWS, carried
 from oddrows.functions.sizes import broadcast_if_small
 from oddrows.operators.stats import concat_text_by_key
 
@@ -33,51 +35,63 @@ def match_label_timestamps(df: DataFrame, labels: DataFrame, on: str | Sequence[
     return df.join(labels.select(*names(on)).distinct(), names(on), "left_semi")
 
 
-#: buckets the whole span of the ranges is cut to
-RANGE_BUCKETS = 4_096
+#: segments of all files up to which they go to the tasks, where a row looks through those of its file
+FEW_SEGMENTS = 512
 
 
-def _bucket_width(ranges: DataFrame) -> int:
-    span = ranges.agg((F.max("hi") - F.min("lo")).alias("span")).first()["span"]  # one row
-    return max(1, (span or 0) // RANGE_BUCKETS + 1)
+def disjoint_segments(ranges: DataFrame, on: str | Sequence[str] | None = None) -> DataFrame:
+    """The union of each file's ranges as disjoint segments `lo, hi`: one sweep in order of `lo` that opens a segment where no earlier
+    range reaches. Ranges that only touch stay apart; empty ones and those with a null end are left out."""
+    keys = names(on)
+    past = Window.partitionBy(*keys).orderBy("lo", "hi")
+    reach = F.max("hi").over(past.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ranges.filter("lo < hi").select(*keys, "lo", "hi", (F.coalesce(F.col("lo") >= reach, F.lit(True))).cast("int").alias("_opens"))
+    numbered = opened.withColumn("_segment", F.sum("_opens").over(past.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*keys, "_segment").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_segment")
 
 
-def _ranges_by_bucket(ranges: DataFrame, on: list[str], width: int, extra: list[str]) -> DataFrame:
-    cut = ranges.select(*on, "lo", "hi", *extra, F.explode(F.sequence(
-        F.floor(F.col("lo") / width), F.floor(F.col("hi") / width))).alias("_bucket"))
-    packed = F.collect_list(F.struct("lo", "hi", *extra)).alias("_ranges")
-    return broadcast_if_small(cut.groupBy(*on, "_bucket").agg(packed))
+def _inside(df: DataFrame, ranges: DataFrame, index: str, keys: list[str], first: bool, to: str, few: int, hot_rows: int | None) -> DataFrame:
+    """Add whether lo < index < hi (lo <= index with `first`) for a range of the row's keys.
+
+    A few segments go to the tasks. Many are met in an ordered merge: rows and segments are sorted by place together, and each row
+    sees the end of the last segment that began before it; a hot file is range-partitioned."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    segments = written(disjoint_segments(ranges.filter(known), keys))
+    i = F.col(index)
+    if segments.limit(few + 1).count() <= few:
+        lists = F.broadcast(segments.groupBy(*keys).agg(F.collect_list(F.struct("lo", "hi")).alias("_own")))
+        begun = (lambda r: r["lo"] <= i) if first else (lambda r: r["lo"] < i)
+        found = F.coalesce(F.exists("_own", lambda r: begun(r) & (i < r["hi"])), F.lit(False))
+        joined = df.join(lists, keys, "left") if keys else df.withColumn("_own", lists.select("_own").scalar())
+        return joined.select(*df.columns, found.alias(to))
+    order = {"_place": i, "_turn": F.lit(int(first))}
+    marks = segments.select(*keys, F.col("lo").alias("_place"), F.lit(1 - int(first)).alias("_turn"), F.col("hi").alias("_end"), F.lit(True).alias("_mark"))
+    both = df.withColumns(order).withColumn("_mark", F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    met = carried(both, [F.col("_place").asc_nulls_first(), F.col("_turn").asc()], back={"_reach": F.col("_end")}, series=keys, hot_rows=hot_rows)
+    return met.filter(~F.col("_mark")).select(*df.columns, F.coalesce(i < F.col("_reach"), F.lit(False)).alias(to))
 
 
 def label_by_ranges(
     df: DataFrame, ranges: DataFrame, index: str, on: str | Sequence[str] | None = None,
-    label: str = "label", width: int | None = None,
+    label: str = "label", few: int = FEW_SEGMENTS, hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """1 where lo < index < hi for any range of the row's file, else 0.
-
-    Ranges are cut to index buckets of `width` (default: the span in `RANGE_BUCKETS` parts), so
-    the join is an equi-join on (file, bucket) and overlapping ranges do not repeat rows."""
-    keys, width = names(on), width or _bucket_width(ranges)
-    cut = _ranges_by_bucket(ranges, keys, width, [])
-    i = F.col(index)
-    inside = F.exists("_ranges", lambda r: (r["lo"] < i) & (i < r["hi"]))
-    joined = df.withColumn("_bucket", F.floor(i / width)).join(cut, [*keys, "_bucket"], "left")
-    return joined.withColumn(label, F.coalesce(inside, F.lit(False)).cast("int")).select(*df.columns, label)
+    """1 where lo < index < hi for any range of the row's file, else 0 (also where the index or the file is null)."""
+    out = _inside(df, ranges, index, names(on), False, "_inside", few, hot_rows)
+    return out.select(*df.columns, F.col("_inside").cast("int").alias(label))
 
 
 def split_by_ranges(
     df: DataFrame, ranges: DataFrame, index: str, on: str | Sequence[str] | None = None,
-    split: str = "split", width: int | None = None,
+    split: str = "split", few: int = FEW_SEGMENTS, hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Split name of the half-open range lo <= index < hi; rows outside every range are left
     out, a row inside the ranges of two splits appears in both."""
-    keys, width = names(on), width or _bucket_width(ranges)
-    cut = _ranges_by_bucket(ranges, keys, width, [split])
-    i = F.col(index)
-    hits = F.filter("_ranges", lambda r: (r["lo"] <= i) & (i < r["hi"]))
-    joined = df.withColumn("_bucket", F.floor(i / width)).join(cut, [*keys, "_bucket"])
-    found = F.array_distinct(F.transform(hits, lambda r: r[split]))
-    return joined.select(*df.columns, F.explode(found).alias(split))
+    keys = names(on)
+    offered = broadcast_if_small(written(ranges.select(*keys, split).distinct()))  # the splits of each file
+    rows = df.join(offered, keys) if keys else df.withColumn(split, F.explode(offered.agg(F.collect_set(split)).scalar()))
+    return _inside(rows, ranges, index, [*keys, split], True, "_inside", few, hot_rows).filter("_inside").select(*df.columns, split)
 
 
 def broadcast_group_stat(df: DataFrame, stats: DataFrame, on: str | Sequence[str]) -> DataFrame:

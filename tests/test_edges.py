@@ -60,7 +60,7 @@ def test_missing_counts_nan(spark):
 def test_overlapping_ranges_do_not_repeat(spark):
     rows = spark.range(100).withColumn("f", F.lit("a"))
     ranges = spark.createDataFrame([("a", 10, 20), ("a", 15, 40), ("b", 0, 99)], "f string, lo bigint, hi bigint")
-    out = joins.label_by_ranges(rows, ranges, "id", "f", width=7)
+    out = joins.label_by_ranges(rows, ranges, "id", "f", few=0)
     assert out.count() == 100
     assert {r["id"] for r in out.filter("label = 1").collect()} == set(range(11, 40))
 
