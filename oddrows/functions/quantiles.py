@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.columns import names
 from oddrows.functions.lineage import written
-from oddrows.functions.ordering import HOT_ROWS, largest_group, prefix_sums
+from oddrows.functions.ordering import HOT_ROWS, prefix_sums
+from oddrows.functions.sizes import with_params
 
 
 def quantiles(
@@ -46,16 +47,12 @@ def quantiles(
         ends.append(F.struct(
             *[F.when(whole, F.min(x)).otherwise(sketch[j]).alias(f"low{j}") for j in range(len(probs))],
             *[F.when(whole, F.max(x)).otherwise(sketch[len(probs) + j]).alias(f"high{j}") for j in range(len(probs))]))
-    brackets = df.groupBy(*groups).agg(F.array(*ends).alias("_b"))
+    brackets = written(df.groupBy(*groups).agg(F.array(*ends).alias("_b"), F.count(F.lit(1)).alias("_rows")))
     values = F.array(*[F.struct(F.lit(i).alias("i"), x.alias("x")) for i, x in enumerate(xs)])
-    if groups:
-        side = brackets.select("_b", *[F.col(g).alias(f"_g_{g}") for g in groups])
-        match = F.lit(True)
-        for g in groups:
-            match = match & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        seen = df.select(*groups, *cols).join(side, match).select(*groups, "_b", F.inline(values))
+    if groups:  # the brackets go to the rows, which stay where they are
+        seen = with_params(df.select(*groups, *cols), brackets.drop("_rows"), groups, "inner").select(*groups, "_b", F.inline(values))
     else:
-        seen = df.select(F.inline(values)).withColumn("_b", brackets.scalar())
+        seen = df.select(F.inline(values)).withColumn("_b", brackets.select("_b").scalar())
     # A value stands for itself inside a bracket, else for the nearest bracket end below it.
     # Ordered by (key, after) the counts add up to exact ranks.
     at_column = seen.filter(F.col("x").isNotNull()).withColumn("_e", F.element_at("_b", F.col("i") + 1))
@@ -69,7 +66,8 @@ def quantiles(
     counted = rows.groupBy(*groups, "i", "key", "after").agg(
         F.count(F.lit(1)).alias("rows"))
     part = [*groups, "i"]
-    if hot_rows is None or largest_group(df, groups) * min(1.0, 2 * wide * len(probs)) <= hot_rows:
+    largest = None if hot_rows is None else brackets.agg(F.max("_rows")).first()[0] or 0
+    if hot_rows is None or largest * min(1.0, 2 * wide * len(probs)) <= hot_rows:
         w = Window.partitionBy(*part)
         upto = w.orderBy("key", "after").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = counted.withColumns({"cum": F.sum("rows").over(upto), "n": F.sum("rows").over(w)})

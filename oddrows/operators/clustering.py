@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -33,19 +35,32 @@ class Centroids:
         return df.sparkSession.createDataFrame(rows, "cluster int, centre array<double>, size bigint")
 
 
-def _numbered(points: DataFrame, cols: list[str], centres: list[list[float]]) -> DataFrame:
-    """`assign_nearest` for many rounds: the centres are one array constant, which generated code refers to instead of
-    spelling it out, so that all rounds share the compiled code of the first."""
-    flat, d = F.lit([float(v) for c in centres for v in c]), len(cols)
-    far = {f"_d{i}": F.sqrt(sum((F.pow(F.col(c) - F.get(flat, F.lit(i * d + j)), F.lit(2.0)) for j, c in enumerate(cols)), F.lit(0.0)))
-           for i in range(len(centres))}
-    out = points.withColumns(far)
-    nearest = F.least(*far) if len(far) > 1 else F.col("_d0")
-    out = out.withColumn("distance", nearest)
-    number = F.lit(None).cast("int")
-    for i in reversed(range(len(centres))):
-        number = F.when(F.col(f"_d{i}") == F.col("distance"), F.lit(i)).otherwise(number)
-    return out.select(*cols, "distance", number.alias("cluster"))
+def _round(points: DataFrame, centres: list[list[float]]) -> dict[int, tuple[int, float, list[float]]]:
+    """Rows, loss and new centre of every cluster that has rows: every task adds up its Arrow batches as differences from the
+    centres, and k short rows a task are summed. A plan without numbers of the round in it costs nothing to compile again."""
+    now = np.array(centres, float)
+    k, d = now.shape
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, loss, sums = np.zeros(k, np.int64), np.zeros(k), np.zeros((k, d))
+        step = max(1, 2_000_000 // (k * d))
+        for batch in batches:
+            whole = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            for at in range(0, len(whole), step):
+                x = whole[at: at + step]
+                squares = ((x[:, None, :] - now[None, :, :]) ** 2).sum(axis=2)
+                own = squares.argmin(axis=1)  # the lowest number on ties
+                count += np.bincount(own, minlength=k)
+                loss += np.bincount(own, squares[np.arange(len(own)), own], minlength=k)
+                for j in range(d):
+                    sums[:, j] += np.bincount(own, x[:, j] - now[own, j], minlength=k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(count), pa.array(loss), pa.array(sums.tolist(), pa.list_(pa.float64()))],
+                                         ["cluster", "size", "loss", "sums"])
+
+    parts = points.mapInArrow(add, "cluster int, size long, loss double, sums array<double>").filter("size > 0")
+    rows = parts.groupBy("cluster").agg(F.sum("size").alias("size"), F.sum("loss").alias("loss"),
+                                        F.array(*[F.sum(F.col("sums")[j]) for j in range(d)]).alias("sums")).collect()
+    return {r["cluster"]: (r["size"], r["loss"], [c + s / r["size"] for c, s in zip(centres[r["cluster"]], r["sums"])]) for r in rows}
 
 
 def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int | None = None, tolerance: float = 1e-9) -> Centroids:
@@ -58,29 +73,25 @@ def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int | None
     there are exactly that many rounds, converged or not."""
     cols = list(columns)
     probs = [(i + 0.5) / k for i in range(k)]
-    points = written(df.select(*cols).dropna())  # read once per round
+    points = written(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())  # read once per round
     start = {(r["column"], round(r["prob"], 9)): r["value"] for r in quantiles(points, cols, probs).collect()}
     centres = [[start[(c, round(p, 9))] for c in cols] for p in probs]
     ends = points.agg(*[F.max(c) - F.min(c) for c in cols]).first() if iterations is None else []
     limits = [tolerance * float(e or 0) for e in ends]
     history, sizes, step = [], [0] * k, 0
     while True:
-        rows = _numbered(points, cols, centres).groupBy("cluster").agg(
-            F.count(F.lit(1)).alias("size"), F.sum(F.col("distance") * F.col("distance")).alias("loss"),
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).collect()
-        history.append((step, float(sum(r["loss"] for r in rows))))
-        last, sizes = sizes, [0] * k
-        for r in rows:
-            sizes[r["cluster"]] = r["size"]
+        found = _round(points, centres)
+        history.append((step, float(sum(loss for _, loss, _ in found.values()))))
+        last, sizes = sizes, [found[i][0] if i in found else 0 for i in range(k)]
         if iterations is None:
-            moved = any(abs(r[f"m{i}"] - centres[r["cluster"]][i]) > limits[i] for r in rows for i in range(len(cols)))
+            moved = any(abs(m - c) > limit for i, (_, _, new) in found.items() for m, c, limit in zip(new, centres[i], limits))
             done = not moved or (step > 0 and sizes == last and history[-1][1] >= history[-2][1])
         else:
             done = step == iterations
         if done:
             break
-        for r in rows:
-            centres[r["cluster"]] = [r[f"m{i}"] for i in range(len(cols))]
+        for i, (_, _, new) in found.items():
+            centres[i] = new
         step += 1
     return Centroids(cols, centres, sizes, history)
 

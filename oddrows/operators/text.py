@@ -100,13 +100,14 @@ def pooled_text_vector(
 
     Words are joined with their vectors and pooled per key and text by one vector aggregate, however many
     numbers a vector has; no vector comes to the driver."""
-    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).distinct()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # short texts mean much arithmetic: no coalescing
+    texts = df.select(F.col(key).alias("_key"), F.col(text).alias("_text")).repartition(tasks, "_key", "_text").distinct()
     spread = texts.select("*", F.explode(words("_text")).alias("word"))
     # one row per text and word first: repeated words weigh by their count
-    counted = spread.groupBy("_key", "_text", "word").agg(F.count(F.lit(1)).cast("double").alias("c")).join(vectors, "word")
-    numbers = array_to_vector(F.slice(F.col("vec").cast("array<double>"), 1, dim))
-    pooled = counted.groupBy("_key", "_text").agg(
-        Summarizer.mean(numbers, F.col("c")).alias("_v") if how == "mean" else Summarizer.max(numbers).alias("_v"))
+    counted = spread.groupBy("_key", "_text", "word").agg(F.count(F.lit(1)).cast("double").alias("c"))
+    numbers = vectors.select("word", array_to_vector(F.slice(F.col("vec").cast("array<double>"), 1, dim)).alias("_n"))
+    pooled = counted.join(numbers, "word").groupBy("_key", "_text").agg(
+        Summarizer.mean(F.col("_n"), F.col("c")).alias("_v") if how == "mean" else Summarizer.max(F.col("_n")).alias("_v"))
     pooled = pooled.select("_key", "_text", vector_to_array("_v").alias(to))
     match = F.col(key).eqNullSafe(F.col("_key")) & F.col(text).eqNullSafe(F.col("_text"))
     return df.join(pooled, match, "left").drop("_key", "_text")
