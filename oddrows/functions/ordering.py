@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.columns import names
 from oddrows.functions.lineage import written
+from oddrows.functions.sizes import with_params
 
 #: rows of one series that a single window task may sort; pass `hot_rows=None` where the
 #: size has another proven bound (for example one row per calendar day).
@@ -116,20 +117,22 @@ def row_frames(
     before: int = 0,
     after: int = 0,
     hot_rows: int | None = HOT_ROWS,
+    placed: bool = False,
 ) -> tuple[DataFrame, WindowSpec, Callable[[DataFrame], DataFrame]]:
     """Table, ordered window and finisher for frames of `before`/`after` rows.
 
     Frames no wider than asked for give the same answer on both paths. Apply the window to
-    the returned table, then call the finisher, which drops halo rows and helper columns."""
+    the returned table, then call the finisher, which drops halo rows and helper columns. With
+    `placed` the order column holds the 0-based places already, so nothing is sorted for them again."""
     by, order = names(series), names(order_by)
     if fits_one_task(df, by, hot_rows):
         return df, Window.partitionBy(*by).orderBy(*order), lambda out: out
-    placed = with_position(df, order, by, "_pos", Split(hot_rows))
+    numbered = df.withColumn("_pos", F.col(order[0])) if placed else with_position(df, order, by, "_pos", Split(hot_rows))
     size = max(int(hot_rows), before + after + 1)
     chunk = F.floor(F.col("_pos") / size)
     lowest = F.greatest(F.floor((F.col("_pos") - after) / size), F.lit(0).cast("bigint"))
     highest = F.floor((F.col("_pos") + before) / size)
-    framed = placed.withColumn("_chunk", F.explode(F.sequence(lowest, highest))).withColumn(
+    framed = numbered.withColumn("_chunk", F.explode(F.sequence(lowest, highest))).withColumn(
         "_own", F.col("_chunk") == chunk
     )
     window = Window.partitionBy(*by, "_chunk").orderBy("_pos")
@@ -185,13 +188,8 @@ def carried(
 
 
 def with_series_size(df: DataFrame, series: str | list[str] | None = None, name: str = "n") -> DataFrame:
-    """Add the row count of each row's series, counted with a map-side combine."""
+    """Add the row count of each row's series, counted with a map-side combine and sent to the rows."""
     by = names(series)
     if not by:
         return df.withColumn(name, df.agg(F.count(F.lit(1))).scalar())
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(name))
-    sizes = sizes.select(name, *[F.col(c).alias(f"_z_{c}") for c in by])
-    match = F.lit(True)
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"_z_{c}"))
-    return df.join(sizes, match).drop(*[f"_z_{c}" for c in by])
+    return with_params(df, df.groupBy(*by).agg(F.count(F.lit(1)).alias(name)), by, "inner")

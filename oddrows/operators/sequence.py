@@ -58,7 +58,7 @@ def sliding_windows(
     """Windows of size + 1 rows every `step` rows: array `inputs` and the last value `target`."""
     hot_rows = settle(df, series, hot_rows)
     placed = with_position(df, names(order_by), series, "pos", hot_rows)
-    out, w, finish = row_frames(placed, "pos", series, after=size, hot_rows=hot_rows)
+    out, w, finish = row_frames(placed, "pos", series, after=size, hot_rows=hot_rows, placed=True)
     block = F.collect_list(F.struct(F.col(column).alias("v"))).over(w.rowsBetween(0, size))
     out = finish(out.withColumn("_w", block)).filter((F.size("_w") == size + 1) & (F.col("pos") % step == 0))
     values = F.transform("_w", lambda s: s["v"])
@@ -98,7 +98,7 @@ def shifted_chunks(
     """Chunk number, input and next value as target; the last row has no target and is left out."""
     hot_rows = settle(df, series, hot_rows)
     placed = with_position(df, names(order_by), series, "pos", hot_rows)
-    out, w, finish = row_frames(placed, "pos", series, after=1, hot_rows=hot_rows)
+    out, w, finish = row_frames(placed, "pos", series, after=1, hot_rows=hot_rows, placed=True)
     out = out.withColumns({"input": F.col(column), "target": F.lead(column, 1).over(w),
                            "_next": F.lead("pos", 1).over(w)})
     return finish(out).filter(F.col("_next").isNotNull()).withColumn(

@@ -77,10 +77,10 @@ BANDS_SQL = f"""{TREND_SQL}, e AS (SELECT date, total - trend AS error, (total -
         CASE WHEN impact <= 3 THEN 'NEGATIVE' WHEN impact >= 4 THEN 'POSITIVE' END AS region FROM i)"""
 
 
-def banded(t: Tables):
+def banded(t: Tables, missing_is_severe: bool = False):
     days = forecast.seasonal_forecast_residual(daily(t), "date", "total", early())
     days = days.select("date", F.col("total").alias("actuals"), F.col("trend").alias("predicted"))
-    return thresholds.rolling_error_bands(days, 7, hot_rows=None)  # one row per day
+    return thresholds.rolling_error_bands(days, 7, missing_is_severe=missing_is_severe, hot_rows=None)  # one row per day
 
 
 @query("rolling_error_bands", f"""{BANDS_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('error', 4)} AS error, {R('pc', 4)} AS percentage_change,
@@ -92,6 +92,16 @@ def _(t: Tables):
                       "impact", "color", "region", "anomaly_points")
 
 
+SEVERE_SQL = BANDS_SQL.replace("CASE WHEN d IS NULL THEN NULL WHEN d = 0 THEN 3 ELSE", "CASE WHEN d IS NULL OR d = 0 THEN 0 ELSE")
+
+
+@query("rolling_error_bands_missing", f"""{SEVERE_SQL} SELECT strftime(date, '%Y-%m-%d') AS date, {R('error', 4)} AS error, {R('m', 4)} AS meanval,
+    impact::INT AS impact, color::INT AS color, region, {R('CASE WHEN color = 3 THEN error END', 4)} AS anomaly_points FROM v""", digits=4)
+def _(t: Tables):
+    """Days before the window is full, or without deviation, count as severe."""
+    return day_text(banded(t, True)).select("date", "error", "meanval", "impact", "color", "region", "anomaly_points")
+
+
 @query("severity_counts", f"{BANDS_SQL} SELECT color::INT AS color, region, count(*)::BIGINT AS n FROM v GROUP BY 1, 2")
 def _(t: Tables):
     return stats.class_counts(banded(t), ["color", "region"])
@@ -426,31 +436,36 @@ def _(t: Tables):
     return forecast.ar_forecast(t.events, params, "value", 10, "ts").select("event_id", "predicted", "residual")
 
 
-def aic_sql() -> str:
-    diffs = f"""WITH d AS (SELECT hour, n - lag(n) OVER (ORDER BY hour) AS d FROM ({HOURLY_SQL})),
-        s AS (SELECT hour, d - lag(d, 12) OVER (ORDER BY hour) AS y FROM d),
-        l AS (SELECT y, lag(y, 1) OVER (ORDER BY hour) AS x1, lag(y, 12) OVER (ORDER BY hour) AS x2 FROM s),
-        u AS (SELECT * FROM l WHERE y IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL),
-        m AS (SELECT count(*) AS n, regr_syy(y, x1) AS yy, regr_sxx(y, x1) AS a, regr_sxx(y, x2) AS c, regr_sxy(y, x1) AS p,
-            regr_sxy(y, x2) AS q, regr_sxy(x1, x2) AS b FROM u),
-        r AS (SELECT 0 AS p, 0 AS "P", n, yy AS rss, 1 AS k FROM m
-          UNION ALL SELECT 1, 0, n, yy - p * p / a, 2 FROM m UNION ALL SELECT 0, 1, n, yy - q * q / c, 2 FROM m
-          UNION ALL SELECT 1, 1, n, yy - (p * p * c - 2 * p * q * b + q * q * a) / (a * c - b * b), 3 FROM m)"""
-    return diffs
+ORDERS = [(p, q) for p in range(3) for q in range(3)]
 
 
+def nine_sql() -> str:
+    """CTEs ending in `aics`: all nine candidates on the differenced hourly counts, c<p><q> being what a fit leaves."""
+    fits = ", ".join(least_squares_sql(f"c{p}{q}", "SELECT * FROM u", ["hour", "base", "y0"],
+                                       [*[f"x{i}" for i in range(1, p + 1)], *[f"x{12 * i}" for i in range(1, q + 1)]], "y") for p, q in ORDERS)
+    scores = " UNION ALL ".join(f"SELECT {p} AS p, {q} AS sp, sum(rest * rest) AS rss, count(*) AS n, count(*) * ln(sum(rest * rest) / count(*)) + {2 * (p + q + 1)} AS aic FROM c{p}{q}"
+                                for p, q in ORDERS)
+    return f"""WITH h AS ({HOURLY_SQL}), d AS (SELECT hour, n, n - lag(n) OVER (ORDER BY hour) AS d FROM h),
+        s AS (SELECT hour, n, d - lag(d, 12) OVER (ORDER BY hour) AS y FROM d),
+        l AS (SELECT hour, n - y AS base, y, y AS y0, {', '.join(f'lag(y, {k}) OVER (ORDER BY hour) AS x{k}' for k in (1, 2, 12, 24))} FROM s),
+        u AS (SELECT * FROM l WHERE x24 IS NOT NULL), {fits}, aics AS MATERIALIZED ({scores})"""
+
+
+def seasonal_sql() -> str:
+    """The forecasts of the best of the nine candidates."""
+    rows = " UNION ALL ".join(f"SELECT {p} AS p, {q} AS sp, hour, base + y0 - rest AS predict FROM c{p}{q}" for p, q in ORDERS)
+    return f"""{nine_sql()}, best AS (SELECT p, sp FROM aics ORDER BY aic, p, sp LIMIT 1), f AS (SELECT hour, predict FROM ({rows}) JOIN best USING (p, sp))
+        SELECT strftime(h.hour, '%Y-%m-%d %H') AS hour, n, {R('coalesce(predict, 0)', 5)} AS predict FROM h LEFT JOIN f ON f.hour = h.hour"""
 
 
-@query("seasonal_ar_table", f"{aic_sql().replace(chr(34) + 'P' + chr(34), 'sp')} SELECT p::INT AS ar_order, sp::INT AS seasonal_order, {R('rss', 3)} AS rss, n::BIGINT AS n, {R('n * ln(rss / n) + 2 * k', 3)} AS aic FROM r", digits=3)
+@query("seasonal_ar_table", f"{nine_sql()} SELECT p::INT AS ar_order, sp::INT AS seasonal_order, {R('rss', 3)} AS rss, n::BIGINT AS n, {R('aic', 3)} AS aic FROM aics", digits=3)
 def _(t: Tables):
-    table = forecast.seasonal_ar_table(hourly(t), "n", "hour", orders=(0, 1), seasonal=(0, 1), hot_rows=None)
-    return table.select("ar_order", "seasonal_order", "rss", "n", "aic")
+    return forecast.seasonal_ar_table(hourly(t), "n", "hour", hot_rows=None).select("ar_order", "seasonal_order", "rss", "n", "aic")
 
 
-@query("seasonal_ar_select", f"{aic_sql().replace(chr(34) + 'P' + chr(34), 'sp')}, a AS (SELECT p, sp, n * ln(rss / n) + 2 * k AS aic FROM r) SELECT p::INT AS ar_order, sp::INT AS seasonal_order, {R('aic', 3)} AS aic FROM a ORDER BY aic LIMIT 1", digits=3)
+@query("seasonal_ar_select", f"{nine_sql()} SELECT p::INT AS ar_order, sp::INT AS seasonal_order, {R('aic', 3)} AS aic FROM aics ORDER BY aic, p, sp LIMIT 1", digits=3)
 def _(t: Tables):
-    table = forecast.seasonal_ar_table(hourly(t), "n", "hour", orders=(0, 1), seasonal=(0, 1), hot_rows=None)
-    best = forecast.seasonal_ar_select(table)
+    best = forecast.seasonal_ar_select(forecast.seasonal_ar_table(hourly(t), "n", "hour", hot_rows=None))
     return best.select("ar_order", "seasonal_order", "aic")
 
 
@@ -464,23 +479,6 @@ def _(t: Tables):
     return out.select("event_type", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n", "predict")
 
 
-ORDERS = [(p, q) for p in range(3) for q in range(3)]
-
-
-def seasonal_sql() -> str:
-    """All nine candidates on the differenced hourly counts, the best one's forecasts."""
-    fits = ", ".join(least_squares_sql(f"c{p}{q}", "SELECT * FROM u", ["hour", "base", "y0"],
-                                       [*[f"x{i}" for i in range(1, p + 1)], *[f"x{12 * i}" for i in range(1, q + 1)]], "y") for p, q in ORDERS)
-    scores = " UNION ALL ".join(f"SELECT {p} AS p, {q} AS sp, count(*) * ln(sum(rest * rest) / count(*)) + {2 * (p + q + 1)} AS aic FROM c{p}{q}" for p, q in ORDERS)
-    rows = " UNION ALL ".join(f"SELECT {p} AS p, {q} AS sp, hour, base + y0 - rest AS predict FROM c{p}{q}" for p, q in ORDERS)
-    return f"""WITH h AS ({HOURLY_SQL}), d AS (SELECT hour, n, n - lag(n) OVER (ORDER BY hour) AS d FROM h),
-        s AS (SELECT hour, n, d - lag(d, 12) OVER (ORDER BY hour) AS y FROM d),
-        l AS (SELECT hour, n - y AS base, y, y AS y0, {', '.join(f'lag(y, {k}) OVER (ORDER BY hour) AS x{k}' for k in (1, 2, 12, 24))} FROM s),
-        u AS (SELECT * FROM l WHERE x24 IS NOT NULL), {fits}, best AS (SELECT p, sp FROM ({scores}) ORDER BY aic, p, sp LIMIT 1),
-        f AS (SELECT hour, predict FROM ({rows}) JOIN best USING (p, sp))
-        SELECT strftime(h.hour, '%Y-%m-%d %H') AS hour, n, {R('coalesce(predict, 0)', 5)} AS predict FROM h LEFT JOIN f ON f.hour = h.hour"""
-
-
 @query("seasonal_ar_predict_hourly", seasonal_sql(), digits=5)
 def _(t: Tables):
     series = hourly(t)

@@ -301,14 +301,17 @@ def _(t: Tables):
     return day_text(scaling.seasonal_detrend(daily(t), "date", "total", early(), first_day="1996-01-01")).select("date", "trend", "detrended")
 
 
+COPIES = 100
+
+
 def augmented(t: Tables):
     params = scaling.zscore_fit(t.events, ["value"], ddof=1)
     return scaling.noise_augment(t.events.select("event_id", "ts", "value", (F.col("event_type") == "error").cast("int").alias("label")),
-                                 ["value"], "ts", params, copies=4)
+                                 ["value"], "ts", params, copies=COPIES)
 
 
-@query("noise_augment_labels", """SELECT copy::INT AS copy, (copy * n + p)::BIGINT AS row, event_id, label FROM (SELECT event_id,
-    (event_type = 'error')::INT AS label, row_number() OVER (ORDER BY ts) - 1 AS p, count(*) OVER () AS n FROM events), range(5) r(copy)""")
+@query("noise_augment_labels", f"""SELECT copy::INT AS copy, (copy * n + p)::BIGINT AS row, event_id, label FROM (SELECT event_id,
+    (event_type = 'error')::INT AS label, row_number() OVER (ORDER BY ts) - 1 AS p, count(*) OVER () AS n FROM events), range({COPIES + 1}) r(copy)""")
 def _(t: Tables):
     return augmented(t).select("copy", "row", "event_id", "label")
 
@@ -316,9 +319,9 @@ def _(t: Tables):
 NOISE_SQL = f"""sqrt(-2.0 * ln({U("'1:0:0:' || copy || ':' || p")})) * cos(2.0 * pi() * {U("'2:0:0:' || copy || ':' || p")})"""
 
 
-@query("noise_augment", f"""SELECT (copy * n + p)::BIGINT AS row, {R(f'CASE WHEN copy = 0 THEN value ELSE value + 0.05 * copy / 4 * s * {NOISE_SQL} END', 5)} AS value
+@query("noise_augment", f"""SELECT (copy * n + p)::BIGINT AS row, {R(f'CASE WHEN copy = 0 THEN value ELSE value + 0.05 * copy / {COPIES} * s * {NOISE_SQL} END', 5)} AS value
     FROM (SELECT value, row_number() OVER (ORDER BY ts) - 1 AS p, count(*) OVER () AS n, stddev_samp(value) OVER () AS s FROM events),
-    range(5) r(copy)""", digits=5)
+    range({COPIES + 1}) r(copy)""", digits=5)
 def _(t: Tables):
     return augmented(t).select("row", "value")
 

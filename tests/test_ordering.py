@@ -123,3 +123,14 @@ def test_top_fraction_matches_nlargest(spark):
     for f in (0.0, 0.01, 0.13, 0.5, 1.0):
         want = np.sort(x)[::-1][max(int(f * len(x)), 1) - 1]
         assert sequence.top_fraction_threshold(df, "x", f).first()["threshold"] == want
+
+
+@pytest.mark.parametrize("operator", [lambda df: sequence.sliding_windows(df, "x", 3, "t", hot_rows=5), lambda df: sequence.shifted_chunks(df, "x", 4, "t", hot_rows=5)])
+def test_windows_of_a_long_series_sort_it_once(spark, operator, monkeypatch):
+    """Places come from one range sort; the frames are cut from those places."""
+    from oddrows.functions import ordering
+    sorts, run = [], ordering.sorted_run
+    monkeypatch.setattr(ordering, "sorted_run", lambda *a: sorts.append(1) or run(*a))
+    out = operator(spark.range(60).selectExpr("id AS t", "id * 2.0 AS x"))
+    assert out.count() in (57, 59) and len(sorts) == 1
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
