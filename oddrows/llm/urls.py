@@ -52,7 +52,8 @@ def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) ->
 
 
 def _hashes(key: Column) -> list[Column]:
-    return [F.xxhash64(key).alias("_a"), F.xxhash64(key, F.lit(1)).alias("_b")]
+    # the constant comes first: as a seed of the key's hash it makes the two independent
+    return [F.xxhash64(key).alias("_a"), F.xxhash64(F.lit(1), key).alias("_b")]
 
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -148,8 +149,8 @@ def listed_rows(rows: DataFrame, key: str, listed: DataFrame, shard_keys: int =
     names = listed.select(F.col(listed.columns[0]).alias("_key")).distinct().withColumn("_listed", F.lit(True))
     universe = rows.select(F.col(key).alias("_key")).distinct().withColumn("_listed", F.lit(False))
     marked = names.unionByName(universe).groupBy("_key").agg(F.max("_listed").alias("_listed"))
-    shard = lambda k, n: F.pmod(F.xxhash64(F.col(k), F.lit(2)), F.lit(n))
-    keys = written(marked.select(*_hashes(F.col("_key")), "_listed", F.xxhash64(F.col("_key"), F.lit(2)).alias("_cut")))
+    shard = lambda k, n: F.pmod(F.xxhash64(F.lit(2), F.col(k)), F.lit(n))
+    keys = written(marked.select(*_hashes(F.col("_key")), "_listed", F.xxhash64(F.lit(2), F.col("_key")).alias("_cut")))
     count = max(1, -(-keys.filter("_listed").count() // shard_keys))
     judged = None
     for s in range(count):

@@ -213,6 +213,14 @@ def test_cascade_is_exact_in_shards(spark):
     assert not any(r.listed for r in none)
 
 
+def test_hashes_of_a_key_are_independent(spark):
+    """The second hash is no function of the first one, which it is if Spark chains it onto that."""
+    key = urls.F.col("id").cast("string")
+    rows = spark.range(20_000).select(*urls._hashes(key), urls.F.xxhash64(key, urls.F.lit(1)).alias("chained")).collect()
+    assert all(r["chained"] != r["_b"] for r in rows)
+    assert len({r["_b"] for r in rows}) == 20_000
+
+
 def test_url_edges(spark):
     pages = spark.createDataFrame(
         [(1, None, 0), (2, "no scheme", 0), (3, "HTTP://WWW.Example.COM/en/x?y#z", 0), (4, "http://a.net/es/", 0), (5, "http://a.net/de/", 0),
