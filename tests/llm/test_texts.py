@@ -17,7 +17,7 @@ def docs_of(spark, rows):
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_against_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = catalog.QUERIES[name](spark, FOLDER)
     cursor = db.execute(catalog.ORACLES[name])
