@@ -9,7 +9,7 @@ from oddrows.functions.lineage import written
 from oddrows.operators import clustering, forecast, forest, histogram, joins, linear, nearest, neighbours, sequence, stats, thresholds
 from oddrows.operators.forest import SPARE
 from oddrows.operators.scaling import zscore_apply, zscore_fit
-from oddrows.plans.registry import H, R, Tables, U, least_squares_sql, mahalanobis_sql, query
+from oddrows.plans.registry import H, R, Tables, U, components_sql, least_squares_sql, mahalanobis_sql, query
 from oddrows.plans.series import HOURLY_SQL, TREND_SQL, W, daily, day_text, early, hourly, train_rows
 from oddrows.operators.text import build_vocabulary, hash_vectors, pooled_text_vector
 from oddrows.plans.tables import DATED_SQL, KEYED_SQL, dated_texts, keyed, vocabulary_sql, words_sql
@@ -387,7 +387,11 @@ def _(t: Tables):
     return linear.reconstruction_error(rows, params, ["value", "k"]).select("event_id", "score")
 
 
-@query("sequence_reconstruction_error")
+@query("sequence_reconstruction_error", f"""WITH RECURSIVE {components_sql('SELECT embedding::DOUBLE[] AS x FROM embeddings WHERE label = 0',
+    'SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings', ['vec_id', 'label'], 8)},
+    s AS (SELECT vec_id, label, list_sum(list_transform(z, lambda v: abs(v))) AS score FROM left_),
+    h AS (SELECT quantile_cont(score, 0.98) AS threshold FROM s WHERE label = 0)
+    SELECT vec_id, label, {R('score')} AS score, (score > threshold)::INT AS is_outlier FROM s, h""")
 def _(t: Tables):
     """64-step sequences: fit on label 0 as the normal class, L1 error, threshold from its own quantile."""
     params = linear.pca_fit(t.embeddings.filter("label = 0"), "embedding", k=8, width=64)
@@ -396,12 +400,17 @@ def _(t: Tables):
     return thresholds.flag_above(scored, limit)
 
 
-@query("chunk_reconstruction_error")
+CHUNKS_SQL = """SELECT event_type, chunk, list(value ORDER BY p) AS x FROM (SELECT event_type, value, p, p // 64 AS chunk FROM (
+    SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS p FROM events)) GROUP BY 1, 2 HAVING count(*) = 64"""
+
+
+@query("chunk_reconstruction_error", f"""WITH RECURSIVE ch AS MATERIALIZED ({CHUNKS_SQL}), {components_sql('SELECT x FROM ch', 'SELECT * FROM ch', ['event_type', 'chunk'], 3)}
+    SELECT event_type, chunk::BIGINT AS chunk, {R('list_inner_product(z, z) / 64', 4)} AS score FROM left_""", digits=4)
 def _(t: Tables):
-    """Chunks of 8 values per user, squared error after 3 components."""
-    chunks = sequence.tumbling_chunks(t.events, "value", 8, "ts", "user_id")
-    params = linear.pca_fit(chunks, "values", k=3, width=8)
-    return linear.reconstruction_error(chunks, params, "values").select("user_id", "chunk", "score")
+    """Chunks of 64 values per kind of event, squared error after 3 components."""
+    chunks = written(sequence.tumbling_chunks(t.events, "value", 64, "ts", "event_type"))
+    params = linear.pca_fit(chunks, "values", k=3, width=64)
+    return linear.reconstruction_error(chunks, params, "values").select("event_type", "chunk", "score")
 
 
 AR1_SQL = f"""WITH l AS (SELECT hour, n, lag(n) OVER (ORDER BY hour) AS x FROM ({HOURLY_SQL})),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oddrows.functions.lineage import written
 from oddrows.operators import cleaning, clustering, evaluation, forecast, forest, joins, linear, scaling, sequence, stats, thresholds
-from oddrows.plans.registry import least_squares_sql, mahalanobis_sql, query, R, Tables
+from oddrows.plans.registry import components_sql, least_squares_sql, mahalanobis_sql, query, R, Tables, U
 from oddrows.plans.scores import best_sweep, best_sweep_sql
 from oddrows.plans.series import W
 from oddrows.plans.tables import DATED_SQL, dated_texts
@@ -110,7 +110,14 @@ def _(t: Tables):
 # ---------------------------------------------------------------- reconstruction error of labelled vectors
 
 
-@query("reconstruction_flow")
+@query("reconstruction_flow", f"""WITH RECURSIVE e AS MATERIALIZED (SELECT vec_id, (label = 9)::INT AS abnormal, embedding::DOUBLE[] AS x,
+        {U("'42:' || vec_id")} < 0.8 AS train FROM embeddings),
+    {components_sql('SELECT x FROM e WHERE train AND abnormal = 0', 'SELECT * FROM e WHERE NOT train', ['vec_id', 'abnormal'], 8)},
+    q AS (SELECT list_inner_product(z, z) / 64 AS score, abnormal FROM left_),
+    s AS (SELECT score, count(*) FILTER (abnormal = 1) AS pos, count(*) FILTER (abnormal <> 1) AS neg FROM q GROUP BY 1),
+    c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n FROM s WINDOW w AS (ORDER BY score DESC)),
+    g AS (SELECT tp / p AS y, fp / n AS x, lag(tp / p, 1, 0) OVER (ORDER BY score DESC) AS y0, lag(fp / n, 1, 0) OVER (ORDER BY score DESC) AS x0 FROM c)
+    SELECT {R('sum((x - x0) * (y + y0) / 2)')} AS auc, (SELECT count(*) FROM q)::BIGINT AS rows FROM g""")
 def _(t: Tables):
     """Hash split, components of the normal training rows, error of the test rows, area under the curve."""
     rows = t.embeddings.withColumn("abnormal", (F.col("label") == 9).cast("int"))

@@ -111,3 +111,26 @@ def mahalanobis_sql(source: str, keep: list[str], errors: list[str], by: str, fi
         parts.append(f"g_{k + 1} AS MATERIALIZED (SELECT {own}, fit_, {taken} FROM g_{k} JOIN (SELECT {by} AS by_, {slopes} FROM g_{k} GROUP BY 1) ON by_ = {by})")
     parts.append(f"scored AS (SELECT {kept}, fit_, {' + '.join(f's_{e}' for e in errors)} AS score FROM g_{len(errors)})")
     return ", ".join(parts)
+
+
+def components_sql(fit: str, rows: str, keep: list[str], count: int, width: int = 64) -> str:
+    """CTEs ending in `left_`: the kept columns of `rows` (x, a list of doubles) and z, what the first `count` principal components of
+    `fit` (x) leave of the centred x. The largest component is any row of the covariance matrix squared 34 times over; it is
+    then taken out of the matrix."""
+    spots = range(1, width + 1)
+    dot = lambda a, b: f"list_inner_product({a}, {b})"
+    trace = "list_sum(list_transform(m, lambda r, i: r[i]))"
+    parts = [f"fit_ AS MATERIALIZED ({fit})", f"mu_ AS MATERIALIZED (SELECT [{', '.join(f'avg(x[{i}])' for i in spots)}] AS mu FROM fit_)",
+             "mid_ AS MATERIALIZED (SELECT list_transform(x, lambda v, i: v - mu[i]) AS c FROM fit_, mu_)",
+             f"rows_ AS MATERIALIZED (SELECT i, [{', '.join(f'sum(c[i] * c[{j}])' for j in spots)}] AS r FROM mid_, range(1, {width + 1}) t(i) GROUP BY i)",
+             "m0_ AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM rows_)",
+             f"z0_ AS MATERIALIZED (SELECT {', '.join(keep)}, list_transform(x, lambda v, i: v - mu[i]) AS z FROM ({rows}), mu_)"]
+    for t in range(count):
+        parts.append(f"""p{t}_(step, m) AS (SELECT 0, m FROM m{t}_ UNION ALL SELECT step + 1, list_transform(n, lambda r: list_transform(n, lambda s: {dot('r', 's')}))
+            FROM (SELECT step, list_transform(m, lambda r: list_transform(r, lambda v: v / tr)) AS n FROM (SELECT step, m, {trace} AS tr FROM p{t}_ WHERE step < 34)))""")
+        parts.append(f"""v{t}_ AS MATERIALIZED (SELECT list_transform(r, lambda v: v / size) AS v FROM (SELECT r, sqrt({dot('r', 'r')}) AS size FROM (
+            SELECT m[list_position(d, list_max(d))] AS r FROM (SELECT m, list_transform(m, lambda r, i: r[i]) AS d FROM p{t}_ WHERE step = 34))))""")
+        parts.append(f"""m{t + 1}_ AS MATERIALIZED (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - l * v[i] * v[j])) AS m
+            FROM (SELECT m, v, {dot('v', f'list_transform(m, lambda r: {dot("r", "v")})')} AS l FROM m{t}_, v{t}_))""")
+        parts.append(f"z{t + 1}_ AS MATERIALIZED (SELECT * EXCLUDE (a, v) REPLACE (list_transform(z, lambda x, i: x - a * v[i]) AS z) FROM (SELECT *, {dot('z', 'v')} AS a FROM z{t}_, v{t}_))")
+    return ", ".join([*parts, f"left_ AS (SELECT * FROM z{count}_)"])
