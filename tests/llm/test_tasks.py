@@ -100,11 +100,9 @@ def test_near_copies_below_the_threshold_make_no_rows(spark, monkeypatch):
         rows.append((k, " ".join(w)))
     counted, across = [], minhash._across
     monkeypatch.setattr(minhash, "_across", lambda *a: counted.append(across(*a)) or counted[-1])
-    for block, at_most in ((minhash.BLOCK_MEMBERS, 300), (40, 8 * 9 // 2 * 80)):
-        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, rows), shingle=3, percent=85, block_members=block).collect()}
-        assert got == roots(rows, 3, 85)
-        links = counted.pop().collect()
-        assert len(links) <= at_most and len({got[k] for k in got}) > 100
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, rows), shingle=3, percent=85).collect()}
+    assert got == roots(rows, 3, 85)
+    assert len(counted.pop().collect()) < 300 and len({got[k] for k in got}) > 100
 
 
 def test_sets_that_share_half_a_digest_stay_apart(spark):
