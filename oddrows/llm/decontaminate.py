@@ -15,8 +15,8 @@ Items are sent to the tasks in blocks of about `block_words` words, each with a
 passes grows with the benchmark, what is sent does not.
 
 Defined cases: null or wordless texts and items match nothing; repeated items are reported each; rows
-equal in doc_id and text are one document; of equal windows the first is reported. Columns of other
-names are ignored."""
+equal in doc_id and text are one document; of equal windows the first is reported. An empty benchmark or table finds nothing; texts of any length are searched whole.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 

@@ -9,7 +9,8 @@ largest cosine, which is also its score; further away than `reject_below` it is
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and rejected; rows without a language are not
 learned from; without any training row every text is `und`; of equal cosines the first language in
-order of name wins; repeated rows get the same answer. Columns of other names are ignored."""
+order of name wins; repeated rows get the same answer. An empty table gives an empty result; texts of any length are counted whole.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 

@@ -8,8 +8,8 @@ the spans are looked up in the templates' bigrams, so nothing is compared that s
 
 Defined cases: a null text has no span; spans of fewer than two words are not compared; a span that
 occurs twice in a text is reported once, at its first place; of equal scores the template that comes
-first in the list wins; rows equal in doc_id and text are reported once. Columns of other names are
-ignored."""
+first in the list wins; rows equal in doc_id and text are reported once. An empty table gives no row; texts of any length are cut to spans whole.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 

@@ -8,7 +8,8 @@ the covered lines is removed. Windows are compared on the input, not on what is
 Defined cases: a null text is empty; with fewer than three lines nothing is removed; a null doc_id
 comes first; rows equal in doc_id and text are one document, so they do not remove each other. A text
 that loses lines comes back as its remaining lines with a word, joined by newlines; any other text
-comes back unchanged. Columns of other names are ignored."""
+comes back unchanged. An empty table gives an empty result; texts of any length are hashed whole.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 

@@ -17,7 +17,8 @@ pairs, and no link that joins components is lost.
 
 Defined cases: a text without words has the empty set and no link; a null doc_id takes part, and
 is the component id only where all ids are null; rows that share a doc_id belong to each text's class;
-repeated rows repeat their result. Columns of other names are ignored."""
+repeated rows repeat their result. An empty table gives an empty result; sets are taken from whole texts of any length.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 

@@ -12,6 +12,7 @@ path and sent along; it is half a megabyte.
 
 Defined cases: a null text is empty and gives the end id alone; repeated rows give repeated rows;
 memory is bounded by the longest text and the cache. Models with user-defined symbols are not supported.
+An empty table gives an empty result.
 Columns of other names are ignored."""
 
 from __future__ import annotations

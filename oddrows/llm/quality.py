@@ -7,7 +7,8 @@ limits and is removed. A document left with less than `left_share` per cent of i
 
 Defined cases: a null text is an empty one and fails the base rules; a null host is a host of its
 own; each row counts as a document; lines without a word are never counted or removed; rows equal
-in doc_id and text get the same verdict. Columns of other names are ignored."""
+in doc_id and text get the same verdict. An empty table gives an empty result; texts of any length are measured whole.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 

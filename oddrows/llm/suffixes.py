@@ -16,6 +16,7 @@
 
 Defined cases: a null text is empty; strings are compared as UTF-8 bytes within one text; documents are ordered by doc_id
 (null first), rows of one doc_id by a hash of the text; rows equal in doc_id and text are one document and get the same result.
+An empty table gives an empty result; long texts are worked through in blocks, nothing of them is left out.
 Columns of other names are ignored."""
 
 from __future__ import annotations

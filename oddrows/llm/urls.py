@@ -10,8 +10,8 @@ cut by hash into shards, each with a cascade of its own, and each shard's rows a
 of their own. Bits are set in the tasks and combined by Spark; keys never come to the driver.
 
 Defined cases: a null url, or one without `://`, has an empty host and path, fits no rule and is not
-listed; repeated rows are judged alike; a rule's host fits that host and all its subdomains. Columns of other
-names are ignored."""
+listed; repeated rows are judged alike; a rule's host fits that host and all its subdomains. An empty table gives an empty result; urls of any length are judged whole.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 

@@ -17,7 +17,8 @@ Defined cases: null html is an empty payload, a null url an empty one, a null pa
 is the response only if its group has no other id; rows that share the smallest page_id of a group are all
 responses; repeated rows are repeated records; bytes that are no WARC/1 record (damaged or cut members, other
 versions, anything between members but zeros) stop the job, or with undecoded="skip" are left out;
-undecoded_members lists them. Empty members are no records and no damage. Columns of other names are ignored."""
+undecoded_members lists them. Empty members are no records and no damage. An empty table makes archives without records; a payload of any size is one member.
+Columns of other names are ignored."""
 
 from __future__ import annotations
 
