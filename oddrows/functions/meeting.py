@@ -25,15 +25,17 @@ def salted(held: DataFrame, passing: DataFrame, key: str, spread: str, visits: i
 
 
 def meet(held: DataFrame, passing: DataFrame, by: list[str], schema: str,
-         run: Callable[[pa.RecordBatch, pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+         run: Callable[[pa.RecordBatch, pa.RecordBatch], pa.RecordBatch], places: int | None = None) -> DataFrame:
     """`run(group, batch)` for the rows of `passing`, batch by batch, with the rows of `held` of the same integer keys.
+    With `places` the one key is a number below it, and each has a task of its own.
 
     A task reads its rows in order of key with the held ones first, so it holds one group and one batch. Passing rows
     whose group is empty make nothing."""
     ours, theirs = held.columns, passing.columns
     both = held.withColumn("_side", F.lit(0)).unionByName(passing.withColumn("_side", F.lit(1)), allowMissingColumns=True)
     parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes can mean much arithmetic: no coalescing
-    dealt = both.repartition(parts, *by).sortWithinPartitions(*by, "_side")
+    dealt = both.repartitionById(places, F.col(by[0])) if places else both.repartition(parts, *by)
+    dealt = dealt.sortWithinPartitions(*by, "_side")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group, pieces = None, None, []

@@ -5,11 +5,14 @@ too many points is parted again around pivots of its own, so cells are small wha
 first looks into its own cell, which bounds the distance to its k-th neighbour; a cell with fewer than k rows takes the
 bound of the smallest cell above it that has enough, so no radius is infinite. It then descends from the top to cells that the
 triangle inequality does not exclude: by the ring of distances that a cell's points have to their pivot, and by the border
-to the nearest pivot. Only vectors, cells and lists of about k rows move; no pairs are formed outside a task."""
+to the nearest pivot. A point whose ball reaches many cells (in many dimensions nearly all) would be copied for each of them; it
+is compared with tiles of the whole table instead, so its copies are bounded. Only vectors, cells and lists of about k rows
+move; no pairs are formed outside a task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,13 +29,24 @@ CELL_POINTS = 400
 FAN = 32
 #: cells are numbered by FAN digits in 63 bits; at this depth a cell stays as it is
 DEPTH = 12
+#: a ball that reaches more cells than this goes to tiles; the upper cells that tell so are sent to the tasks
+MOST_CELLS = 24
+TOP_BYTES = 4_000_000
+#: vectors that a tile holds, in bytes; pairs worth a task of their own; most copies of a vector on either side unless memory asks for more
+TILE_BYTES = 64_000_000
+TILE_PAIRS = 500_000_000
+MOST_COPIES = 8
+#: rows and columns of one matrix product
+_ROWS, _STRIPE = 512, 4096
+#: rows of one vector that make it a key of its own when scores go back to the rows
+HOT_ROWS = 10_000
 _LIST = "array<struct<d:double,other:long,m:long>>"
 
 
 @dataclass
 class Cells:
     """`placed`: pid, v, m, cell, up (cell and distance to its pivot on every level). `nodes`: cell, parent, pivot, the
-    distances lo .. hi of its points to the pivot, its rows and whether it is a leaf."""
+    distances lo .. hi of its points to the pivot, its points n, its rows, its depth and whether it is a leaf."""
 
     placed: DataFrame
     nodes: DataFrame
@@ -95,7 +109,7 @@ def build_cells(points: DataFrame, cell_points: int = CELL_POINTS, fan: int = FA
         place = F.col("parent") * fan + F.col("at") + (1 if level == 0 else 0)
         named = pivots.withColumnRenamed("cell", "parent").withColumn("cell", place).select("cell", "pivot")
         leaf = (F.col("n") <= cell_points) | F.lit(level + 1 >= DEPTH)
-        here = written(stats.join(named, "cell").withColumn("leaf", leaf))
+        here = written(stats.join(named, "cell").withColumn("leaf", leaf).withColumn("depth", F.lit(level)))
         nodes.append(here)
         opened = here.filter("not leaf").select("cell", "n")
         known = with_params(rows.withColumn("up", up), here.select("cell", "leaf"), "cell", "inner")
@@ -169,10 +183,9 @@ def _descend(nodes: DataFrame, asking: DataFrame, levels: int) -> DataFrame:
 
         def reach(group: pa.RecordBatch, batch: pa.RecordBatch) -> pa.RecordBatch:
             d = _apart(_matrix(batch.column("v")), _matrix(group.column("pivot")))
-            r, home = batch.column("r").to_numpy(), batch.column("home").to_numpy()
-            r = (r * (1 + 1e-9) + 1e-12 * d.max(axis=1))[:, None]
+            home = batch.column("home").to_numpy()
             lo, hi, child = (group.column(c).to_numpy() for c in ("lo", "hi", "child"))
-            near = (d - hi <= r) & (lo - d <= r) & (d - d.min(axis=1)[:, None] <= 2 * r) & (child[None, :] != home[:, None])
+            near = _reached(d, batch.column("r").to_numpy(), lo, hi) & (child[None, :] != home[:, None])
             i, j = np.nonzero(near)
             take = pa.array(i)
             return pa.RecordBatch.from_arrays(
@@ -186,6 +199,144 @@ def _descend(nodes: DataFrame, asking: DataFrame, levels: int) -> DataFrame:
     return found
 
 
+def _top(cells: Cells) -> list[dict]:
+    """The upper levels of the tree as far as they are small: per parent its children's cell, pivot, lo, hi, and whether they end there."""
+    dims = cells.nodes.filter("depth = 0").select(F.size("pivot")).first()[0]
+    room, last = TOP_BYTES // (8 * max(dims, 1)), 1
+    for row in cells.nodes.groupBy("depth").count().filter("depth > 0").orderBy("depth").collect():
+        room -= row["count"]
+        if row["depth"] > 1 and room < 0:
+            break
+        last = row["depth"]
+    found: dict[int, list] = {}
+    for row in cells.nodes.filter(F.col("depth").between(1, last)).orderBy("cell").collect():
+        found.setdefault(row["parent"], []).append(row)
+    return [{"parent": parent, "cell": [r["cell"] for r in rows], "pivot": np.array([r["pivot"] for r in rows], float),
+             "lo": np.array([r["lo"] for r in rows]), "hi": np.array([r["hi"] for r in rows]), "end": [r["leaf"] or r["depth"] == last for r in rows]}
+            for parent, rows in sorted(found.items(), key=lambda x: (x[1][0]["depth"], x[0]))]
+
+
+def _reached(d: np.ndarray, r: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which children balls of radius r can reach, from the distances of their centres to the pivots."""
+    r = (r * (1 + 1e-9) + 1e-12 * d.max(axis=1))[:, None]
+    return (d - hi <= r) & (lo - d <= r) & (d - d.min(axis=1)[:, None] <= 2 * r)
+
+
+def _told_apart(cells: Cells, asking: DataFrame) -> DataFrame:
+    """asking with `many`: whether the ball reaches more than MOST_CELLS of the upper cells."""
+    top, most, kind = _top(cells), MOST_CELLS, asking.schema["v"].dataType.simpleString()
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, r = _matrix(batch.column("v")), batch.column("r").to_numpy()
+            ends, within = np.zeros(len(v), np.int64), {1: np.arange(len(v))}
+            for group in top:
+                rows = within.pop(group["parent"], np.zeros(0, np.int64))
+                rows = rows[ends[rows] <= most]
+                if not len(rows):
+                    continue
+                near = _reached(_apart(v[rows], group["pivot"]), r[rows], group["lo"], group["hi"])
+                wide = near.sum(axis=1) > most  # each of them would have cells below
+                ends[rows[wide]] = most + 1
+                for child, end, hit in zip(group["cell"], group["end"], near.T):
+                    if end:
+                        ends[rows[hit]] += 1
+                    else:
+                        within[child] = rows[hit]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("pid", "v", "r", "home")), pa.array(ends > most)], ["pid", "v", "r", "home", "many"])
+
+    return asking.select("pid", "v", "r", "home").mapInArrow(tell, f"pid long, v {kind}, r double, home long, many boolean")
+
+
+def _stripes(p: np.ndarray) -> list[tuple[slice, np.ndarray, float]]:
+    """Runs of points with their mean and the distance from it to the farthest one."""
+    found = []
+    for at in range(0, len(p), _STRIPE):
+        run = slice(at, at + _STRIPE)
+        centre = p[run].mean(axis=0)
+        found.append((run, centre, float(np.sqrt(((p[run] - centre) ** 2).sum(axis=1)).max())))
+    return found
+
+
+def _closest(q: np.ndarray, radius: np.ndarray, q_id: np.ndarray, home: np.ndarray, points: tuple, k: int) -> tuple[np.ndarray, ...]:
+    """As `_near` for many points, without those of the query's home: the radius shrinks from stripe to stripe.
+
+    Products of matrices give a lower bound of the squared distance, differences the distance of what it does not exclude."""
+    p, wide, p_id, cell, m, stripes = points
+    found = []
+    for at in range(0, len(q), _ROWS):
+        part, own, away = q[at: at + _ROWS], q_id[at: at + _ROWS], home[at: at + _ROWS]
+        limit = radius[at: at + _ROWS] * (1 + 1e-9)
+        q2 = (part * part).sum(axis=1)
+        less = 1 - 1e-12 * (part.shape[1] + 8)
+        left = np.column_stack([-2 * part, np.ones(len(part)), q2 * less])
+        i, j, d = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for run, centre, reach in stripes:
+            apart = np.sqrt(((part - centre) ** 2).sum(axis=1))
+            some = np.flatnonzero(~(apart - reach > limit + 1e-9 * (apart + reach)))
+            if not len(some):
+                continue
+            low = left[some] @ wide[run].T
+            hit = ~(low > (limit[some] ** 2)[:, None])
+            if k < low.shape[1] and np.count_nonzero(hit) > 8 * (k + 1) * len(some):
+                # k + 1 points, of which one can be the query itself, bound the k-th distance
+                first = np.argpartition(low, k, axis=1)[:, : k + 1]
+                bound = np.array([np.sqrt(((p[run][f] - x) ** 2).sum(axis=1)).max() for f, x in zip(first, part[some])])
+                limit[some] = np.minimum(limit[some], bound * (1 + 1e-9))
+                hit = ~(low > (limit[some] ** 2)[:, None])
+            a, b = np.nonzero(hit)
+            a, b = some[a], b + run.start
+            fresh = np.concatenate([_exact(part[a[x: x + 100_000]], p[b[x: x + 100_000]]) for x in range(0, len(a), 100_000)] or [d[:0]])
+            keep = (fresh <= limit[a]) & (cell[b] != away[a])
+            if not keep.any():
+                continue
+            i, j, d = np.concatenate([i, a[keep]]), np.concatenate([j, b[keep]]), np.concatenate([d, fresh[keep]])
+            order = np.lexsort((d, i))
+            i, j, d = i[order], j[order], d[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)  # each point holds a row at least
+            last = place == k - 1
+            limit[i[last]] = np.minimum(limit[i[last]], d[last])
+            keep = d <= limit[i]
+            i, j, d = i[keep], j[keep], d[keep]
+        found.append((i + at, j, d, m[j]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _tiled(cells: DataFrame, asking: DataFrame, k: int) -> DataFrame:
+    """pid, near: asking (pid, v, r, home) against all points outside of its home, a tile of them and a share of the asking points in each task."""
+    size = cells.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims")).first()
+    tasks = min(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size["n"] * asking.count() / TILE_PAIRS))
+    side = min(MOST_COPIES, math.ceil(math.sqrt(tasks / 2)))  # a tile more also means a list more for each point
+    tiles = max(side, math.ceil(size["n"] * 8 * size["dims"] / TILE_BYTES))
+    shares = min(MOST_COPIES, math.ceil(tasks / tiles))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    tile, share = F.pmod(F.xxhash64("pid", F.lit(3)), F.lit(tiles)), F.pmod(F.xxhash64("pid", F.lit(5)), F.lit(shares))
+    held = cells.select(tile.alias("_t"), upto(shares).alias("_s"), F.col("pid").alias("other"), F.col("v").alias("w"), "m", F.col("cell").alias("at"))
+    passing = asking.select(upto(tiles).alias("_t"), share.alias("_s"), "pid", "v", "r", "home")
+    place = (F.col("_t") * shares + F.col("_s")).cast("int").alias("place")
+    last: list = [None, None]
+
+    def look(group: pa.RecordBatch, batch: pa.RecordBatch) -> pa.RecordBatch:
+        if last[0] is not group:
+            last[:] = group, None
+            cell = group.column("at").to_numpy()
+            order = np.argsort(cell, kind="stable")
+            p = _matrix(group.column("w"))
+            dims = p.shape[1]
+            wide = np.empty((len(p), dims + 2))
+            np.take(p, order, axis=0, out=wide[:, :dims])
+            p = wide[:, :dims]
+            wide[:, dims] = (p * p).sum(axis=1) * (1 - 1e-12 * (dims + 8))
+            wide[:, dims + 1] = 1
+            last[1] = p, wide, group.column("other").to_numpy()[order], cell[order], group.column("m").to_numpy()[order], _stripes(p)
+        q_id = batch.column("pid").to_numpy()
+        i, j, d, rows = _closest(_matrix(batch.column("v")), batch.column("r").to_numpy(), q_id, batch.column("home").to_numpy(), last[1], k)
+        return pa.RecordBatch.from_arrays([batch.column("pid"), _lists(i, d, last[1][2][j], rows, len(q_id), k)[0]], ["pid", "near"])
+
+    return meet(held.select(place, "other", "w", "m", "at"), passing.select(place, "pid", "v", "r", "home"), ["place"], f"pid long, near {_LIST}", look,
+                tiles * shares)
+
+
 def neighbour_lists(points: DataFrame, k: int, cell_points: int | None = None, fan: int = FAN) -> DataFrame:
     """pid, other, d, m: every point with the points (their distance and rows) that hold its k nearest rows.
 
@@ -201,9 +352,14 @@ def neighbour_lists(points: DataFrame, k: int, cell_points: int | None = None, f
     above = above.groupBy("pid").agg(F.min(F.col("d") + F.col("hi")).alias("bound"))
     asking = open_.join(above, "pid", "left").withColumn("r", F.coalesce("kth", "bound")).filter("r IS NOT NULL").drop("up", "kth", "bound")
     rows = home.select("pid", F.inline("near"))
-    away = _descend(cells.nodes, asking, cells.levels)
-    if away is not None:
-        rows = rows.unionByName(_looked_up(cells.placed, away, k).select("pid", F.inline("near")))
+    if cells.levels > 1:
+        asked = written(_told_apart(cells, asking))
+        kinds = {r["many"] for r in asked.select("many").distinct().collect()}
+        if False in kinds:
+            away = _descend(cells.nodes, asked.filter("not many"), cells.levels)
+            rows = rows.unionByName(_looked_up(cells.placed, away, k).select("pid", F.inline("near")))
+        if True in kinds:
+            rows = rows.unionByName(_tiled(cells.placed, asked.filter("many").drop("many"), k).select("pid", F.inline("near")))
     by_distance = Window.partitionBy("pid").orderBy("d")  # lists of about k entries for each cell reached
     counted = rows.withColumn("_held", F.sum("m").over(by_distance))
     kth = F.min(F.when(F.col("_held") >= k, F.col("d"))).over(Window.partitionBy("pid"))
@@ -217,9 +373,19 @@ def as_points(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
 
 
 def _attached(df: DataFrame, columns: str | Sequence[str], points: DataFrame, scores: DataFrame) -> DataFrame:
-    """df with the score of each row's point; null without one."""
-    named = points.join(scores, "pid").select(F.col("v").alias("_v"), "score")
-    return with_params(df.withColumn("_v", vector_of(columns)), named, "_v").drop("_v")
+    """df with the score of each row's point; null without one.
+
+    Vectors are wide: only those of more than HOT_ROWS rows are worth a copy for every salt."""
+    named = written(points.join(scores, "pid", "left").select(F.col("v").alias("_v"), "score", "m"))
+    hot = named.filter(F.col("m") > HOT_ROWS).select("_v", "score", F.lit(True).alias("_hot"))
+    rows = df.withColumn("_v", vector_of(columns))
+    if not hot.isEmpty():
+        rows = with_params(rows, hot, "_v")
+    else:
+        rows = rows.withColumns({"score": F.lit(None).cast("double"), "_hot": F.lit(None).cast("boolean")})
+    done = F.col("_hot").isNotNull() | F.col("_v").isNull()
+    left = rows.filter(~done).drop("score", "_hot").join(named.filter(F.col("m") <= HOT_ROWS).drop("m"), "_v", "left")
+    return left.drop("_v").unionByName(rows.filter(done).drop("_v", "_hot"))
 
 
 def knn_distance(df: DataFrame, columns: str | Sequence[str], k: int = 5, cell_points: int | None = None, fan: int = FAN) -> DataFrame:

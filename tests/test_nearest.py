@@ -1,10 +1,13 @@
 """Neighbour lists in any number of columns against brute force."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from oddrows.functions import meeting
+from oddrows.functions.lineage import shared_folder
 from oddrows.operators import nearest
 
 
@@ -107,3 +110,34 @@ def test_few_and_odd_rows(spark):
     assert nearest.local_outlier_factor(table(spark, np.zeros((0, 2))), "v", 2).count() == 0
     same = scores(nearest.local_outlier_factor(table(spark, np.ones((30, 4))), "v", 5))
     assert set(same.values()) == {1.0}
+
+
+def bytes_below(folder):
+    return sum(f.stat().st_size for f in Path(folder.removeprefix("file:")).rglob("*.parquet"))
+
+
+def test_points_that_reach_all_cells_are_not_copied_for_each(spark):
+    """Without structure in many columns every ball reaches every cell; what is written follows the points, not points times cells."""
+    x = np.random.default_rng(7).normal(0, 1, (2000, 24))
+    df = table(spark, x)
+    before = bytes_below(shared_folder(spark))
+    got = scores(nearest.knn_distance(df, "v", 5, 30, 12))
+    assert bytes_below(shared_folder(spark)) - before < 25 * x.nbytes
+    assert np.allclose([got[i] for i in range(len(x))], np.sort(distances(x), axis=1)[:, 4])
+
+
+@pytest.mark.parametrize("k,cell,fan", [(5, 10, 3), (40, 25, 8)])
+def test_all_points_over_tiles(spark, clouds, monkeypatch, k, cell, fan):
+    for name, value in (("MOST_CELLS", 0), ("TILE_PAIRS", 5000), ("TILE_BYTES", 4000), ("_STRIPE", 16), ("_ROWS", 32), ("HOT_ROWS", 20)):
+        monkeypatch.setattr(nearest, name, value)
+    got = scores(nearest.knn_distance(table(spark, clouds, [(900, None), (901, [None] * 8)]), "v", k, cell, fan))
+    assert np.allclose([got[i] for i in range(len(clouds))], np.sort(distances(clouds), axis=1)[:, k - 1])
+    assert got[900] is None and got[901] is None and len(got) == len(clouds) + 2
+
+
+def test_lattice_ties_stay_over_tiles(spark, monkeypatch):
+    for name, value in (("MOST_CELLS", 0), ("TILE_PAIRS", 5000), ("TILE_BYTES", 1500), ("_STRIPE", 16)):
+        monkeypatch.setattr(nearest, name, value)
+    x = np.array([[a, b, c] for a in range(6) for b in range(6) for c in range(6)], float)
+    lists = nearest.neighbour_lists(nearest.as_points(table(spark, x), "v"), 2, 20, 4).groupBy("pid").count()
+    assert sorted(r["count"] for r in lists.collect()) == sorted((distances(x) <= 1).sum(axis=1).tolist())
