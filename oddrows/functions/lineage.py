@@ -21,9 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write `df` once and go on from the files, so lost executors cost no recomputation."""
+def written(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
+    """Write `df` once and go on from the files, so lost executors cost no recomputation.
+
+    A file of few bytes is read by one task; `rows_a_file` makes more files of a table whose rows cost much arithmetic."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/oddrows-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", rows_a_file).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

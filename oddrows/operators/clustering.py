@@ -18,6 +18,10 @@ from oddrows.operators.joins import assign_nearest, distance_to
 from oddrows.operators.sequence import flag_top_fraction
 
 
+#: points of a file, so that every round is spread over the cores
+ROWS_A_FILE = 200_000
+
+
 @dataclass
 class Centroids:
     """k fitted centres with their cluster sizes and the loss of every iteration."""
@@ -43,17 +47,22 @@ def _round(points: DataFrame, centres: list[list[float]]) -> dict[int, tuple[int
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, loss, sums = np.zeros(k, np.int64), np.zeros(k), np.zeros((k, d))
-        step = max(1, 2_000_000 // (k * d))
         for batch in batches:
-            whole = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
-            for at in range(0, len(whole), step):
-                x = whole[at: at + step]
-                squares = ((x[:, None, :] - now[None, :, :]) ** 2).sum(axis=2)
-                own = squares.argmin(axis=1)  # the lowest number on ties
-                count += np.bincount(own, minlength=k)
-                loss += np.bincount(own, squares[np.arange(len(own)), own], minlength=k)
-                for j in range(d):
-                    sums[:, j] += np.bincount(own, x[:, j] - now[own, j], minlength=k)
+            columns = [c.to_numpy(zero_copy_only=False).astype(float, copy=False) for c in batch.columns]
+            least, own = None, np.zeros(batch.num_rows, np.intp)
+            for i in range(k):  # whole columns at a time: an array of rows, centres and columns is several times slower
+                square = np.zeros(batch.num_rows)
+                for x, c in zip(columns, now[i]):
+                    square += (x - c) ** 2
+                if least is None:
+                    least = square
+                else:
+                    own[square < least] = i  # the lowest number on ties
+                    np.minimum(least, square, out=least)
+            count += np.bincount(own, minlength=k)
+            loss += np.bincount(own, least, minlength=k)
+            for j, x in enumerate(columns):
+                sums[:, j] += np.bincount(own, x - now[own, j], minlength=k)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k, dtype=np.int32)), pa.array(count), pa.array(loss), pa.array(sums.tolist(), pa.list_(pa.float64()))],
                                          ["cluster", "size", "loss", "sums"])
 
@@ -73,7 +82,7 @@ def lloyd(df: DataFrame, columns: Sequence[str], k: int, iterations: int | None
     there are exactly that many rounds, converged or not."""
     cols = list(columns)
     probs = [(i + 0.5) / k for i in range(k)]
-    points = written(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())  # read once per round
+    points = written(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna(), ROWS_A_FILE)  # read once per round
     start = {(r["column"], round(r["prob"], 9)): r["value"] for r in quantiles(points, cols, probs).collect()}
     centres = [[start[(c, round(p, 9))] for c in cols] for p in probs]
     ends = points.agg(*[F.max(c) - F.min(c) for c in cols]).first() if iterations is None else []
