@@ -141,3 +141,11 @@ def test_lattice_ties_stay_over_tiles(spark, monkeypatch):
     x = np.array([[a, b, c] for a in range(6) for b in range(6) for c in range(6)], float)
     lists = nearest.neighbour_lists(nearest.as_points(table(spark, x), "v"), 2, 20, 4).groupBy("pid").count()
     assert sorted(r["count"] for r in lists.collect()) == sorted((distances(x) <= 1).sum(axis=1).tolist())
+
+
+def test_local_outlier_factor_over_tiles(spark, clouds, monkeypatch):
+    for name, value in (("MOST_CELLS", 0), ("TILE_PAIRS", 5000), ("TILE_BYTES", 4000)):
+        monkeypatch.setattr(nearest, name, value)
+    x = clouds[:-100]
+    got = scores(nearest.local_outlier_factor(table(spark, x), "v", 12, 40, 4))
+    assert np.allclose([got[i] for i in range(len(x))], brute_lof(x, 12), rtol=1e-6)
