@@ -149,3 +149,19 @@ def test_local_outlier_factor_over_tiles(spark, clouds, monkeypatch):
     x = clouds[:-100]
     got = scores(nearest.local_outlier_factor(table(spark, x), "v", 12, 40, 4))
     assert np.allclose([got[i] for i in range(len(x))], brute_lof(x, 12), rtol=1e-6)
+
+
+def test_vectors_are_written_few_times(spark):
+    """Floats stay floats; levels of cells, lists and scores go by ids, so vectors are written as points, at home and in blocks only."""
+    x = np.random.default_rng(8).normal(0, 1, (1500, 32)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id long, v array<float>").repartition(4)
+    before = bytes_below(shared_folder(spark))
+    got = scores(nearest.local_outlier_factor(df, "v", 4, 30, 12))
+    assert bytes_below(shared_folder(spark)) - before < 7 * x.nbytes
+    assert np.allclose([got[i] for i in range(len(x))], brute_lof(x.astype(float), 4), rtol=1e-6)
+
+
+def test_vectors_of_one_hash(spark, clouds, monkeypatch):
+    monkeypatch.setattr(nearest, "_pid", lambda v: F.pmod(F.xxhash64(v), F.lit(3)), raising=False)
+    got = scores(nearest.knn_distance(table(spark, clouds, [(900, None)]), "v", 5, 60, 4))
+    assert np.allclose([got[i] for i in range(len(clouds))], np.sort(distances(clouds), axis=1)[:, 4]) and got[900] is None
